@@ -103,7 +103,7 @@ def _rules(f: Field, v: Column) -> list[Column]:
         first, last = _day(parts[0]), _day(F.try_element_at(parts, F.lit(2)))
         n = F.size(parts)
         out += [
-            err((n > 2) | first.isNull() | ((n == 2) & last.isNull()), "not_a_date"),
+            err(v.isNotNull() & ((n > 2) | first.isNull() | ((n == 2) & last.isNull())), "not_a_date"),
             err((n == 2) & (first > last), "reversed"),
         ]
     return out
