@@ -124,6 +124,12 @@ def _typed(f: Field, v: Column) -> list[Column]:
     return [v.alias(f.name)]
 
 
+def _once(df: DataFrame, what: Column) -> DataFrame:
+    """``df`` with one more column that is computed once for each row: filters and later
+    columns refer to the output of a generator instead of repeating the expression."""
+    return df.select("*", F.inline(F.array(F.struct(what))))
+
+
 def check_lines(df: DataFrame, line: str, contract: Contract = OCCURRENCE) -> DataFrame:
     """``df`` plus one nullable text column for each field and ``errors``."""
     names = [f.name for f in contract.fields]
@@ -136,16 +142,17 @@ def check_lines(df: DataFrame, line: str, contract: Contract = OCCURRENCE) -> Da
     cells = F.when(~F.contains(text, F.lit('"')), F.split(text, "\\x{%x}" % ord(contract.separator), -1)).otherwise(
         F.regexp_extract_all(F.concat(F.lit(contract.separator), text), F.lit(one), F.lit(1))
     )
-    base = base.withColumn(values, F.when(sound, cells))
 
-    def value(i: int) -> Column:
-        x = F.get(F.col(values), F.lit(i))
+    def clean(x: Column) -> Column:
         x = F.when(x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)
-        x = F.trim(x)
+        return F.trim(x)
+
+    def present(x: Column) -> Column:
         return F.when(~x.isin(*contract.missing), x)
 
+    base = _once(base, F.transform(F.transform(F.when(sound, cells), clean), present).alias(values))
     fits = F.size(values) == len(names)
-    base = base.withColumns({n: F.when(fits, value(i)) for i, n in enumerate(names)})
+    base = base.withColumns({n: F.when(fits, F.get(F.col(values), F.lit(i))) for i, n in enumerate(names)})
     checks = [e for f in contract.fields for e in _rules(f, F.col(f.name))]
     errors = (
         F.when(text.isNull(), F.array(F.lit("line:null")))
@@ -153,7 +160,7 @@ def check_lines(df: DataFrame, line: str, contract: Contract = OCCURRENCE) -> Da
         .when(~fits, F.array(F.lit("line:field_count")))
         .otherwise(F.array_compact(F.array(*checks)))
     )
-    return base.withColumn("errors", errors).drop(values, raw)
+    return _once(base, errors.alias("errors")).drop(values, raw)
 
 
 def valid_rows(df: DataFrame, line: str, contract: Contract = OCCURRENCE) -> DataFrame:
