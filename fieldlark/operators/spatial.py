@@ -29,6 +29,7 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -354,15 +355,15 @@ def points_in_regions(points: DataFrame, ident: str, lon: Column, lat: Column, r
         shared = spark.sparkContext.broadcast((Hierarchy(tri, index.astype(np.int32)), names))
         low_x, high_x, low_y, high_y = tri[:, ::2].min(), tri[:, ::2].max(), tri[:, 1::2].min(), tri[:, 1::2].max()
 
-        def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree, codes = shared.value
-            for pdf in batches:
-                at, which = tree.find(pdf["x"].to_numpy(float), pdf["y"].to_numpy(float))
+            for batch in batches:
+                at, which = tree.find(batch.column("x").to_numpy(), batch.column("y").to_numpy())
                 pairs = np.unique(np.stack([at, which], 1), axis=0)
-                yield pd.DataFrame({"ident": pdf["ident"].to_numpy()[pairs[:, 0]], "code": codes[pairs[:, 1]]})
+                yield pa.RecordBatch.from_arrays([batch.column("ident").take(pa.array(pairs[:, 0])), pa.array(codes[pairs[:, 1]], pa.string())], ["ident", "code"])
 
         near = asked.where(F.col("x").between(float(low_x), float(high_x)) & F.col("y").between(float(low_y), float(high_y)))
-        return near.mapInPandas(look, f"ident {kind}, code string")
+        return near.mapInArrow(look, f"ident {kind}, code string")
 
     # One block of triangles at a time reaches the driver; none is larger than ``block``.
     for row in sized.orderBy("z").toLocalIterator():
