@@ -111,15 +111,19 @@ def near_representatives(reps: DataFrame, hot: int = HOT) -> DataFrame:
     hashes are at most ``RADIUS`` bits apart and whose aspect ratios agree."""
     bands = _cut_at(BITS, RADIUS + 1)
     keys = F.array(*[F.struct(F.lit(i).alias("band"), F.conv(F.substring("bits", at, n), 2, 10).cast("bigint").alias("value")) for i, (at, n) in enumerate(bands)])
-    banded = reps.withColumn("bits", _bits(F.col("hash"))).select("hash", "w", "h", "train", "hi", "lo", F.inline(keys))
+    spelt = reps.select("*", F.explode(F.array(_bits(F.col("hash")))).alias("bits"))
+    banded = spelt.select("hash", "w", "h", "train", "hi", "lo", F.inline(keys))
     crowd = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min("train").alias("t0"), F.max("train").alias("t1"))
     # Values on one side only join nothing; crowded ones are split once more.
     crowd = crowd.where(F.col("t0") != F.col("t1")).select("band", "value", (F.col("n") > hot).alias("crowded"))
     banded = banded.join(crowd, ["band", "value"])
-    others = [F.concat(*[F.substring(_bits(F.col("hash")), a, n) for j, (a, n) in enumerate(bands) if j != i]) for i in range(len(bands))]
-    rest = reduce(lambda acc, i: F.when(F.col("band") == i, others[i]).otherwise(acc), range(1, len(bands)), others[0])
+    # Of a crowded value the bits outside its band are cut again; arrays of one element
+    # stand for local names, so that no expression is written out twice.
+    first, size = (F.get(F.array(*[F.lit(x[k]) for x in bands]), F.col("band")) for k in (0, 1))
+    rest = F.transform(F.array(_bits(F.col("hash"))), lambda b: F.concat(F.substring(b, F.lit(1), first - 1), F.substring(b, first + size, F.lit(BITS))))
     smaller = _cut_at(BITS - bands[0][1], RADIUS + 1)
-    subs = F.when(F.col("crowded"), F.array(*[F.concat(F.lit(f"{i}:"), F.substring(rest, at, n)) for i, (at, n) in enumerate(smaller)])).otherwise(F.array(F.lit("")))
+    cuts = F.flatten(F.transform(rest, lambda r: F.array(*[F.concat(F.lit(f"{i}:"), F.substring(r, at, n)) for i, (at, n) in enumerate(smaller)])))
+    subs = F.when(F.col("crowded"), cuts).otherwise(F.array(F.lit("")))
     banded = banded.withColumn("sub", F.explode(subs)).drop("crowded")
     a = banded.where("train").select("band", "value", "sub", *[F.col(c).alias(f"{c}_a") for c in ("hash", "w", "h", "hi", "lo")])
     b = banded.where("not train").select("band", "value", "sub", *[F.col(c).alias(f"{c}_b") for c in ("hash", "w", "h", "hi", "lo")])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlark.llm import leakage, overlap, packing, splits
+from fieldlark.llm import leakage, overlap, packing, quality, splits
 from fieldlark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,8 +110,28 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leak_report(p8_found(spark, d), table(spark, d, "eval_items"))
 
 
+# ---- problem 9
+
+
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return quality.text_statistics(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_statistics(spark, d).where(~F.col("is_prose")).select("doc_id").distinct()
+
+
+def p9_by_source(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    found = p9_statistics(spark, d).select("doc_id", "is_prose", "n_words", "prose_share")
+    return docs.join(found, "doc_id").groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.count_if("is_prose").alias("n_prose"), F.sum("n_words").alias("n_words"), F.avg("prose_share").alias("mean_prose_share")
+    )
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (p2_found, p2_records, p2_report, p4_found, p4_splits, p4_balance, p7_pack, p7_report, p8_found, p8_report)
+    f.__name__: f
+    for f in (p2_found, p2_records, p2_report, p4_found, p4_splits, p4_balance, p7_pack, p7_report, p8_found, p8_report, p9_found, p9_statistics, p9_by_source)
 }
 
 SQL: dict[str, str] = {
