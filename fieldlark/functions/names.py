@@ -47,7 +47,7 @@ def parse_tag(value: str | None) -> tuple:
     return (lang, script, region, "-".join(x for x in (lang, script, region) if x))
 
 
-@F.pandas_udf("language string, script string, region string, tag string")
+@F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in ("language", "script", "region", "tag")]))
 def language_tag(tags: pd.Series) -> pd.DataFrame:
     rows = [parse_tag(t if isinstance(t, str) else None) for t in tags]
     return pd.DataFrame(rows, columns=["language", "script", "region", "tag"])
@@ -103,7 +103,7 @@ def term_extractor(terms: dict[str, str], lookback: int = 40):
                 (denied if all(hits) else stated).append(name)
         return stated, denied
 
-    @F.pandas_udf("stated array<string>, denied array<string>")
+    @F.pandas_udf(T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in ("stated", "denied")]))
     def extract(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([look(t) if isinstance(t, str) else ([], []) for t in texts], columns=["stated", "denied"])
 

@@ -133,7 +133,7 @@ def keyword_flags(c: Column, groups: Mapping[str, Sequence[str]]) -> Column:
 
 def split_flags(c: Column, by: str = ";") -> Column:
     """Distinct non-empty parts of a list in text, sorted."""
-    return F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), by), F.trim), lambda x: x != "")))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), by), lambda x: F.trim(x)), lambda x: x != "")))
 
 
 # ---- dates

@@ -18,7 +18,8 @@ def norm(a: Column) -> Column:
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine clipped to [-1, 1]; NULL where a vector has no length."""
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(dot(a, b), norm(a) * norm(b))))
+    c = F.try_divide(dot(a, b), norm(a) * norm(b))
+    return F.when(c.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
 
 
 def normalised(a: Column) -> Column:

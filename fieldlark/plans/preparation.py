@@ -26,7 +26,7 @@ def p1_loaded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_rejected(spark: SparkSession, d: str) -> DataFrame:
-    return parse_rows.broken_rows(table(spark, d, "occurrence_raw"), "raw_line").select("raw_id", "member_name", "received_at", "raw_line", "errors")
+    return parse_rows.broken_rows(table(spark, d, "occurrence_raw"), "raw_line").select("raw_id", "member_name", "received_at", "raw_line", F.concat_ws(",", "errors").alias("errors"))
 
 
 def p1_reasons(spark: SparkSession, d: str) -> DataFrame:
@@ -265,7 +265,7 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "p1_found": _p1_sql("select raw_id from judged where len(errors) > 0"),
-    "p1_rejected": _p1_sql("select raw_id, member_name, received_at, raw_line, errors from judged where len(errors) > 0"),
+    "p1_rejected": _p1_sql("select raw_id, member_name, received_at, raw_line, array_to_string(errors, ',') as errors from judged where len(errors) > 0"),
     "p1_reasons": _p1_sql("select member_name, reason, count(*) as n_rows from (select member_name, unnest(errors) as reason from judged) group by all"),
     "p1_loaded": _p1_sql(
         """select raw_id, member_name, received_at, cast(v[1] as bigint) as "gbifID", v[2] as "occurrenceID", v[3] as "datasetKey", v[4] as "basisOfRecord",
