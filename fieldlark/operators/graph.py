@@ -32,12 +32,12 @@ def components(links: DataFrame, record: str, entity: str) -> DataFrame:
     least = labelled.groupBy("rec").agg(F.min("lab").alias("low"), F.max("lab").alias("high"))
     pairs = labelled.join(least.where(F.col("low") < F.col("high")), "rec").where(F.col("lab") != F.col("low"))
     pairs = cut(pairs.select(F.col("low").alias("a"), F.col("lab").alias("b")).distinct())
+    # The steps are plans over the checkpointed pairs of each round, made again where needed.
     steps = []
     while not pairs.isEmpty():
         # record -> entity: each entity takes the smallest (mixed) label next to it.
         both = pairs.select(F.col("a").alias("u"), F.xxhash64("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.xxhash64("a").alias("v")))
-        taken = both.groupBy("u").agg(F.min("v").alias("v"))
-        taken = cut(taken.select("u", F.least("v", F.xxhash64("u")).alias("v")))
+        taken = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("v", F.xxhash64("u")).alias("v"))
         steps.append(taken)
         to_a, to_b = taken.select(F.col("u").alias("a"), F.col("v").alias("x")), taken.select(F.col("u").alias("b"), F.col("v").alias("y"))
         moved = pairs.join(to_a, "a").join(to_b, "b").where(F.col("x") != F.col("y"))
@@ -51,7 +51,7 @@ def components(links: DataFrame, record: str, entity: str) -> DataFrame:
         else:
             later = roots.select(F.col("u").alias("v"), F.col("root").alias("r"), F.col("round").alias("n"))
             step = step.join(later, "v", "left").select("u", F.coalesce("r", "v").alias("root"), F.coalesce("n", F.lit(k)).alias("round"))
-        roots = cut(step)
+        roots = cut(step) if k % 4 == 0 else step
     one = least.select("rec", F.col("low").alias("u"))
     if roots is None:
         rooted = one.select("rec", F.col("u").alias("root"), F.lit(-1).alias("round"))
