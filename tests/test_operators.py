@@ -195,3 +195,16 @@ def test_average_linkage():
     v = similarity._unit(np.array([[1.0, 0], [0.9, 0.1], [0, 1.0], [0.1, 0.9]]))
     assert similarity.average_linkage(v, 0.8).tolist() == [0, 0, 1, 1]
     assert similarity.average_linkage(v[:1], 0.8).tolist() == [0]
+
+
+def test_selection(spark):
+    from fieldlark.operators import selection
+
+    df = spark.createDataFrame([("a", 1, 3), ("a", 2, 3), ("a", 3, 9), ("a", 4, 1), ("b", 1, 99), ("b", 2, None)], "g string, o int, s int")
+    got = {(r["g"], r["o"]): r["batch"] for r in selection.greedy_batches(df, "g", "o", "s", 6).collect()}
+    assert got == {("a", 1): 0, ("a", 2): 0, ("a", 3): 1, ("a", 4): 2, ("b", 1): 0, ("b", 2): 1}
+    plan = selection.reuse_plan(spark.createDataFrame([("x",), ("y",), ("z",)], "k string"), spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int"), "k", F.lit(1), "v")
+    assert {r["k"]: r["action"] for r in plan.collect()} == {"x": "REUSE", "y": "REFRESH", "z": "COMPUTE"}
+    scores = spark.createDataFrame([("t", ["p", "q"], 0.9), ("u", ["r"], 0.01), ("p", [], None)], "t string, c array<string>, m double")
+    out = selection.rescore_plan(scores, spark.createDataFrame([("p",)], "i string"), "i", "t", "c", "m", 0.05)
+    assert {r["t"]: r["rescore_reasons"] for r in out.collect()} == {"t": ["CANDIDATE_CHANGED"], "u": ["NARROW_MARGIN"], "p": ["TARGET_CHANGED"]}
