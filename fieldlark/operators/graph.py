@@ -7,7 +7,11 @@ dropped and repeated links collapse, so the graph shrinks by a factor each round
 hot entity is one aggregated row, not a bucket. Labels are re-mixed each round by a
 bijection of the 64-bit numbers (``xxhash64`` of one bigint), which keeps the number of
 rounds logarithmic even on long chains. All aggregates combine on the map side; nothing
-but a row count reaches the driver. Each round is checkpointed to the shared folder.
+but whether a table is empty reaches the driver. Each round is checkpointed to the
+shared folder.
+
+An entity's label is its 64-bit hash. A second, independent hash shows whether two
+entities share a label; if any do, dense numbers of the 128-bit pairs are used instead.
 
 Defined results: NULL records or entities link nothing; repeated links change nothing;
 no links: empty result.
@@ -15,35 +19,34 @@ no links: empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlark.session import cut
 
+Hash = Callable[[Column], Column]
+
 
-def components(links: DataFrame, record: str, entity: str) -> DataFrame:
-    """``record, component`` for every record with an entity; the component is the
-    smallest ``record`` value it holds."""
-    typed = links.select(F.col(record).alias("rec"), F.col(entity).alias("ent")).where(F.col("rec").isNotNull() & F.col("ent").isNotNull())
-    # Exact 64-bit labels: numbers of the distinct entities, mixed by a bijection.
-    names = cut(typed.select("ent").distinct().withColumn("id", F.monotonically_increasing_id()))
-    labelled = cut(typed.join(names.select("ent", F.xxhash64("id").alias("lab")), "ent").select("rec", "lab"))
-    # entity -> record: the smallest label a record sees; its other entities link to that one.
-    least = labelled.groupBy("rec").agg(F.min("lab").alias("low"), F.max("lab").alias("high"))
-    pairs = labelled.join(least.where(F.col("low") < F.col("high")), "rec").where(F.col("lab") != F.col("low"))
-    pairs = cut(pairs.select(F.col("low").alias("a"), F.col("lab").alias("b")).distinct())
+def _check(c: Column) -> Column:
+    return F.xxhash64(F.lit("#"), c)
+
+
+def _roots(pairs: DataFrame) -> DataFrame | None:
+    """``u, root, round`` for every label in ``pairs`` (``a, b`` are linked); None if there is no pair.
+    Labels of different rounds live in different spaces, so the round is part of a root."""
     # The steps are plans over the checkpointed pairs of each round, made again where needed.
     steps = []
     while not pairs.isEmpty():
-        # record -> entity: each entity takes the smallest (mixed) label next to it.
+        # Each label takes the smallest (mixed) label next to it or its own.
         both = pairs.select(F.col("a").alias("u"), F.xxhash64("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.xxhash64("a").alias("v")))
         taken = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("v", F.xxhash64("u")).alias("v"))
         steps.append(taken)
         to_a, to_b = taken.select(F.col("u").alias("a"), F.col("v").alias("x")), taken.select(F.col("u").alias("b"), F.col("v").alias("y"))
         moved = pairs.join(to_a, "a").join(to_b, "b").where(F.col("x") != F.col("y"))
         pairs = cut(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    # Roots, from the last and smallest step back to the first. Labels of different rounds
-    # live in different spaces, so the round a root was reached in is part of its identity.
+    # From the last and smallest step back to the first.
     roots = None
     for k, step in reversed(list(enumerate(steps))):
         if roots is None:
@@ -52,19 +55,50 @@ def components(links: DataFrame, record: str, entity: str) -> DataFrame:
             later = roots.select(F.col("u").alias("v"), F.col("root").alias("r"), F.col("round").alias("n"))
             step = step.join(later, "v", "left").select("u", F.coalesce("r", "v").alias("root"), F.coalesce("n", F.lit(k)).alias("round"))
         roots = cut(step) if k % 4 == 0 else step
-    one = least.select("rec", F.col("low").alias("u"))
-    if roots is None:
-        rooted = one.select("rec", F.col("u").alias("root"), F.lit(-1).alias("round"))
+    return roots
+
+
+def grouped_sets(rows: DataFrame, record: str, entities: Column, label: Hash = F.xxhash64) -> DataFrame:
+    """``record, root, round`` for each row that names an entity; rows with one (root, round)
+    belong together. ``entities`` is an array of texts; each row is one record."""
+    known = F.filter(entities, lambda e: e.isNotNull())
+    base = rows.select(F.col(record).alias("rec"), known.alias("e")).where(F.col("rec").isNotNull() & (F.size("e") > 0))
+    if base.select(F.inline(F.transform("e", lambda e: F.struct(label(e).alias("lab"), _check(e).alias("chk"))))).groupBy("lab").agg(F.min("chk").alias("x"), F.max("chk").alias("y")).where("x <> y").isEmpty():
+        sets = base.select("rec", F.transform("e", lambda e: label(e)).alias("labs"))
     else:
-        rooted = one.join(roots, "u", "left").select("rec", F.coalesce("root", "u").alias("root"), F.coalesce("round", F.lit(-1)).alias("round"))
-    first = rooted.groupBy("root", "round").agg(F.min("rec").alias("component"))
-    return rooted.join(first, ["root", "round"]).select(F.col("rec").alias(record), "component")
+        numbered = base.withColumn("row", F.monotonically_increasing_id())
+        named = cut(numbered.select("rec", "row", F.explode("e").alias("e")).select("rec", "row", F.xxhash64("e").alias("h"), _check(F.col("e")).alias("chk")))
+        numbers = cut(named.select("h", "chk").distinct().withColumn("id", F.monotonically_increasing_id()))
+        sets = cut(named.join(numbers, ["h", "chk"]).groupBy("row").agg(F.first("rec").alias("rec"), F.collect_set(F.xxhash64("id")).alias("labs")).select("rec", "labs"))
+    # entity -> record: a record takes its smallest label; its other entities link to that one.
+    low = F.array_min("labs")
+    pairs = sets.select(low.alias("a"), F.explode("labs").alias("b")).where(F.col("a") != F.col("b"))
+    roots = _roots(cut(pairs.distinct()))
+    mine = sets.select(F.col("rec").alias(record), low.alias("u"))
+    if roots is None:
+        return mine.select(record, F.col("u").alias("root"), F.lit(-1).alias("round"))
+    return mine.join(roots, "u", "left").select(record, F.coalesce("root", "u").alias("root"), F.coalesce("round", F.lit(-1)).alias("round"))
+
+
+def components(links: DataFrame, record: str, entity: str, label: Hash = F.xxhash64) -> DataFrame:
+    """``record, component`` for every record with an entity; the component is the smallest
+    ``record`` value it holds. A record may have any number of link rows: each link names the
+    record itself and the entity, so nothing is collected per record."""
+    kind = links.schema[record].dataType
+    typed = links.select(F.col(record).alias("rec"), F.col(entity).cast("string").alias("ent")).where(F.col("rec").isNotNull() & F.col("ent").isNotNull())
+    both = F.array(F.concat(F.lit("r:"), F.col("rec").cast("string")), F.concat(F.lit("e:"), F.col("ent")))
+    grouped = grouped_sets(typed, "rec", both, label).distinct()
+    grouped = cut(grouped)
+    first = grouped.groupBy("root", "round").agg(F.min("rec").alias("component"))
+    return grouped.join(first, ["root", "round"]).select(F.col("rec").cast(kind).alias(record), "component")
 
 
 def same_component(edges: DataFrame, left: str, right: str) -> DataFrame:
     """``node, component`` for the nodes of an undirected edge table; the smallest node names it."""
     kind = edges.schema[left].dataType
     whole = edges.select(F.col(left).alias("a"), F.col(right).cast(kind).alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    hub = F.least("a", "b")
-    links = whole.select(F.explode(F.array("a", "b")).alias("node"), hub.alias("hub")).distinct()
-    return components(links, "node", "hub")
+    ends = F.array(F.col("a").cast("string"), F.col("b").cast("string"))
+    grouped = grouped_sets(whole.withColumn("both", F.array("a", "b")), "both", ends)
+    nodes = cut(grouped.select(F.explode("both").alias("node"), "root", "round").distinct())
+    first = nodes.groupBy("root", "round").agg(F.min("node").alias("component"))
+    return nodes.join(first, ["root", "round"]).select("node", "component")

@@ -34,3 +34,20 @@ def test_nulls_repeats_hot_and_empty(spark):
     got = {r["r"]: r["component"] for r in components(df, "r", "e").collect()}
     assert got == {**dict.fromkeys(range(50), 0), 90: 0, 92: 92}
     assert components(df.limit(0), "r", "e").count() == 0
+
+
+def test_colliding_labels_change_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from fieldlark.operators.graph import grouped_sets
+
+    links = [(i, f"e{i // 3}") for i in range(60)] + [(i, f"f{i // 10}") for i in range(0, 60, 7)]
+    df = spark.createDataFrame(links, "r long, e string")
+    plain = {r["r"]: r["component"] for r in components(df, "r", "e").collect()}
+    crowded = {r["r"]: r["component"] for r in components(df, "r", "e", label=lambda c: F.pmod(F.xxhash64(c), F.lit(5))).collect()}
+    assert plain == crowded == {k: v for k, v in plain.items()}
+    sets = spark.createDataFrame([(1, ["a", None]), (2, ["a", "b"]), (3, ["c"]), (4, []), (5, None), (None, ["a"]), (6, ["b"]), (6, ["b"])], "r long, s array<string>")
+    groups = {}
+    for r in grouped_sets(sets, "r", F.col("s")).collect():
+        groups.setdefault((r["root"], r["round"]), []).append(r["r"])
+    assert sorted(map(sorted, groups.values())) == [[1, 2, 6, 6], [3]]
