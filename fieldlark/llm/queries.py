@@ -58,7 +58,7 @@ def _predictions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return splits.broken_groups(_predictions(spark, d)).select("prediction_id")
+    return splits.broken_groups(_predictions(spark, d))
 
 
 def p4_splits(spark: SparkSession, d: str) -> DataFrame:

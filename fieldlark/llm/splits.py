@@ -13,17 +13,19 @@ Defined results
   relate only if they begin with ``observer-``.
 - A record that relates to nothing is a group of its own. NULL labels are a label.
 - NULL splits are no split of a group, but their rows belong to it.
-- Rows with a NULL or repeated record id: NULL ids are left out, repeated ids are one
-  record for grouping and stay separate rows when counted. Empty table: empty result.
+- Rows with a NULL id are left out. Repeated ids are records of their own, which meet if
+  they share an entity. Empty table: empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlark.operators.graph import components
+from fieldlark.operators.graph import grouped_sets
 from fieldlark.session import cut
 
 SHARES = {"support_train": 0.55, "model_selection": 0.15, "calibration": 0.15, "final_test": 0.15}
@@ -36,26 +38,26 @@ def _id(c: str) -> Column:
     return F.nullif(F.lower(F.trim(c)), F.lit(""))
 
 
-def entity_links(rows: DataFrame) -> DataFrame:
-    """``rec, ent``: each record with each entity it names."""
+def entities() -> Column:
+    """The entities that a record names, each under its kind."""
     author = _id("photographer_id")
     kinds = [("c", _id("leakage_component_id")), ("i", _id("source_item_id")), ("a", F.when(author.startswith("observer-"), author))]
-    named = F.array_compact(F.array(*[F.concat(F.lit(f"{k}:"), e) for k, e in kinds]))
-    return rows.select(F.col("prediction_id").alias("rec"), F.explode(named).alias("ent"))
+    return F.array_compact(F.array(*[F.concat(F.lit(f"{k}:"), e) for k, e in kinds]))
 
 
-def related_groups(rows: DataFrame) -> DataFrame:
-    """``rec, component`` of the records that name an entity."""
-    return components(entity_links(rows), "rec", "ent")
+def related_groups(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``rec, root, round`` of the records that name an entity: one (root, round), one group.
+    ``rec`` is a struct of the id and the columns in ``keep``."""
+    packed = rows.where(F.col("prediction_id").isNotNull()).withColumn("rec", F.struct("prediction_id", *keep))
+    return grouped_sets(packed, "rec", entities())
 
 
 def broken_groups(rows: DataFrame) -> DataFrame:
-    """``prediction_id, component`` of all rows of the groups that have more than one split."""
-    groups = cut(related_groups(rows))
-    splits = rows.select(F.col("prediction_id").alias("rec"), F.lower(F.nullif(F.trim("dataset_split"), F.lit(""))).alias("split"))
-    seen = groups.join(splits, "rec").groupBy("component").agg(F.min("split").alias("low"), F.max("split").alias("high"))
-    bad = seen.where(F.col("low") != F.col("high")).select("component")
-    return groups.join(bad, "component", "left_semi").select(F.col("rec").alias("prediction_id"), "component")
+    """``prediction_id`` of all rows of the groups that have more than one split."""
+    split = F.lower(F.nullif(F.trim("dataset_split"), F.lit("")))
+    groups = cut(related_groups(rows.withColumn("__split", split), ["__split"]).select("rec.*", "root", "round"))
+    bad = groups.groupBy("root", "round").agg(F.min("__split").alias("low"), F.max("__split").alias("high")).where(F.col("low") != F.col("high"))
+    return groups.join(bad.select("root", "round"), ["root", "round"], "left_semi").select("prediction_id").distinct()
 
 
 def _best(group: list[int], lack: list[list[float]]) -> int:
@@ -79,9 +81,10 @@ def assign_splits(rows: DataFrame, label: str = "true_class_label", shares: dict
     """``prediction_id, component, split``: one row per row of ``rows``, groups whole."""
     spark = rows.sparkSession
     names = list(shares)
-    base = rows.where(F.col("prediction_id").isNotNull()).select(F.col("prediction_id").alias("rec"), F.coalesce(F.col(label).cast("string"), F.lit("<NULL>")).alias("label"))
-    grouped = base.join(related_groups(rows), "rec", "left").withColumn("component", F.coalesce("component", "rec"))
-    grouped = cut(grouped)
+    named = rows.withColumn("__label", F.coalesce(F.col(label).cast("string"), F.lit("<NULL>")))
+    related = related_groups(named, ["__label"]).select("rec.*", F.concat_ws(":", F.lit("g"), "root", "round").alias("component"))
+    alone = named.where(F.col("prediction_id").isNotNull() & (F.size(entities()) == 0)).select("prediction_id", "__label", F.concat(F.lit("s:"), F.col("prediction_id")).alias("component"))
+    grouped = cut(related.unionByName(alone).select(F.col("prediction_id").alias("rec"), F.col("__label").alias("label"), "component"))
     top = [r[0] for r in grouped.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS - 1).collect()]
     # Rarer labels than the LABELS - 1 most frequent ones are balanced together.
     kinds = [F.count_if(F.col("label") == x) for x in top] + [F.count_if(~F.col("label").isin(top))]
