@@ -67,12 +67,11 @@ def prepared(media: DataFrame) -> DataFrame:
     ).where(F.col("id").isNotNull() & F.col("split").isNotNull())
 
 
-def _sides(rows: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
-    rows = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key]))
-    return (
-        rows.where("train").select(F.col("id").alias("a"), *key).distinct(),
-        rows.where("not train").select(F.col("id").alias("b"), *key).distinct(),
-    )
+def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``kind, key`` of training records ``a`` and of others ``b``, for the kinds that are equality."""
+    keys = F.array(F.struct(F.lit("sha256").alias("kind"), F.col("sha").alias("key")), F.struct(F.lit("canonical").alias("kind"), F.col("canonical").alias("key")))
+    flat = rows.select("id", "train", F.inline(F.filter(keys, lambda k: k["key"].isNotNull())))
+    return flat.where("train").select(F.col("id").alias("a"), "kind", "key"), flat.where("not train").select(F.col("id").alias("b"), "kind", "key")
 
 
 def _half(name: str, first: int) -> Column:
@@ -82,55 +81,68 @@ def _half(name: str, first: int) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(low)
 
 
-def representatives(rows: DataFrame) -> DataFrame:
-    """Distinct informative ``hash, w, h, train`` with both halves of the hash as bigint."""
-    reps = rows.where(F.col("hash").isNotNull() & (F.col("w") > 0) & (F.col("h") > 0)).select("hash", "w", "h", "train").distinct()
-    reps = reps.withColumns({"hi": _half("hash", 1), "lo": _half("hash", 17)})
+SHAPE = ("hi", "lo", "w", "h")
+
+
+def hashed(rows: DataFrame) -> DataFrame:
+    """``id, train, hi, lo, w, h`` of the records with an informative hash and a shape."""
+    known = rows.where(F.col("hash").isNotNull() & (F.col("w") > 0) & (F.col("h") > 0))
+    halves = known.select("id", "train", _half("hash", 1).alias("hi"), _half("hash", 17).alias("lo"), "w", "h")
     ones = F.bit_count("hi") + F.bit_count("lo")
-    return reps.where(ones.between(LEAST_BITS, BITS - LEAST_BITS))
+    return halves.where(ones.between(LEAST_BITS, BITS - LEAST_BITS))
+
+
+def representatives(rows: DataFrame) -> DataFrame:
+    """Distinct ``hi, lo, w, h, train``."""
+    return hashed(rows).select(*SHAPE, "train").distinct()
+
+
+def _bands() -> list[Column]:
+    """Five bands of 26, 26, 26, 25 and 25 bits of the 128, as numbers."""
+    hi, lo = F.col("hi"), F.col("lo")
+    mask = lambda n: F.lit((1 << n) - 1)
+    return [
+        F.shiftrightunsigned(hi, 38),
+        F.shiftrightunsigned(hi, 12).bitwiseAND(mask(26)),
+        F.shiftleft(hi.bitwiseAND(mask(12)), 14).bitwiseOR(F.shiftrightunsigned(lo, 50)),
+        F.shiftrightunsigned(lo, 25).bitwiseAND(mask(25)),
+        lo.bitwiseAND(mask(25)),
+    ]
 
 
-def _cut_at(length: int, parts: int) -> list[tuple[int, int]]:
-    """(first character, length) of ``parts`` nearly equal bands."""
-    size, more = divmod(length, parts)
-    out, at = [], 1
-    for i in range(parts):
-        n = size + (i < more)
-        out.append((at, n))
-        at += n
-    return out
+# First character and length of each band in the text of bits.
+_PLACES = ((1, 26), (27, 26), (53, 26), (79, 25), (104, 25))
 
 
-def _bits(hash_: Column) -> Column:
-    quarters = [F.lpad(F.conv(F.substring(hash_, 1 + 8 * i, 8), 16, 2), 32, "0") for i in range(4)]
-    return F.concat(*quarters)
+def _spread_crowded(banded: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``banded`` with ``sub``: for a crowded value one row per band of the remaining bits, of
+    which again one must agree; all other rows keep one, empty ``sub``."""
+    flagged = banded.join(crowded.withColumn("crowded", F.lit(True)), ["band", "value"], "left")
+    bits = F.concat(F.lpad(F.bin("hi"), 64, "0"), F.lpad(F.bin("lo"), 64, "0"))
+    # Arrays of one element stand for local names, so that no expression is written out twice.
+    first, size = (F.get(F.array(*[F.lit(x[k]) for x in _PLACES]), F.col("band")) for k in (0, 1))
+    rest = F.transform(F.array(bits), lambda b: F.concat(F.substring(b, F.lit(1), first - 1), F.substring(b, first + size, F.lit(BITS))))
+    # 102 or 103 bits in five bands; the last takes what is left.
+    cuts = F.flatten(F.transform(rest, lambda r: F.array(*[F.concat(F.lit(f"{i}:"), F.substring(r, 1 + 20 * i, 20 if i < RADIUS else BITS)) for i in range(RADIUS + 1)])))
+    subs = F.when(F.col("crowded").isNotNull(), cuts).otherwise(F.array(F.lit("")))
+    return flagged.withColumn("sub", F.explode(subs)).drop("crowded")
 
 
 def near_representatives(reps: DataFrame, hot: int = HOT) -> DataFrame:
-    """``hash_a, w_a, h_a, hash_b, w_b, h_b``: training and evaluation representatives whose
+    """``hi_a, lo_a, w_a, h_a, hi_b, ...``: training and evaluation representatives whose
     hashes are at most ``RADIUS`` bits apart and whose aspect ratios agree."""
-    bands = _cut_at(BITS, RADIUS + 1)
-    keys = F.array(*[F.struct(F.lit(i).alias("band"), F.conv(F.substring("bits", at, n), 2, 10).cast("bigint").alias("value")) for i, (at, n) in enumerate(bands)])
-    spelt = reps.select("*", F.explode(F.array(_bits(F.col("hash")))).alias("bits"))
-    banded = spelt.select("hash", "w", "h", "train", "hi", "lo", F.inline(keys))
-    crowd = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min("train").alias("t0"), F.max("train").alias("t1"))
-    # Values on one side only join nothing; crowded ones are split once more.
-    crowd = crowd.where(F.col("t0") != F.col("t1")).select("band", "value", (F.col("n") > hot).alias("crowded"))
-    banded = banded.join(crowd, ["band", "value"])
-    # Of a crowded value the bits outside its band are cut again; arrays of one element
-    # stand for local names, so that no expression is written out twice.
-    first, size = (F.get(F.array(*[F.lit(x[k]) for x in bands]), F.col("band")) for k in (0, 1))
-    rest = F.transform(F.array(_bits(F.col("hash"))), lambda b: F.concat(F.substring(b, F.lit(1), first - 1), F.substring(b, first + size, F.lit(BITS))))
-    smaller = _cut_at(BITS - bands[0][1], RADIUS + 1)
-    cuts = F.flatten(F.transform(rest, lambda r: F.array(*[F.concat(F.lit(f"{i}:"), F.substring(r, at, n)) for i, (at, n) in enumerate(smaller)])))
-    subs = F.when(F.col("crowded"), cuts).otherwise(F.array(F.lit("")))
-    banded = banded.withColumn("sub", F.explode(subs)).drop("crowded")
-    a = banded.where("train").select("band", "value", "sub", *[F.col(c).alias(f"{c}_a") for c in ("hash", "w", "h", "hi", "lo")])
-    b = banded.where("not train").select("band", "value", "sub", *[F.col(c).alias(f"{c}_b") for c in ("hash", "w", "h", "hi", "lo")])
+    keys = F.array(*[F.struct(F.lit(i).alias("band"), v.alias("value")) for i, v in enumerate(_bands())])
+    banded = reps.select(*SHAPE, "train", F.inline(keys))
+    crowded = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("band", "value")
+    on = ["band", "value"]
+    if not crowded.isEmpty():
+        banded, on = _spread_crowded(banded, crowded), [*on, "sub"]
+    a = banded.where("train").select(*on, *[F.col(c).alias(f"{c}_a") for c in SHAPE])
+    b = banded.where("not train").select(*on, *[F.col(c).alias(f"{c}_b") for c in SHAPE])
     apart = F.bit_count(F.col("hi_a").bitwiseXOR(F.col("hi_b"))) + F.bit_count(F.col("lo_a").bitwiseXOR(F.col("lo_b")))
     aspect = F.abs(F.col("w_a") / F.col("h_a") - F.col("w_b") / F.col("h_b")) <= ASPECT
-    near = a.join(b, ["band", "value", "sub"]).where((apart <= RADIUS) & aspect)
-    return near.select("hash_a", "w_a", "h_a", "hash_b", "w_b", "h_b").distinct()
+    near = a.join(b, on).where((apart <= RADIUS) & aspect)
+    return near.drop(*on).distinct()
 
 
 def _mirror_links(rows: DataFrame) -> DataFrame:
@@ -145,14 +157,12 @@ def _mirror_links(rows: DataFrame) -> DataFrame:
 def overlap_pairs(media: DataFrame) -> DataFrame:
     """``train_id, other_id, kind``: every linked pair for each kind of evidence."""
     rows = prepared(media)
-    out = []
-    for kind, key in (("sha256", "sha"), ("canonical", "canonical")):
-        a, b = _sides(rows, key)
-        out.append(a.join(b, key).select("a", "b", F.lit(kind).alias("kind")))
-    a, b = _sides(rows, "hash", "w", "h")
+    a, b = _sides(rows)
+    out = [a.join(b, ["kind", "key"]).select("a", "b", "kind")]
+    members = hashed(rows)
+    side = lambda c, x: members.where(c).select(F.col("id").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in SHAPE])
     near = near_representatives(representatives(rows))
-    near = near.join(a.select("a", *[F.col(c).alias(f"{c}_a") for c in ("hash", "w", "h")]), ["hash_a", "w_a", "h_a"])
-    near = near.join(b.select("b", *[F.col(c).alias(f"{c}_b") for c in ("hash", "w", "h")]), ["hash_b", "w_b", "h_b"])
+    near = near.join(side("train", "a"), [f"{k}_a" for k in SHAPE]).join(side("not train", "b"), [f"{k}_b" for k in SHAPE])
     out.append(near.select("a", "b", F.lit("perceptual").alias("kind")))
     out.append(_mirror_links(rows).select("a", "b", F.lit("mirror").alias("kind")))
     pairs = reduce(DataFrame.unionByName, out).distinct()
@@ -164,13 +174,11 @@ def overlapping_records(media: DataFrame) -> DataFrame:
     ``id, split, source`` and one flag per kind. Semi-joins only, so a group of copies
     costs its members, not its pairs."""
     rows = prepared(media)
-    found = []
-    for kind, key in (("sha256", "sha"), ("canonical", "canonical")):
-        a, b = _sides(rows, key)
-        found.append(b.join(a.select(key).distinct(), key, "left_semi").select("b", F.lit(kind).alias("kind")))
-    _, b = _sides(rows, "hash", "w", "h")
-    near = near_representatives(representatives(rows)).select(F.col("hash_b").alias("hash"), F.col("w_b").alias("w"), F.col("h_b").alias("h")).distinct()
-    found.append(b.join(near, ["hash", "w", "h"], "left_semi").select("b", F.lit("perceptual").alias("kind")))
+    a, b = _sides(rows)
+    found = [b.join(a.select("kind", "key").distinct(), ["kind", "key"], "left_semi").select("b", "kind")]
+    near = near_representatives(representatives(rows)).select(*[F.col(f"{k}_b").alias(k) for k in SHAPE]).distinct()
+    others = hashed(rows).where("not train").select(F.col("id").alias("b"), *SHAPE)
+    found.append(others.join(near, list(SHAPE), "left_semi").select("b", F.lit("perceptual").alias("kind")))
     found.append(_mirror_links(rows).select("b", F.lit("mirror").alias("kind")))
     kinds = reduce(DataFrame.unionByName, found)
     flags = kinds.groupBy("b").agg(*[F.max(F.col("kind") == k).alias(k) for k in KINDS])
