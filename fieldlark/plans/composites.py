@@ -205,6 +205,37 @@ def c_longitude_envelope(spark, d):
     return best.select("species", "b.west", "b.east", F.round((360 - F.col("gap")) * 100000).cast("bigint").alias("width_e5"), (F.col("b.west") > F.col("b.east")).alias("over_date_line"))
 
 
+def taxon_geography(occ: DataFrame, taxon: str, resolution: int) -> DataFrame:
+    """Per taxon: points, occupied cells, groups of adjoining cells, and cells that stand alone
+    with a single point (outliers)."""
+    p = occ.where(F.trim(taxon) != "").select(F.trim(taxon).alias("taxon"), F.trim("decimalLatitude").try_cast("double").alias("lat"), F.trim("decimalLongitude").try_cast("double").alias("lon")).where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180))
+    cells = p.groupBy("taxon", geo.cell(F.col("lat"), F.col("lon"), resolution).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    node = lambda c: F.concat_ws("|", "taxon", c)
+    edges = cells.select("taxon", "cell", F.explode(geo.neighbours(F.col("cell"))).alias("other")).join(cells.select("taxon", F.col("cell").alias("other")), ["taxon", "other"], "left_semi").select(node("cell").alias("a"), node("other").alias("b"))
+    grouped = cells.withColumn("node", node("cell")).join(graph.same_component(edges, "a", "b"), "node")
+    per = grouped.groupBy("taxon", "component").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_cells"))
+    return per.groupBy("taxon").agg(F.sum("n").alias("n_points"), F.sum("n_cells").alias("n_cells"), F.count(F.lit(1)).alias("n_components"), F.count_if((F.col("n_cells") == 1) & (F.col("n") == 1)).alias("n_outliers"))
+
+
+@query(r"""with recursive p as (select trim(species) as taxon, try_cast(trim("decimalLatitude") as double) as lat, try_cast(trim("decimalLongitude") as double) as lon from occurrence_source where trim(species) <> ''), ok as (select * from p where lat between -90 and 90 and lon between -180 and 180),
+c as (select taxon, least(cast(floor((lat + 90) / 5.625) as bigint), 31) as r, cast(floor(((lon + 180) - 360 * floor((lon + 180) / 360)) / 5.625) as bigint) as k, count(*) as n from ok group by 1, 2, 3),
+e as (select a.taxon, a.r as r1, a.k as k1, b.r as r2, b.k as k2 from c a join c b on a.taxon = b.taxon and abs(a.r - b.r) <= 1 and ((a.k - b.k + 64) % 64) in (0, 1, 63)),
+reach as (select taxon, r, k, r as r2, k as k2 from c union select reach.taxon, reach.r, reach.k, e.r2, e.k2 from reach join e on e.taxon = reach.taxon and e.r1 = reach.r2 and e.k1 = reach.k2),
+root as (select taxon, r, k, min(r2 * 1000 + k2) as root from reach group by 1, 2, 3), g as (select taxon, root, cast(sum(n) as bigint) as n, count(*) as cells from root join c using (taxon, r, k) group by 1, 2)
+select taxon, cast(sum(n) as bigint) as n_points, cast(sum(cells) as bigint) as n_cells, count(*) as n_components, count(*) filter (cells = 1 and n = 1) as n_outliers from g group by 1""")
+def c_taxon_geography(spark, d):
+    return taxon_geography(table(spark, d, "occurrence_source"), "species", 4)
+
+
+@query("""with p as (select trim(species) as taxon, try_cast(trim("decimalLatitude") as double) as lat, try_cast(trim("decimalLongitude") as double) as lon from occurrence_source where trim(species) <> ''), ok as (select * from p where lat between -90 and 90 and lon between -180 and 180),
+c as (select '2/' || least(cast(floor((lat + 90) / 22.5) as bigint), 7) || '/' || cast(floor(((lon + 180) - 360 * floor((lon + 180) / 360)) / 22.5) as bigint) as cell, taxon from ok)
+select cell, taxon, count(*) as n, cast(row_number() over (partition by cell order by count(*) desc, taxon) as int) as place from c group by 1, 2""")
+def c_geo_taxon_partitions(spark, d):
+    p = table(spark, d, "occurrence_source").where(F.trim("species") != "").select(F.trim("species").alias("taxon"), F.trim("decimalLatitude").try_cast("double").alias("lat"), F.trim("decimalLongitude").try_cast("double").alias("lon")).where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180))
+    per = p.groupBy(geo.cell(F.col("lat"), F.col("lon"), 2).alias("cell"), "taxon").agg(F.count(F.lit(1)).alias("n"))
+    return per.withColumn("place", F.row_number().over(Window.partitionBy("cell").orderBy(F.desc("n"), "taxon")))
+
+
 # ---------------------------------------------------------------- names, hierarchies, graphs
 
 
@@ -340,6 +371,13 @@ def v_entropy_softmax(spark, d):
     return table(spark, d, "calibration_prediction").select("prediction_id", F.round(vectors.entropy(s), 9).alias("entropy"), vectors.argmax(s).alias("best"), F.round(F.get(vectors.softmax(s), F.lit(0)), 9).alias("softmax_first"))
 
 
+@query(_SCORES + """, g as (select vec_id, avg(score) as all_mean, max(score) filter (class = own) as own_score from s group by 1) select vec_id, round(own_score - all_mean, 6) as above_all, own_score > all_mean as supported from g""")
+def v_disagreement(spark, d):
+    """How far the score of a row's own class stands out from its mean over all classes."""
+    g = _scores(spark, d).groupBy("vec_id").agg(F.avg("score").alias("m"), F.max(F.when(F.col("class") == F.col("own"), F.col("score"))).alias("o"))
+    return g.select("vec_id", F.round(F.col("o") - F.col("m"), 6).alias("above_all"), (F.col("o") > F.col("m")).alias("supported"))
+
+
 @query()
 def v_class_clusters(spark, d):
     """Classes joined by average linkage of their mean vectors; the means of all rows are one

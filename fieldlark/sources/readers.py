@@ -164,3 +164,10 @@ def image_candidates(html: str | None, base: str) -> list[str]:
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def page_images(html: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([image_candidates(h if isinstance(h, str) else None, b or "") for h, b in zip(html, base, strict=True)])
+
+
+def inventory(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, n_bytes, digest`` of the files under the paths; digests are made where the
+    blocks lie, by tasks that read one file at a time."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.select("path", F.col("length").alias("n_bytes"), F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("digest"))

@@ -81,3 +81,43 @@ def write_table(df: DataFrame, name: str, key: str, buckets: int = 16) -> None:
     """A bucketed, sorted table with statistics: what a lookup index is on a cluster."""
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     df.sparkSession.sql(f"analyze table {name} compute statistics for columns {key}")
+
+
+def bundle(folder: str, target: str) -> dict:
+    """A tar of a published folder with the digest of every file, written on the driver: meant
+    for reports and manifests, not for tables. The bundle's own list comes first in it."""
+    import hashlib
+    import io
+    import os
+    import tarfile
+
+    names = sorted(os.path.relpath(os.path.join(d, f), folder) for d, _, fs in os.walk(folder) for f in fs if not f.startswith("."))
+    files = {}
+    for n in names:
+        digest = hashlib.sha256()
+        with open(os.path.join(folder, n), "rb") as src:
+            while chunk := src.read(1 << 20):
+                digest.update(chunk)
+        files[n] = {"bytes": os.path.getsize(os.path.join(folder, n)), "sha256": digest.hexdigest()}
+    listing = json.dumps(files, sort_keys=True, indent=1).encode()
+    with tarfile.open(target, "w:gz") as tar:
+        head = tarfile.TarInfo("files.json")
+        head.size = len(listing)
+        tar.addfile(head, io.BytesIO(listing))
+        for n in names:
+            tar.add(os.path.join(folder, n), n)
+    return files
+
+
+def unbundle(archive: str, folder: str) -> dict:
+    """Unpacks a bundle after checking every digest against its list."""
+    import hashlib
+    import tarfile
+
+    with tarfile.open(archive) as tar:
+        files = json.loads(tar.extractfile("files.json").read())
+        for n, about in files.items():
+            if hashlib.sha256(tar.extractfile(n).read()).hexdigest() != about["sha256"]:
+                raise ValueError(f"{n} is not what the list says")
+        tar.extractall(folder, members=[tar.getmember(n) for n in files], filter="data")
+    return files

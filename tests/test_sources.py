@@ -70,3 +70,29 @@ def test_conform_and_partitions(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "r")).groupBy("source_partition").count().count() == 3
     sinks.write_csv(spark.createDataFrame([("=1", 1)], "a string, b int"), str(tmp_path / "c"))
     assert "'=1" in "".join(p.read_text() for p in (tmp_path / "c").glob("*.csv"))
+
+
+def test_bundle_and_inventory(spark, tmp_path):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    (folder / "a.txt").write_text("x")
+    made = sinks.bundle(str(folder), str(tmp_path / "b.tgz"))
+    assert sinks.unbundle(str(tmp_path / "b.tgz"), str(tmp_path / "g")) == made and (tmp_path / "g" / "a.txt").read_text() == "x"
+    row = readers.inventory(spark, [str(folder)]).first()
+    assert row["n_bytes"] == 1 and row["digest"] == "sha256:" + made["a.txt"]["sha256"]
+
+
+def test_image_hash(spark):
+    import numpy as np
+
+    from fieldlark.functions.images import difference_hash, grey_hash
+
+    ramp = np.tile(np.arange(64), (64, 1))
+    assert difference_hash(ramp) == "dhash128-v1:" + "f" * 16 + "0" * 16
+    rng = np.random.default_rng(0)
+    noise = rng.integers(0, 255, (120, 160)).astype(np.uint8)
+    near = np.clip(noise.astype(int) + 3, 0, 255)
+    apart = int(difference_hash(noise)[12:], 16) ^ int(difference_hash(near)[12:], 16)
+    assert apart.bit_count() <= 8
+    df = spark.createDataFrame([(bytearray(noise.tobytes()), 160), (None, 5), (bytearray(b"abc"), 2)], "p binary, w int")
+    assert [r[0] for r in df.select(grey_hash("p", "w")).collect()] == [difference_hash(noise), None, None]
