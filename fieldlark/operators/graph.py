@@ -29,10 +29,6 @@ from fieldlark.session import cut
 Hash = Callable[[Column], Column]
 
 
-def _check(c: Column) -> Column:
-    return F.xxhash64(F.lit("#"), c)
-
-
 def _roots(pairs: DataFrame) -> DataFrame | None:
     """``u, root, round`` for every label in ``pairs`` (``a, b`` are linked); None if there is no pair.
     Labels of different rounds live in different spaces, so the round is part of a root."""
@@ -63,11 +59,13 @@ def grouped_sets(rows: DataFrame, record: str, entities: Column, label: Hash = F
     belong together. ``entities`` is an array of texts; each row is one record."""
     known = F.filter(entities, lambda e: e.isNotNull())
     base = rows.select(F.col(record).alias("rec"), known.alias("e")).where(F.col("rec").isNotNull() & (F.size("e") > 0))
-    if base.select(F.inline(F.transform("e", lambda e: F.struct(label(e).alias("lab"), _check(e).alias("chk"))))).groupBy("lab").agg(F.min("chk").alias("x"), F.max("chk").alias("y")).where("x <> y").isEmpty():
-        sets = base.select("rec", F.transform("e", lambda e: label(e)).alias("labs"))
+    hashed = cut(base.select("rec", F.transform("e", lambda e: F.struct(label(e).alias("lab"), F.xxhash64(e).alias("h"), F.xxhash64(F.lit("#"), e).alias("chk"))).alias("e")))
+    ends = [f(c).alias(f"{c}_{n}") for c in ("h", "chk") for n, f in (("low", F.min), ("high", F.max))]
+    shared = hashed.select(F.inline("e")).groupBy("lab").agg(*ends).where("h_low <> h_high or chk_low <> chk_high")
+    if shared.isEmpty():
+        sets = hashed.select("rec", F.transform("e", lambda e: e["lab"]).alias("labs"))
     else:
-        numbered = base.withColumn("row", F.monotonically_increasing_id())
-        named = cut(numbered.select("rec", "row", F.explode("e").alias("e")).select("rec", "row", F.xxhash64("e").alias("h"), _check(F.col("e")).alias("chk")))
+        named = cut(hashed.withColumn("row", F.monotonically_increasing_id()).select("rec", "row", F.inline("e")).drop("lab"))
         numbers = cut(named.select("h", "chk").distinct().withColumn("id", F.monotonically_increasing_id()))
         sets = cut(named.join(numbers, ["h", "chk"]).groupBy("row").agg(F.first("rec").alias("rec"), F.collect_set(F.xxhash64("id")).alias("labs")).select("rec", "labs"))
     # entity -> record: a record takes its smallest label; its other entities link to that one.
