@@ -52,21 +52,22 @@ def _key(columns: Sequence[str]) -> Column:
 
 def _missing(refs: DataFrame, targets: DataFrame, timed: bool, marked: bool) -> DataFrame:
     """Of refs(__key, __t, ...) those without a live target; adds ``orphan_reason``."""
-    rest = [c for c in refs.columns if c not in ("__key", "__t")]
     if not timed and not marked:
         return refs.join(targets.select("__key").distinct(), "__key", "left_anti").withColumn("orphan_reason", F.lit("absent"))
     if not marked:
         first = targets.groupBy("__key").agg(F.min("__t").alias("__first"))
         out = refs.join(first, "__key", "left").where(F.col("__first").isNull() | (F.col("__first") > F.col("__t")))
         return out.withColumn("orphan_reason", F.when(F.col("__first").isNull(), "absent").otherwise("late")).drop("__first")
-    # Newest target up to each reference: both sides in one ordered run per key.
+    # Newest target up to each moment of reference: both sides in one ordered run per key.
+    # References of one key and moment are one event, combined before the shuffle; the rows
+    # themselves meet the moments that found nothing in an equi-join afterwards.
     newest = targets.groupBy("__key", "__t").agg(F.max_by("__gone", "__tie").alias("__gone"))
-    events = newest.select("__key", "__t", F.lit(0).alias("__kind"), "__gone", F.lit(None).cast(refs.select(F.struct(*rest)).schema[0].dataType).alias("__row"))
-    asked = refs.select("__key", "__t", F.lit(1).alias("__kind"), F.lit(None).cast("boolean").alias("__gone"), F.struct(*rest).alias("__row"))
+    events = newest.select("__key", "__t", F.lit(0).alias("__kind"), "__gone")
+    asked = refs.select("__key", "__t", F.lit(1).alias("__kind"), F.lit(None).cast("boolean").alias("__gone")).distinct()
     seen = carried(events.unionByName(asked), "__key", "__t", ["__kind"], F.col("__gone"), "__state", include_current=True)
     lost = seen.where((F.col("__kind") == 1) & F.coalesce("__state", F.lit(True)))
     reason = F.when(F.col("__state").isNull(), "absent").otherwise("deleted")
-    return lost.select("__key", "__t", *[F.col(f"__row.`{c}`").alias(c) for c in rest], reason.alias("orphan_reason"))
+    return refs.join(lost.select("__key", "__t", reason.alias("orphan_reason")), ["__key", "__t"])
 
 
 def orphan_references(

@@ -58,3 +58,10 @@ def test_keys(spark):
     got = df.select(whole_number(F.col("a")).alias("a"), url_key(F.col("u")).alias("u")).collect()
     assert [r["a"] for r in got] == ["7", "5", "abc", "0"]
     assert [r["u"] for r in got] == ["https://ex.org/A?b", "x", "http://h", None]
+
+
+def test_many_references_of_one_moment(spark):
+    r = spark.range(5000).select("id", F.lit("1").alias("k"), F.lit(day(6)).cast("timestamp").alias("t"))
+    _, t = frames(spark)
+    out = orphan_references(r, [F.col("k")], t, [F.col("k")], ref_time=F.col("t"), target_time=F.col("t"), target_deleted=F.col("gone"), target_tie=F.col("n"))
+    assert out.count() == 5000
