@@ -14,8 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from fieldlark.functions.vectors import cosine
+from pyspark.sql.pandas.types import to_arrow_type
 
 BLOCK = 2_000
 
@@ -82,15 +81,37 @@ def class_means(df: DataFrame, label: str, vector: str) -> DataFrame:
     return means.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("mean"))
 
 
-def class_scores(df: DataFrame, means: DataFrame, ident: str, vector: str, label: str) -> DataFrame:
-    """Cosine of each row with each class mean. The means are one row per class; the planner
-    broadcasts them if their measured size allows."""
-    tagged = means.select(F.col(label).alias("class"), "mean")
-    classes = tagged.agg(F.collect_list(F.struct("class", "mean")).alias("all"))
-    # One row of all class means, attached by a constant key: an equi-join, not a product.
-    one = classes.withColumn("__one", F.lit(1))
-    flat = df.withColumn("__one", F.lit(1)).join(one, "__one").select(ident, F.col(label).alias("own"), vector, F.inline("all"))
-    return flat.select(ident, "own", "class", cosine(F.col(vector), F.col("mean")).alias("score"))
+def class_scores(df: DataFrame, means: DataFrame, ident: str, vector: str, label: str, block: int = BLOCK) -> DataFrame:
+    """``ident, own, class, score``: cosine of each row with each class mean. The means go out
+    in blocks of bounded size; each Arrow batch is one matrix product per block."""
+    spark = df.sparkSession
+    kinds = [df.schema[c].dataType.simpleString() for c in (ident, label)]
+    schema = f"{ident} {kinds[0]}, own {kinds[1]}, class {kinds[1]}, score double"
+    rows = df.select(ident, F.col(label).alias("own"), F.col(vector).alias("v")).where(F.col("v").isNotNull())
+
+    def against(batch: list) -> DataFrame:
+        classes = pa.array([r[0] for r in batch], to_arrow_type(df.schema[label].dataType))
+        shared = spark.sparkContext.broadcast((classes, _unit(np.array([r[1] for r in batch], np.float64))))
+
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, matrix = shared.value
+            for b in batches:
+                if b.num_rows:
+                    score = np.clip(_unit(np.array(b.column("v").to_pylist(), np.float64)) @ matrix.T, -1, 1)
+                    at, which = pa.array(np.repeat(np.arange(b.num_rows), len(names))), pa.array(np.tile(np.arange(len(names)), b.num_rows))
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), names.take(which), pa.array(score.ravel())], [ident, "own", "class", "score"])
+
+        return rows.mapInArrow(look, schema)
+
+    parts, held = [], []
+    for row in means.select(label, "mean").where(F.col(label).isNotNull()).toLocalIterator():
+        held.append(row)
+        if len(held) == block:
+            parts.append(against(held))
+            held = []
+    if held:
+        parts.append(against(held))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def predicted_class(scores: DataFrame, ident: str) -> DataFrame:
