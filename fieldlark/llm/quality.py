@@ -148,7 +148,7 @@ def _units(lines: list[str]) -> tuple[list[tuple[str, bool]], int, int]:
 
 def _is_sentence(s: str, words: list[str], common: list[str], apart: bool) -> bool:
     """Whether words are held together by function words; entries and rows need more of them."""
-    if not words:
+    if not words or "{" in s or "}" in s or "</" in s or "();" in s:
         return False
     if not s.isascii() and (cjk := len(_CJK.findall(s))):
         if cjk >= 8 or 2 * cjk > sum(map(len, words)):

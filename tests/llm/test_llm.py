@@ -254,6 +254,7 @@ OTHERS = {
     "json": '{"lat": "1.5", "taxon": "Aaa bbb"}\n' * 4,
     "junk": "qwpo[eiru];'zx,cmv/ " * 20,
     "loop": PROSE * 40,
+    "code": "if (!belo) { return the; }\nif (!of) { return in; }\n" * 4,
     "nav": "Home  Contact  Login  Share  Menu  " * 10,
 }
 
