@@ -96,3 +96,28 @@ def test_image_hash(spark):
     assert apart.bit_count() <= 8
     df = spark.createDataFrame([(bytearray(noise.tobytes()), 160), (None, 5), (bytearray(b"abc"), 2)], "p binary, w int")
     assert [r[0] for r in df.select(grey_hash("p", "w")).collect()] == [difference_hash(noise), None, None]
+
+
+def test_paged_source(spark, tmp_path):
+    from fieldlark.sources.pages import PagedJson
+
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    for i, body in enumerate([{"response": {"results": [{"k": 1}, {"k": 2}], "endOfRecords": False}}, {"results": [{"k": 3}], "endOfRecords": True}, {"results": None}]):
+        (pages / f"p{i}.json").write_text(json.dumps(body))
+    spark.dataSource.register(PagedJson)
+    rows = spark.read.format("paged_json").load(str(pages)).orderBy("page", "place").collect()
+    assert [(r["page"], r["place"], r["record"], r["end_of_records"]) for r in rows] == [(0, 0, '{"k": 1}', False), (0, 1, '{"k": 2}', False), (1, 0, '{"k": 3}', True)]
+    out = []
+
+    def each(batch, n):
+        out.extend(r["record"] for r in batch.collect())
+
+    stream = spark.readStream.format("paged_json").option("pagesPerBatch", 1).load(str(pages))
+    q = stream.writeStream.foreachBatch(each).option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="0 seconds").start()
+    for _ in range(60):
+        q.processAllAvailable()
+        if len(out) >= 3:
+            break
+    q.stop()
+    assert sorted(out) == ['{"k": 1}', '{"k": 2}', '{"k": 3}']
