@@ -62,16 +62,20 @@ def carried(
     into: str,
     *,
     include_current: bool,
+    hot: list[tuple[object, list[int]]] | None = None,
     rows_per_chunk: int = 100_000,
 ) -> DataFrame:
     """``df`` with ``into``: the last non-NULL ``value`` of the same key before each row,
-    or up to and with it. ``order`` is a bigint column, ``then`` settles ties.
+    or up to and with it. ``order`` is a bigint column, ``then`` settles ties. ``hot`` comes
+    from ``hot_keys`` over rows that are cheaper to read, where the caller has such; keys that
+    are hot there but not in ``df`` only get more chunks than they need.
 
     Without hot keys this is one shuffle by key and a running window; with them the
     shuffle is by (key, chunk) and the first rows of a chunk take their value from the
     last one of the chunks before, found by a map-side combined ``max_by``."""
     df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumn("__v", value)
-    hot = hot_keys(df, key, order, rows_per_chunk)
+    if hot is None:
+        hot = hot_keys(df, key, order, rows_per_chunk)
     parts = chunked(df, key, order, hot)
     last = Window.unboundedPreceding, 0 if include_current else -1
     w = Window.partitionBy(key, "__chunk").orderBy(order, *then)
@@ -110,8 +114,10 @@ def value_changes(df: DataFrame, key: Column, when: str, ident: str, value: str,
     A key's first delivery is no change. NULL keys, times and values take no part."""
     rows = df.select(key.alias("key"), F.col(when).alias("at"), F.col(ident).alias("ident"), F.col(value).alias("value"))
     rows = rows.where(F.col("key").isNotNull() & F.col("at").isNotNull() & F.col("value").isNotNull())
+    # Hot keys are found on the scan, before any shuffle.
+    hot = hot_keys(rows.select("key", micros(F.col("at")).alias("__t")), "key", "__t", rows_per_chunk)
     deliveries = rows.groupBy("key", "at").agg(F.min_by("value", "ident").alias("value"), F.min("ident").alias("ident")).withColumn("__t", micros(F.col("at")))
-    out = carried(deliveries, "key", "__t", ["ident"], F.col("value"), "previous", include_current=False, rows_per_chunk=rows_per_chunk)
+    out = carried(deliveries, "key", "__t", ["ident"], F.col("value"), "previous", include_current=False, hot=hot)
     return out.where(F.col("previous") != F.col("value")).select("key", "at", "ident", "value", "previous")
 
 
