@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlark.operators.hot_keys import carried, micros
+from fieldlark.operators.hot_keys import carried, hot_keys, micros
 
 LATEST = 2**62
 
@@ -64,7 +64,8 @@ def _missing(refs: DataFrame, targets: DataFrame, timed: bool, marked: bool) ->
     newest = targets.groupBy("__key", "__t").agg(F.max_by("__gone", "__tie").alias("__gone"))
     events = newest.select("__key", "__t", F.lit(0).alias("__kind"), "__gone")
     asked = refs.select("__key", "__t", F.lit(1).alias("__kind"), F.lit(None).cast("boolean").alias("__gone")).distinct()
-    seen = carried(events.unionByName(asked), "__key", "__t", ["__kind"], F.col("__gone"), "__state", include_current=True)
+    hot = hot_keys(targets.select("__key", "__t").unionByName(refs.select("__key", "__t")), "__key", "__t")
+    seen = carried(events.unionByName(asked), "__key", "__t", ["__kind"], F.col("__gone"), "__state", include_current=True, hot=hot)
     lost = seen.where((F.col("__kind") == 1) & F.coalesce("__state", F.lit(True)))
     reason = F.when(F.col("__state").isNull(), "absent").otherwise("deleted")
     return refs.join(lost.select("__key", "__t", reason.alias("orphan_reason")), ["__key", "__t"])
