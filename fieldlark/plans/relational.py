@@ -560,3 +560,53 @@ def q_keyword_flags(spark, d):
 @query("""select c_custkey, case when regexp_matches(v, '^[=+@-]') then '''' || v else v end as safe from (select c_custkey, cast(c_acctbal as decimal(12, 2))::varchar as v from customer)""")
 def q_csv_safe(spark, d):
     return table(spark, d, "customer").select("c_custkey", scalars.csv_safe(F.col("c_acctbal").cast("decimal(12,2)").cast("string")).alias("safe"))
+
+
+# ---------------------------------------------------------------- further joins, orders and mappings
+
+
+@query("""select l_orderkey, l_linenumber from lineitem join orders on l_orderkey = o_orderkey and l_shipdate > o_orderdate + interval 60 day where l_quantity * 1000 < o_totalprice""")
+def q_residual_join(spark, d):
+    """An equi-join with inequalities left over: the key shuffles, the rest filters."""
+    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    met = li.join(o, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_shipdate") > F.col("o_orderdate") + F.expr("interval 60 days")))
+    return met.where(F.col("l_quantity") * 1000 < F.col("o_totalprice")).select("l_orderkey", "l_linenumber")
+
+
+@query("""select source_ordinal, cast(row_number() over (partition by "datasetKey" order by try_cast("coordinateUncertaintyInMeters" as double) asc nulls last, "eventDate" desc nulls last, source_ordinal) as int) as place from occurrence_source""")
+def q_queue_order(spark, d):
+    w = Window.partitionBy("datasetKey").orderBy(F.col("coordinateUncertaintyInMeters").try_cast("double").asc_nulls_last(), F.col("eventDate").desc_nulls_last(), "source_ordinal")
+    return _occ(spark, d).select("source_ordinal", F.row_number().over(w).alias("place"))
+
+
+@query("""select source_ordinal, case "basisOfRecord" when 'HUMAN_OBSERVATION' then 'T1' when 'PRESERVED_SPECIMEN' then 'T2' when 'MACHINE_OBSERVATION' then 'T3' else 'T5' end as tier,
+  coalesce(case "basisOfRecord" when 'HUMAN_OBSERVATION' then 'T1' when 'PRESERVED_SPECIMEN' then 'T2' end, 'T5') || ':' || coalesce("taxonRank", '') as label from occurrence_source""")
+def q_mapping_and_tiers(spark, d):
+    """Replacement by a map and a label from parts; what the map does not know falls to the last tier."""
+    tiers = F.create_map(*[F.lit(x) for x in ("HUMAN_OBSERVATION", "T1", "PRESERVED_SPECIMEN", "T2", "MACHINE_OBSERVATION", "T3")])
+    high = F.create_map(*[F.lit(x) for x in ("HUMAN_OBSERVATION", "T1", "PRESERVED_SPECIMEN", "T2")])
+    b = F.col("basisOfRecord")
+    return _occ(spark, d).select("source_ordinal", F.coalesce(F.try_element_at(tiers, b), F.lit("T5")).alias("tier"), F.concat_ws(":", F.coalesce(F.try_element_at(high, b), F.lit("T5")), F.coalesce("taxonRank", F.lit(""))).alias("label"))
+
+
+@query("""with f as (select field, status, count(*) as n from (
+  select unnest(['identity', 'taxon', 'place']) as field, unnest([case when "gbifID" is null then 'FAIL' else 'PASS' end, case when species is null then 'UNKNOWN' else 'PASS' end, case when nullif(trim("decimalLatitude"), '') is null then 'UNKNOWN' when try_cast(trim("decimalLatitude") as double) is null then 'FAIL' else 'PASS' end]) as status from occurrence_source) where status <> 'PASS' group by 1, 2)
+select * from f""")
+def q_failure_breakdown(spark, d):
+    """Rows per check and failing status, from one pass that unpivots the statuses."""
+    lat = F.trim("decimalLatitude")
+    o = _occ(spark, d).select(
+        scalars.ladder((F.col("gbifID").isNull(), "FAIL"), otherwise="PASS").alias("identity"),
+        scalars.ladder((F.col("species").isNull(), "UNKNOWN"), otherwise="PASS").alias("taxon"),
+        scalars.ladder((nonblank(lat).isNull(), "UNKNOWN"), (lat.try_cast("double").isNull(), "FAIL"), otherwise="PASS").alias("place"),
+    )
+    return aggregates.status_summary(o, ["identity", "taxon", "place"]).where("status <> 'PASS'")
+
+
+@query("""select metric, n, status from (select 'rows' as metric, count(*) as n, 'PASS' as status from gbif_media union all select 'records', count(distinct trim("gbifID")), 'PASS' from gbif_media
+  union all select 'urls', count(distinct trim(media_identifier)), 'PASS' from gbif_media union all select 'contents', null, 'NOT_TESTED')""")
+def q_coverage_metrics(spark, d):
+    """Counts of a table as rows, with the measures that are not made named as such."""
+    one = _media(spark, d).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.trim("gbifID")).alias("records"), F.count_distinct(F.trim("media_identifier")).alias("urls"))
+    stack = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("n"), F.lit("PASS").alias("status")) for m in ("rows", "records", "urls")], F.struct(F.lit("contents").alias("metric"), F.lit(None).cast("bigint").alias("n"), F.lit("NOT_TESTED").alias("status")))
+    return one.select(F.inline(stack))

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldlark.operators.joins import with_ordinal
+
 NULLS = ("", "NULL", "null", "NA", "N/A")
 
 
@@ -82,11 +84,16 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] | None
     return df.select(*clean)
 
 
-def read_archive_member(spark: SparkSession, archive: str, folder: str, member: str | None = None, constants: dict[str, str] | None = None) -> DataFrame:
-    """A member of an archive by its descriptor, with constant columns."""
+def read_archive_member(spark: SparkSession, archive: str, folder: str, member: str | None = None, constants: dict[str, str] | None = None, row_number: str | None = None) -> DataFrame:
+    """A member of an archive by its descriptor, with constant columns and, if named, the
+    1-based number of each row in the file."""
     tables = inspect_archive(archive)
     m = next(t for t in tables if member in (None, t.location))
     df = read_delimited(spark, unpack_member(archive, m.location, folder), sep=m.separator, quote=m.enclosure, header=m.header_lines > 0, fields=m.fields)
+    if row_number:
+        # Ids rise along the blocks of the one file; the ordinal makes them dense.
+        numbered = with_ordinal(df.withColumn("__place", F.monotonically_increasing_id()), ["__place"], row_number)
+        df = numbered.withColumn(row_number, F.col(row_number) + 1).drop("__place")
     for k, v in {**dict(m.constants), **(constants or {})}.items():
         df = df.withColumn(k, F.lit(v))
     return df

@@ -25,6 +25,8 @@ def test_archive(spark, archive, tmp_path):
     assert (m.location, m.separator, m.fields, m.constants) == ("occurrence.txt", "\t", ("id", "species"), (("country", "XA"),))
     df = readers.read_archive_member(spark, str(archive), str(tmp_path), constants={"snapshot": "s1"})
     assert sorted(map(tuple, df.collect())) == [("1", '"A b', "XA", "s1"), ("2", None, "XA", "s1")]
+    numbered = readers.read_archive_member(spark, str(archive), str(tmp_path), row_number="n")
+    assert sorted((r["n"], r["id"]) for r in numbered.collect()) == [(1, "1"), (2, "2")]
 
 
 def test_workload(spark, tmp_path):
