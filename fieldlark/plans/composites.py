@@ -102,7 +102,7 @@ def c_readiness_ladder(spark, d):
 
 
 @query("""with p as (select coalesce(nullif(trim(publisher), ''), '<MISSING>') as provider, count(*) as n, min(ingested_at) as first_seen, max(ingested_at) as last_seen from occurrence_source group by 1)
-select provider, n, first_seen, last_seen, datediff('day', last_seen::date, date '2026-03-18') as age_days, case when datediff('day', last_seen::date, date '2026-03-18') > 30 then 'FAIL' else 'PASS' end as freshness from p""")
+select provider, n, first_seen, last_seen, cast(datediff('day', last_seen::date, date '2026-03-18') as int) as age_days, case when datediff('day', last_seen::date, date '2026-03-18') > 30 then 'FAIL' else 'PASS' end as freshness from p""")
 def c_freshness(spark, d):
     per = table(spark, d, "occurrence_source").groupBy(first_known(F.col("publisher")).alias("provider")).agg(F.count(F.lit(1)).alias("n"), F.min("ingested_at").alias("first_seen"), F.max("ingested_at").alias("last_seen"))
     age = F.datediff(F.lit("2026-03-18").cast("date"), F.to_date("last_seen"))

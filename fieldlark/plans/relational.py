@@ -34,7 +34,7 @@ def _media(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- scans, projections, predicates
 
 
-@query("select source_ordinal, trim(\"gbifID\") as id_text, try_cast(\"taxonKey\" as bigint) as taxon_number, upper(\"basisOfRecord\") as basis, length(\"scientificName\") as name_length from occurrence_source")
+@query("select source_ordinal, trim(\"gbifID\") as id_text, try_cast(\"taxonKey\" as bigint) as taxon_number, upper(\"basisOfRecord\") as basis, cast(length(\"scientificName\") as int) as name_length from occurrence_source")
 def q_projection_rename_cast(spark, d):
     return _occ(spark, d).select("source_ordinal", F.trim("gbifID").alias("id_text"), F.col("taxonKey").try_cast("bigint").alias("taxon_number"), F.upper("basisOfRecord").alias("basis"), F.length("scientificName").alias("name_length"))
 
@@ -350,7 +350,7 @@ def q_key_check(spark, d):
     return aggregates.key_check(_occ(spark, d), ["datasetKey", "occurrenceID"])
 
 
-@query("""select sum(cast(any_photo as int)) as n_with_png, count(*) as n_ids from (select "gbifID", bool_or(media_format = 'image/png') as any_photo from gbif_media where "gbifID" is not null group by 1)""")
+@query("""select cast(sum(cast(any_photo as int)) as bigint) as n_with_png, count(*) as n_ids from (select "gbifID", bool_or(media_format = 'image/png') as any_photo from gbif_media where "gbifID" is not null group by 1)""")
 def q_two_level_boolean(spark, d):
     per = _media(spark, d).where(F.col("gbifID").isNotNull()).groupBy("gbifID").agg(F.bool_or(F.col("media_format") == "image/png").alias("any_photo"))
     return per.agg(F.sum(F.col("any_photo").cast("int")).alias("n_with_png"), F.count(F.lit(1)).alias("n_ids"))
@@ -493,7 +493,7 @@ def q_event_date_status(spark, d):
 g as (select *, regexp_full_match(a, '[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2}:[0-9]{2}(:[0-9]{2})?)?') as sa, regexp_full_match(b, '[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2}:[0-9]{2}(:[0-9]{2})?)?') as sb, try_cast(substr(a, 1, 10) as date) as fa, try_cast(substr(b, 1, 10) as date) as fb from t),
 s as (select *, case when e is null then 'missing_event_date' when regexp_full_match(e, '[0-9]{4}(-[0-9]{2})?') then 'insufficient_precision' when len(p) > 2 or not sa then 'unsupported_format' when fa is null then 'invalid_calendar_date'
   when len(p) = 2 and not sb then 'unsupported_format' when len(p) = 2 and fb is null then 'invalid_calendar_date' when len(p) = 2 and fa > fb then 'reversed_interval' when year(fa) < 1960 then 'excluded_pre_1960' else 'derived' end as status from g)
-select source_ordinal, status, case when status in ('derived', 'excluded_pre_1960') then year(fa) end as derived_year, case when status in ('derived', 'excluded_pre_1960') then month(fa) end as derived_month, case when status in ('derived', 'excluded_pre_1960') then day(fa) end as derived_day,
+select source_ordinal, status, case when status in ('derived', 'excluded_pre_1960') then cast(year(fa) as int) end as derived_year, case when status in ('derived', 'excluded_pre_1960') then cast(month(fa) as int) end as derived_month, case when status in ('derived', 'excluded_pre_1960') then cast(day(fa) as int) end as derived_day,
   case when status in ('derived', 'excluded_pre_1960') then 'event_date_' || case when len(p) = 2 then 'interval_start_' else 'single_' end || case when contains(a, 'T') then 'timestamp' else 'date' end end as method from s""")
 def q_temporal_components(spark, d):
     none = F.lit(None).cast("string")
@@ -539,7 +539,7 @@ def q_json_fingerprint(spark, d):
     return table(spark, d, "events").select("event_id", names.json_fingerprint(F.col("props")).alias("fingerprint"))
 
 
-@query("""select event_id, cast(json_extract(props, '$.k') as bigint) as k, ts::date as day, datediff('day', ts::date, date '2024-02-01') as age_days, case when datediff('day', ts::date, date '2024-02-01') > 14 then 'FAIL' when ts > timestamp '2024-02-01' then 'CONFLICT' else 'PASS' end as freshness from events""")
+@query("""select event_id, cast(json_extract(props, '$.k') as bigint) as k, ts::date as day, cast(datediff('day', ts::date, date '2024-02-01') as int) as age_days, case when datediff('day', ts::date, date '2024-02-01') > 14 then 'FAIL' when ts > timestamp '2024-02-01' then 'CONFLICT' else 'PASS' end as freshness from events""")
 def q_json_and_freshness(spark, d):
     now = F.lit("2024-02-01").cast("date")
     age = F.datediff(now, F.to_date("ts"))
