@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldlark.functions import geo, names, scalars, vectors
 from fieldlark.functions.scalars import first_known, ladder, nonblank, worst_status
-from fieldlark.operators import aggregates, evaluation, graph, joins, registry, similarity
-from fieldlark.operators.references import url_key, whole_number
+from fieldlark.operators import aggregates, evaluation, graph, registry, similarity
 from fieldlark.plans.register import Register
 from fieldlark.session import table
 

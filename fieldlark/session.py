@@ -65,3 +65,13 @@ def fresh(df: DataFrame, stem: str) -> str:
         k += 1
         name = f"{stem}_{k}"
     return name
+
+
+def spread(df: DataFrame, ident: str) -> DataFrame:
+    """``df`` dealt over all cores by an id, if it comes in at most half as many partitions.
+
+    Work in Python that follows a scan of a few small files would otherwise leave most
+    cores idle. Larger inputs have more splits than cores and are not shuffled."""
+    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, ident) if 2 * have <= cores else df
