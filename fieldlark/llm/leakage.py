@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from fieldlark.session import spread
+
 WINDOW, BLOCK = 13, 3
 MOST_WORDS = 200_000
 _WORD = re.compile(r"[^\W_]+")
@@ -87,6 +89,7 @@ def leaked_items(documents: DataFrame, ident: str, text: str, items: DataFrame,
     spark = documents.sparkSession
     kind, item_kind = documents.schema[ident].dataType.simpleString(), items.schema[item].dataType.simpleString()
     asked = documents.select(F.col(ident).alias("doc_id"), F.col(text).alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    asked = spread(asked, "doc_id")
     schema, item_arrow = f"doc_id {kind}, item_id {item_kind}", to_arrow_type(items.schema[item].dataType)
 
     def search(block: list[tuple[int, list[str]]]) -> DataFrame:

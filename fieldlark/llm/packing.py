@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlark.session import cut
+from fieldlark.session import cut, spread
 
 CAPACITY = 2048
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -63,7 +63,7 @@ def pieces(documents: DataFrame, ident: str, text: str, path: str = TOKENIZER, c
             )
 
     asked = documents.select(F.col(ident).alias("doc_id"), F.col(text).alias("text"))
-    return asked.mapInArrow(count, f"doc_id {kind}, part int, token_start bigint, n_tokens int")
+    return spread(asked, "doc_id").mapInArrow(count, f"doc_id {kind}, part int, token_start bigint, n_tokens int")
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[int]:

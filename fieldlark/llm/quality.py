@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlark.session import spread
+
 # Frequent function words of the languages expected.
 COMMON = {
     "en": "the of and to in is was were that for on with by at from which it so be not but had has have we what when while before after than no if although because this".split(),
@@ -171,7 +173,7 @@ def measure(text: str | None) -> tuple:
     lines = [x for x in map(str.strip, raw) if x]
     units, n_items, n_rows = _units(raw)
     lower: list[str] = []
-    prose = spread = letters = n_common = 0
+    prose = whole = letters = n_common = 0
     for unit, apart in units:
         words = _WORD.findall(unit)
         low = list(map(str.lower, words))
@@ -179,7 +181,7 @@ def measure(text: str | None) -> tuple:
         # Words in capitals are codes, such as licences, more often than words.
         common = [x for x, w in zip(low, words, strict=True) if x in FUNCTION_WORDS and w[1:].islower()]
         n = len(unit) - unit.count(" ")
-        spread += n
+        whole += n
         n_common += len(common)
         letters += sum(map(len, words))
         if _is_sentence(unit, words, common, apart):
@@ -203,7 +205,7 @@ def measure(text: str | None) -> tuple:
         "duplicate_paragraph_share": _repeated([x for x in map(str.strip, _PARAGRAPH.split(text)) if x]),
         "duplicate_sentence_share": _repeated([u for u, _ in units]),
         "top_ngram_share": _dominant(lower),
-        "prose_share": prose / max(1, spread),
+        "prose_share": prose / max(1, whole),
     }
     return (len(text), len(lower), len(lines), len(units), *stats.values(), prose_by(stats))
 
@@ -226,4 +228,4 @@ def text_statistics(documents: DataFrame, ident: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", *[n for n, _ in FIELDS]])
 
     asked = documents.select(F.col(ident).alias("doc_id"), F.col(text).alias("text"))
-    return asked.mapInArrow(look, f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t in FIELDS))
+    return spread(asked, "doc_id").mapInArrow(look, f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t in FIELDS))
