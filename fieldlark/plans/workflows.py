@@ -166,13 +166,12 @@ def w_split_contact(spark, d):
 
 @query()
 def w_audited_threshold(spark, d):
-    """Cut-offs with their hits, trials and exact lower bound; the gate is a bound of at least 0.3."""
-    c = table(spark, d, "calibration_prediction").select((F.col("true_class_label") == "target").alias("truth"), F.get("decision_scores", F.lit(0)).alias("p")).where("p is not null and truth is not null")
-    bands = c.groupBy(F.floor(F.col("p") * 20).cast("int").alias("band")).agg(F.count(F.lit(1)).alias("n"), F.count_if("truth").alias("h"))
-    down = Window.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, 0)
-    cum = bands.select((F.col("band") / 20).alias("threshold"), F.sum("h").over(down).alias("hits"), F.sum("n").over(down).alias("n"))
-    low = F.round(evaluation.clopper_pearson_low(F.col("hits").cast("double"), F.col("n").cast("double")), 9)
-    return cum.withColumn("low", low).withColumn("accepted", F.col("low") >= 0.3)
+    """Every distinct score of the validation rows as a cut-off with its bounds; the gate is a bound
+    of at least 0.3. Model selection is the split for validation; a row without a leakage
+    component is a component of its own."""
+    c = table(spark, d, "calibration_prediction").where(F.lower(F.trim("dataset_split")) == "model_selection")
+    component = F.coalesce(F.concat(F.lit("c:"), "leakage_component_id"), F.concat(F.lit("p:"), "prediction_id"))
+    return evaluation.audited_thresholds(c, F.col("true_class_label") == "target", F.get("decision_scores", F.lit(0)), F.col("sample_weight"), component, 0.3)
 
 
 @query("""with p as (select lower(nullif(trim(dataset_split), '')) as split, true_class_label = 'target' as truth, decision_scores[1] >= 0.5 as said, sample_weight as w from calibration_prediction where decision_scores[1] is not null and true_class_label is not null and sample_weight is not null),

@@ -177,6 +177,54 @@ def test_evaluation_values(spark):
     assert 0 <= boot["low"] <= boot["mean"] <= boot["high"] <= 1
 
 
+def test_audited_thresholds_judge_every_score(spark):
+    import math
+    import random
+
+    r = random.Random(5)
+    rows = [(r.random() < 0.3 + 0.6 * s, s, r.choice([0.2, 1.0, 1.7]), f"c{r.randrange(90)}") for s in (r.choice([round(r.random(), 3), 0.5, 0.98, 1.0]) for _ in range(300))]
+    rows += [(False, 0.99, 1.0, "late"), (True, 0.97, 1.0, "late"), (True, None, 1.0, "x"), (None, 0.5, 1.0, "x"), (True, 0.5, None, "x")]
+    df = spark.createDataFrame(rows, "t boolean, s double, w double, c string").repartition(5)
+    got = {x["threshold"]: x for x in evaluation.audited_thresholds(df, F.col("t"), F.col("s"), F.col("w"), F.col("c"), 0.3, bands=7).collect()}
+    known = [x for x in rows if None not in x]
+    assert set(got) == {x[1] for x in known} and len(got) > 60
+
+    def exact(k, m):
+        a, b = 0.0, 1.0
+        for _ in range(60):
+            x = (a + b) / 2
+            tail = sum(math.comb(m, i) * x**i * (1 - x) ** (m - i) for i in range(k, m + 1))
+            a, b = (a, x) if tail >= 0.05 else (x, b)
+        return a if k else 0.0
+
+    z, accepted = 1.6448536269514722, []
+    for cut_off in sorted(got):
+        sel, x = [y for y in known if y[1] >= cut_off], got[cut_off]
+        w, hit = sum(y[2] for y in sel), sum(y[2] for y in sel if y[0])
+        p, n = hit / w, w * w / sum(y[2] ** 2 for y in sel)
+        wilson = max(0, ((p + z * z / 2 / n) - z * math.sqrt(p * (1 - p) / n + z * z / 4 / n / n)) / (1 + z * z / n))
+        outcome = {}
+        for t, _, _, c in sel:
+            outcome[c] = outcome.get(c, True) and t
+        k, m = sum(outcome.values()), len(outcome)
+        assert (x["hits"], x["n"], x["component_hits"], x["components"]) == (sum(y[0] for y in sel), len(sel), k, m)
+        assert (x["precision"], x["effective_n"], x["weighted_low"]) == (pytest.approx(p, abs=1e-8), pytest.approx(n, abs=1e-3), pytest.approx(wilson, abs=1e-8))
+        assert x["component_low"] == pytest.approx(exact(k, m), abs=1e-8) and x["low"] == min(x["weighted_low"], x["component_low"])
+        assert x["accepted"] == (len(sel) >= 30 and m >= 30 and x["low"] >= 0.3)
+        accepted += [cut_off] * x["accepted"]
+    assert accepted and [c for c in got if got[c]["selected"]] == [min(accepted)]
+
+
+def test_audited_threshold_query_judges_validation_rows_only(spark, tiny):
+    from fieldlark.plans import workflows
+    from fieldlark.session import table
+
+    c = table(spark, tiny, "calibration_prediction").where("lower(trim(dataset_split)) = 'model_selection' and true_class_label is not null and sample_weight is not null and decision_scores[0] is not null")
+    got = workflows.QUERIES["w_audited_threshold"](spark, tiny)
+    assert {r[0] for r in got.select("threshold").collect()} == {r[0] for r in c.selectExpr("decision_scores[0]").collect()}
+    assert got.agg(F.max("n")).first()[0] == c.count()
+
+
 def test_hierarchies(spark):
     e = spark.createDataFrame([("s1", "g1"), ("s2", "g1"), ("g1", "f"), ("s3", "g2"), ("g2", "f")], "child string, parent string")
     up = registry.ancestors(e, "child", "parent")
