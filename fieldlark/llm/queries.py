@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlark.llm import leakage, overlap, packing, quality, splits
+from fieldlark.llm import duplicates, leakage, overlap, packing, quality, splits
+from fieldlark.operators.references import url_key
 from fieldlark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,14 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(_media(spark, d))
 
 
+def p2_components(spark: SparkSession, d: str) -> DataFrame:
+    """An image's observations are those of the ``gbif_media`` rows with its URL."""
+    media, seen = _media(spark, d), table(spark, d, "gbif_media")
+    urls = seen.select(url_key(F.col("media_identifier")).alias("url"), F.nullif(F.trim("gbifID"), F.lit("")).alias("observation_id")).where("url <> '' and observation_id is not null").distinct()
+    own = media.select(F.trim("reference_media_id").alias("media_id"), url_key(F.col("source_object_uri")).alias("url"))
+    return duplicates.duplicate_components(media, own.join(urls, "url").select("media_id", "observation_id"))
+
+
 _P2 = r"""
 with m as (select trim(reference_media_id) as id, lower(trim(dataset_split)) as split, source, decoded_width as w, decoded_height as h, provider_mirror_ids as mirrors,
     nullif(regexp_extract(lower(regexp_replace(sha256, '[^A-Za-z0-9]+', '', 'g')), '^(?:sha256)?([0-9a-f]{64})$', 1), '') as sha,
@@ -131,7 +140,7 @@ def p9_by_source(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (p2_found, p2_records, p2_report, p4_found, p4_splits, p4_balance, p7_pack, p7_report, p8_found, p8_report, p9_found, p9_statistics, p9_by_source)
+    for f in (p2_found, p2_records, p2_report, p2_components, p4_found, p4_splits, p4_balance, p7_pack, p7_report, p8_found, p8_report, p9_found, p9_statistics, p9_by_source)
 }
 
 SQL: dict[str, str] = {

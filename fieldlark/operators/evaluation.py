@@ -80,6 +80,22 @@ def roc_auc(df: DataFrame, keys: Sequence[str], truth: Column, p: Column, weight
     return sums.groupBy(*keys).agg(ratio(F.sum(F.col("area") + F.col("pos") * F.col("neg_before")), F.sum("pos") * F.sum("neg")).alias("roc_auc"))
 
 
+def pr_auc(df: DataFrame, keys: Sequence[str], truth: Column, p: Column, weight: Column, bands: int = 1024) -> DataFrame:
+    """Weighted average precision (no interpolation), exact with ties; NULL if a class is missing.
+    Summed from the top as in ``roc_auc``: inside bands of scores, then across band totals."""
+    per = df.where(p.isNotNull()).groupBy(*keys, p.alias("s")).agg(F.sum(F.when(truth, weight).otherwise(0.0)).alias("pos"), F.sum(F.when(truth, 0.0).otherwise(weight)).alias("neg"))
+    per = per.withColumn("band", F.least(F.floor(F.col("s") * bands), F.lit(bands - 1)))
+    across = Window.partitionBy(*keys).orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = per.groupBy(*keys, "band").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    above = sums.select(*[F.col(k).alias(f"{k}_of") for k in [*keys, "band"]], *[F.coalesce(F.sum(x).over(across), F.lit(0.0)).alias(f"{x}_above") for x in ("pos", "neg")])
+    inside = Window.partitionBy(*keys, "band").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    per = per.select(*keys, "band", "pos", "neg", F.sum("pos").over(inside).alias("tp"), F.sum("neg").over(inside).alias("fp"))
+    at = [F.col(k).eqNullSafe(F.col(f"{k}_of")) for k in [*keys, "band"]]
+    cum = per.join(above, at).select(*keys, "pos", "neg", (F.col("tp") + F.col("pos_above")).alias("tp"), (F.col("fp") + F.col("neg_above")).alias("fp"))
+    area = F.sum(F.coalesce(ratio(F.col("pos") * F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0)))
+    return cum.groupBy(*keys).agg(F.when((F.sum("pos") > 0) & (F.sum("neg") > 0), area / F.sum("pos")).alias("pr_auc"))
+
+
 def threshold_grid(df: DataFrame, keys: Sequence[str], truth: Column, p: Column, weight: Column, steps: int = 100) -> DataFrame:
     """Precision, recall and kept share at each cut-off k / ``steps``: rows are counted per
     band once and summed from the top over at most ``steps + 1`` bands."""

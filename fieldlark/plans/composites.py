@@ -433,6 +433,12 @@ def e_roc_auc(spark, d):
     return evaluation.roc_auc(_pred(spark, d), ["source"], F.col("truth"), F.col("p"), F.col("w")).select("source", F.round("roc_auc", 9).alias("roc_auc"))
 
 
+@query(_PRED + """, s as (select source, p, sum(case when truth then w else 0 end) as pos, sum(case when truth then 0 else w end) as neg from x group by 1, 2), c as (select *, sum(pos) over down as tp, sum(neg) over down as fp from s window down as (partition by source order by p desc))
+select source, case when sum(pos) > 0 and sum(neg) > 0 then round(sum(pos * tp / nullif(tp + fp, 0)) / sum(pos), 9) end as pr_auc from c group by 1""")
+def e_pr_auc(spark, d):
+    return evaluation.pr_auc(_pred(spark, d), ["source"], F.col("truth"), F.col("p"), F.col("w")).select("source", F.round("pr_auc", 9).alias("pr_auc"))
+
+
 @query(_PRED + """, b as (select source, floor(p * 20) as band, sum(w) as w, sum(case when truth then w else 0 end) as pos from x group by 1, 2), c as (select *, sum(w) over (partition by source order by band desc) as kept, sum(pos) over (partition by source order by band desc) as hits, sum(w) over (partition by source) as aw, sum(pos) over (partition by source) as ap from b)
 select source, band / 20 as threshold, round(hits / kept, 9) as "precision", round(hits / ap, 9) as recall, round(kept / aw, 9) as kept_share from c""")
 def e_threshold_grid(spark, d):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 leakage = pytest.importorskip("fieldlark.llm.leakage")
-from fieldlark.llm import overlap, packing, quality, splits  # noqa: E402
+from fieldlark.llm import duplicates, overlap, packing, quality, splits  # noqa: E402
 
 # ---------------------------------------------------------------- overlaps
 
@@ -85,6 +85,64 @@ def test_overlap_of_nothing(spark):
     assert overlap.overlap_pairs(df).count() == 0 == overlap.overlap_report(df).count()
 
 
+def brute_components(rows, status, obs):
+    ids = [r[0] for r in rows]
+    sha = {r[0]: "".join(c for c in (r[3] or "").lower() if c.isalnum()).removeprefix("sha256") for r in rows}
+    bits = {r[0]: int(r[4][12:], 16) if (r[4] or "").startswith("dhash128-v1:") else None for r in rows}
+    mirrors = {r[0]: r[7] or [] for r in rows}
+    up = {i: i for i in ids}
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a in ids:
+        for b in ids:
+            ok = status[a] == status[b] == "valid"
+            link = ok and len(sha[a]) == 64 and sha[a] == sha[b]
+            if ok and bits[a] is not None and bits[b] is not None:
+                link = link or (bits[a] ^ bits[b]).bit_count() <= (8 if obs[a] & obs[b] else 4)
+            if link or (b in mirrors[a] and "valid" in (status[a], status[b])):
+                x, y = sorted((find(a), find(b)))
+                up[y] = x
+    out = {}
+    for i in ids:
+        out.setdefault(find(i), set()).add(i)
+    return {frozenset(v) for v in ({i for i in g if status[i] == "valid"} for g in out.values()) if v}
+
+
+def test_components_match_brute_force(spark):
+    # Hashes up to 8 bits apart that share observations, mirrors through invalid images, copies within one split.
+    for seed in (3, 4):
+        rng = random.Random(seed)
+        base = [f"{rng.getrandbits(128):032x}" for _ in range(40)]
+        rows = [(*r[:4], f"dhash128-v1:{flip(rng.choice(base), *rng.sample(range(128), rng.choice([0, 2, 3, 4, 6])))}" if rng.random() < 0.6 else r[4] if r[4] and "0000" not in r[4] and "ffff" not in r[4] else None, *r[5:7], r[7] if rng.random() < 0.3 else None, *r[8:]) for r in media(120, seed)]
+        status = {r[0]: rng.choice(["valid", "valid", "valid", "truncated"]) for r in rows}
+        obs = {r[0]: {f"o{rng.randrange(12)}" for _ in range(rng.choice([0, 1, 2]))} for r in rows}
+        df = spark.createDataFrame([(*r, status[r[0]]) for r in rows], MEDIA + ", decode_status string")
+        seen = spark.createDataFrame([(i, o) for i in obs for o in obs[i]], "media_id string, observation_id string")
+        got, sizes = {}, {}
+        for r in duplicates.duplicate_components(df, seen).collect():
+            got.setdefault(r["component"], set()).add(r["id"])
+            sizes[r["component"]] = r["n_members"]
+        want = brute_components(rows, status, obs)
+        assert {frozenset(v) for v in got.values()} == want and sizes == {c: len(v) for c, v in got.items()}
+        assert len(want) > 20 and any(len(g) > 2 for g in want)
+
+
+def test_components_within_one_split_and_their_state(spark):
+    far, h = "0123456789abcdef" * 2, "ab54a98ceb1f0ad2" * 2
+    row = lambda i, sha, hash_, mirrors=None, w=640: (i, "a", "support_train", sha, f"dhash128-v1:{hash_}", None, None, mirrors, w, 640, "", "valid")
+    rows = [row("a1", "1" * 64, h), row("a2", "sha256:" + "1" * 64, far), row("b1", "2" * 64, flip(far, 1, 9, 40, 41, 42, 43)), row("b2", "3" * 64, flip(far, 1, 9, 40, 41, 42, 43, 77)), row("c", "4" * 64, "5a" * 16)]
+    rows += [row("d1", "5" * 64, "0" * 32), row("d2", "6" * 64, "0" * 32), row("e1", "7" * 64, "3c" * 16, ["c"])]
+    df = spark.createDataFrame(rows, MEDIA + ", decode_status string")
+    seen = spark.createDataFrame([("b1", "o"), ("b2", "o")], "media_id string, observation_id string")
+    got = {r["id"]: r for r in duplicates.duplicate_components(df, seen).collect()}
+    assert {i: (r["component"], r["resolved"]) for i, r in got.items()} == {"a1": ("a1", True), "a2": ("a1", True), "b1": ("b1", True), "b2": ("b1", True), "c": ("c", False), "e1": ("c", False), "d1": ("d1", False), "d2": ("d1", False)}
+    assert got["a1"]["sha256"] and not got["a1"]["perceptual"] and got["b1"]["perceptual"] and got["c"]["mirror"]
+
+
 # ---------------------------------------------------------------- splits
 
 PRED = "prediction_id string, leakage_component_id string, source_item_id string, photographer_id string, dataset_split string, true_class_label string, component string"

@@ -166,6 +166,8 @@ def test_evaluation_values(spark):
     assert evaluation.roc_auc(df, ["g"], F.col("y"), F.col("p"), F.col("w"), bands=3).first()["roc_auc"] == pytest.approx((1 * 2 + 2 * 1.5) / 6)
     c = evaluation.confusion(df, ["g"], F.col("y"), F.col("p") > 0.5, F.col("w")).first()
     assert (c["tp"], c["fp"], c["fn"], c["tn"], c["recall"]) == (1, 0, 2, 2, pytest.approx(1 / 3))
+    assert evaluation.pr_auc(df, ["g"], F.col("y"), F.col("p"), F.col("w"), bands=3).first()["pr_auc"] == pytest.approx((1 * 1 + 2 * 3 / 4) / 3)
+    assert evaluation.pr_auc(df.where("y").withColumn("g", F.lit(None).cast("string")), ["g"], F.col("y"), F.col("p"), F.col("w")).collect()[0]["pr_auc"] is None
     only = evaluation.roc_auc(df.where("y"), ["g"], F.col("y"), F.col("p"), F.col("w")).first()["roc_auc"]
     assert only is None
     low = spark.createDataFrame([(9.0, 10.0), (0.0, 5.0), (0.0, 0.0)], "h double, n double").select(evaluation.clopper_pearson_low("h", "n").alias("v")).collect()
