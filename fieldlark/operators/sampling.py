@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlark.functions.scalars import hash_order
+from fieldlark.operators.joins import with_ordinal
 
 
 def stratified_sample(df: DataFrame, strata: Sequence[str], ident: str, n: int, seed: str) -> DataFrame:
@@ -45,6 +46,33 @@ def in_turns(df: DataFrame, group: str, order: Sequence[Column | str], chunk: in
     return out.withColumn("turn", F.floor((F.col("place_in_group") - 1) / chunk).cast("bigint"))
 
 
+def fair_schedule(df: DataFrame, group: str, order: Sequence[str], chunk: int) -> DataFrame:
+    """Every row with its ``position`` from 0: groups take turns with whole chunks, in the order of
+    their names, while they have one; what is left follows group by group. Places in a group
+    come from one total order, so a hot group is spread over tasks by its order."""
+    if chunk <= 0:
+        raise ValueError("chunk must be positive")
+    rows = with_ordinal(df, [group, *order], "__o")
+    groups = rows.groupBy(F.col(group).alias("__g")).agg(F.min("__o").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    placed = rows.join(groups, F.col(group).eqNullSafe(F.col("__g"))).withColumn("place_in_group", F.col("__o") - F.col("__first") + 1)
+    turn = F.floor((F.col("place_in_group") - 1) / chunk).cast("bigint")
+    # NULL as turn marks the rest, which has no whole chunk; it comes last.
+    placed = placed.withColumn("turn", F.when(turn < F.floor(F.col("__n") / chunk), turn)).withColumn("__rest", F.col("turn").isNull())
+    return with_ordinal(placed, ["__rest", "turn", group, "place_in_group"], "position").drop("__o", "__g", "__first", "__n", "__rest")
+
+
+def cycled_pick(df: DataFrame, group: str, strata: Sequence[str], order: Sequence[str], limits: Sequence[tuple[int, int]]) -> DataFrame:
+    """Rows of each group by turns of its strata, up to the group's cap. ``limits`` has (least rows,
+    cap), largest first; smaller groups are taken whole."""
+    sizes = df.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__n"))
+    cap = F.coalesce(*[F.when(F.col("__n") >= least, most) for least, most in limits], F.col("__n"))
+    known = df.join(sizes, F.col(group).eqNullSafe(F.col("__g"))).withColumn("__cap", cap)
+    # No stratum can give more than the cap.
+    inner = known.withColumn("turn", F.row_number().over(Window.partitionBy(group, *strata).orderBy(*order))).where(F.col("turn") <= F.col("__cap"))
+    out = inner.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy("turn", *strata)))
+    return out.where(F.col("place") <= F.col("__cap")).drop("__g", "__n", "__cap")
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")

@@ -388,6 +388,23 @@ def q_round_robin(spark, d):
     return sampling.in_turns(table(spark, d, "events").select("event_id", "event_type", "ts"), "event_type", ["ts", "event_id"], 5, 40).drop("ts")
 
 
+@query("""with r as (select event_id, event_type, row_number() over (partition by event_type order by ts, event_id) as place_in_group, count(*) over (partition by event_type) as n from events), t as (select *, case when place_in_group <= n - n % 5 then (place_in_group - 1) // 5 end as turn from r)
+select event_id, event_type, place_in_group, turn, row_number() over (order by turn nulls last, event_type nulls first, place_in_group) - 1 as position from t""")
+def q_fair_schedule(spark, d):
+    return sampling.fair_schedule(table(spark, d, "events").select("event_id", "event_type", "ts"), "event_type", ["ts", "event_id"], 5).drop("ts")
+
+
+@query("""with m as (select source_media_row_number as id, coalesce(lower(nullif(regexp_extract(trim(media_identifier), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '')), '?') as host, coalesce(nullif(trim(media_publisher), ''), '?') as publisher, coalesce(nullif(trim(media_license), ''), '?') as licence from gbif_media),
+s as (select *, count(*) over (partition by host) as n, row_number() over (partition by host, publisher, licence order by sha256('pilot:' || cast(id as varchar)), id) as turn from m), c as (select *, case when n >= 1000 then 100 when n >= 25 then 25 else n end as cap, row_number() over (partition by host order by turn, publisher, licence) as place from s)
+select host, id, publisher, licence, cast(place as int) as place from c where place <= cap""")
+def q_cycled_pick(spark, d):
+    host = F.lower(F.nullif(F.regexp_extract(F.trim("media_identifier"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
+    m = _media(spark, d).select(F.col("source_media_row_number").alias("id"), F.coalesce(host, F.lit("?")).alias("host"), first_known(F.col("media_publisher"), missing="?").alias("publisher"), first_known(F.col("media_license"), missing="?").alias("licence"))
+    # Hosts of 1,000 rows give 100, of 25 rows 25.
+    picked = sampling.cycled_pick(m.withColumn("h", scalars.hash_order("pilot", F.col("id"))), "host", ["publisher", "licence"], ["h", "id"], [(1000, 100), (25, 25)])
+    return picked.select("host", "id", "publisher", "licence", "place")
+
+
 @query(f"""select source_media_row_number, canonical from (select source_media_row_number, {_CANON.format("media_identifier")} as canonical, row_number() over (partition by {_CANON.format("media_identifier")} order by ingested_at, source_media_row_number) as rn from gbif_media) where rn = 1 and canonical is not null""")
 def q_representative_per_url(spark, d):
     m = _media(spark, d).select("source_media_row_number", "ingested_at", canonical_url(F.col("media_identifier")).alias("canonical")).where(F.col("canonical").isNotNull())

@@ -227,6 +227,31 @@ def test_audited_threshold_query_judges_validation_rows_only(spark, tiny):
     assert got.agg(F.max("n")).first()[0] == c.count()
 
 
+def test_fair_schedule_keeps_every_row(spark):
+    import random
+
+    r = random.Random(2)
+    rows = [(r.choice(["a", "a", "a", "a", "b", "c", None]), i % 17, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, t int, i int").repartition(5)
+    got = [x["i"] for x in sampling.fair_schedule(df, "g", ["t", "i"], 3).orderBy("position").collect()]
+    per = {g: sorted((t, i) for h, t, i in rows if h == g) for g in (None, "a", "b", "c")}
+    want = []
+    while any(len(v) >= 3 for v in per.values()):
+        for g, v in per.items():
+            if len(v) >= 3:
+                want += [i for _, i in v[:3]]
+                per[g] = v[3:]
+    assert got == want + [i for v in per.values() for _, i in v]
+    with pytest.raises(ValueError):
+        sampling.fair_schedule(df, "g", ["t"], 0)
+
+
+def test_cycled_pick_takes_turns_of_strata(spark):
+    rows = [("big", "x", i) for i in range(30)] + [("big", "y", i) for i in range(30, 32)] + [("small", "x", i) for i in range(40, 43)]
+    got = sampling.cycled_pick(spark.createDataFrame(rows, "g string, s string, i int"), "g", ["s"], ["i"], [(25, 6)]).orderBy("g", "place").collect()
+    assert [(x["g"], x["i"]) for x in got] == [("big", i) for i in (0, 30, 1, 31, 2, 3)] + [("small", i) for i in (40, 41, 42)]
+
+
 def test_hierarchies(spark):
     e = spark.createDataFrame([("s1", "g1"), ("s2", "g1"), ("g1", "f"), ("s3", "g2"), ("g2", "f")], "child string, parent string")
     up = registry.ancestors(e, "child", "parent")
