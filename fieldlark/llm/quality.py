@@ -35,7 +35,8 @@ COMMON = {
     "pt": "o os as de do da dos das um uma em no na nos nas não para por com sem se como mas ao mais perto depois desde antes sobre quando porque tem foi".split(),
 }
 FUNCTION_WORDS = frozenset(w for ws in COMMON.values() for w in ws if len(w) > 1)
-BLANKS = " \n\t\r\xa0\u3000"
+# The blanks of ASCII, as str.split() knows them.
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 NOISE = "@#%^&*~|§\\{}<>=_$`[]"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -46,6 +47,7 @@ _HIRAGANA = re.compile(r"[ぁ-ゟ]")
 _CJK = re.compile(r"[ぁ-ヿ㐀-鿿]")
 _MOJIBAKE = re.compile(r"[\u0080-\u009f�]|[ÂÃ][\u0080-¿]|â[\u0080-¿]?[¬™œž€]|æ¼¢")
 _NOISE = re.compile("[" + re.escape(NOISE) + "!]+")
+_DIGITS = re.compile(r"\d+")
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _CLOSERS = ".!?;:。！？…\"'»”"
 NGRAM, OFTEN = 5, 4
@@ -186,13 +188,17 @@ def measure(text: str | None) -> tuple:
         letters += sum(map(len, words))
         if _is_sentence(unit, words, common, apart):
             prose += n
-    dense = len(text) - sum(map(text.count, BLANKS))
-    digits = sum(map(text.count, "0123456789"))
+    if text.isascii():
+        dense = len(text) - sum(map(text.count, BLANKS))
+        digits = sum(map(text.count, "0123456789"))
+    else:
+        dense = sum(map(len, text.split()))
+        digits = sum(map(len, _DIGITS.findall(text)))
     noise = sum(map(text.count, NOISE))
     broken = 0 if text.isascii() else sum(map(len, _MOJIBAKE.findall(text)))
     stats = {
         "mean_word_length": letters / len(lower) if lower else None,
-        "symbol_share": max(0, dense - letters - digits) / dense,
+        "symbol_share": (dense - letters - digits) / dense,
         "digit_share": digits / dense,
         "noise_share": noise / dense,
         "broken_word_share": _torn(text) / max(1, letters),

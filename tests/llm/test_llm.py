@@ -329,6 +329,14 @@ def test_rules():
         assert not said(t)
 
 
+def test_digits_and_blanks_of_all_scripts_count():
+    named = lambda t: dict(zip([n for n, _ in quality.FIELDS], quality.measure(t), strict=True))
+    wide = named("Ab\u2003cd\u2028ef \uff11\uff12 \u0663.")
+    assert (wide["digit_share"], wide["symbol_share"]) == (pytest.approx(3 / 10), pytest.approx(1 / 10))
+    plain = named("Ab\x0bcd\x0c\x1c\x1d\x1e\x1f12 #.")
+    assert (plain["digit_share"], plain["symbol_share"], plain["noise_share"]) == (pytest.approx(2 / 8), pytest.approx(2 / 8), pytest.approx(1 / 8))
+
+
 def test_statistics_values():
     m = dict(zip([n for n, _ in quality.FIELDS], quality.measure("Ab cd.\nAb cd.\n\nEf, 12!"), strict=True))
     assert (m["n_chars"], m["n_words"], m["n_lines"]) == (22, 5, 3)
