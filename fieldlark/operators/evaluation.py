@@ -273,9 +273,50 @@ def isotonic(points: pd.DataFrame) -> np.ndarray:
 
 
 def isotonic_calibration(df: DataFrame, truth: Column, p: Column, weight: Column, bands: int = 1000) -> DataFrame:
-    """``band, score, calibrated``: an isotonic map over at most ``bands + 1`` score bands, fitted on
-    the driver from the bands' totals."""
-    binned = df.where(p.isNotNull()).groupBy(F.floor(p * bands).cast("int").alias("band")).agg(F.sum(weight).alias("w"), ratio(F.sum(weight * truth.cast("double")), F.sum(weight)).alias("y"), ratio(F.sum(weight * p), F.sum(weight)).alias("score"))
-    pdf = binned.where("w > 0").orderBy("band").limit(bands + 1).toPandas()
-    pdf["calibrated"] = isotonic(pdf) if len(pdf) else []
-    return df.sparkSession.createDataFrame(pdf[["band", "score", "calibrated"]], "band int, score double, calibrated double")
+    """``score, weight, calibrated`` of every distinct score: the exact isotonic map. Violators are
+    pooled inside ``bands`` ranges of scores, each in a task of its own, and what is left of
+    the blocks in one task; pooling in two steps gives the same map as pooling in one."""
+    per = df.where(p.isNotNull()).groupBy(p.cast("double").alias("score")).agg(F.sum(weight).alias("w"), ratio(F.sum(weight * truth.cast("double")), F.sum(weight)).alias("y"))
+    banded = per.where("w > 0").withColumn("band", F.floor(F.col("score") * bands))
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("score")
+        pooled = isotonic(pdf)
+        return pdf.assign(block=np.concatenate([[0], np.cumsum(np.diff(pooled) != 0)]).astype("int64"))
+
+    def across(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["band", "block"])
+        return pdf[["band", "block"]].assign(calibrated=isotonic(pdf))
+
+    blocked = cut(banded.groupBy("band").applyInPandas(inside, "score double, w double, y double, band bigint, block bigint"))
+    blocks = blocked.groupBy("band", "block").agg(ratio(F.sum(F.col("w") * F.col("y")), F.sum("w")).alias("y"), F.sum("w").alias("w"))
+    mapped = blocks.groupBy(F.lit(0).alias("all")).applyInPandas(across, "band bigint, block bigint, calibrated double")
+    return blocked.join(mapped, ["band", "block"]).select("score", F.col("w").alias("weight"), "calibrated")
+
+
+def logit_scaling(df: DataFrame, truth: Column, z: Column, weight: Column, most_steps: int = 50) -> tuple[float, float, float]:
+    """Slope and offset of Platt scaling, and the slope of temperature scaling, by Newton's steps
+    over the totals per distinct logit; seven sums a step reach the driver."""
+    data = cut(df.groupBy(z.alias("z")).agg(F.sum(weight).alias("w"), F.sum(F.when(truth, weight).otherwise(0.0)).alias("h")).where("z is not null and w is not null"))
+    a, b, t = 1.0, 0.0, 1.0
+    still = [True, True]
+    z, w, h = F.col("z"), F.col("w"), F.col("h")
+    p, q = F.col("p"), F.col("q")
+    for _ in range(most_steps):
+        chance = lambda x: 1 / (1 + F.exp(-F.greatest(F.lit(-35.0), F.least(F.lit(35.0), x))))
+        row = data.withColumns({"p": chance(z * a + b), "q": chance(z * t)}).agg(
+            F.sum((w * p - h) * z), F.sum(w * p - h), F.sum(w * p * (1 - p) * z * z), F.sum(w * p * (1 - p) * z), F.sum(w * p * (1 - p)), F.sum((w * q - h) * z), F.sum(w * q * (1 - q) * z * z)
+        ).first()
+        g0, g1, h00, h01, h11, g, hh = (x or 0.0 for x in row)
+        det = h00 * h11 - h01 * h01
+        still = [still[0] and det > 1e-12, still[1] and hh > 1e-12]
+        if still[0]:
+            da, db = (h11 * g0 - h01 * g1) / det, (h00 * g1 - h01 * g0) / det
+            a, b = a - da, b - db
+            still[0] = abs(da) + abs(db) > 1e-12
+        if still[1]:
+            t -= g / hh
+            still[1] = abs(g / hh) > 1e-12
+        if not any(still):
+            break
+    return a, b, t

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -237,29 +235,7 @@ def w_classifier(spark, d):
 
 @query()
 def w_platt_and_temperature(spark, d):
-    """Platt and temperature scaling from histograms of the logit: 400 bands reach the driver,
-    where a few Newton steps fit two numbers and one."""
+    """Platt and temperature scaling fitted on the logit of every distinct score."""
     rows = _training(spark, d).withColumn("p", F.least(F.greatest(F.get("decision_scores", F.lit(0)), F.lit(1e-6)), F.lit(1 - 1e-6)))
-    bands = rows.groupBy(F.floor(F.ln(F.col("p") / (1 - F.col("p"))) * 14).cast("int").alias("b")).agg(F.avg(F.ln(F.col("p") / (1 - F.col("p")))).alias("z"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("h"))
-    data = [(r["z"], r["w"], r["h"]) for r in bands.orderBy("b").collect()]
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        g0 = g1 = h00 = h01 = h11 = 0.0
-        for z, w, h in data:
-            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, a * z + b))))
-            g0, g1, v = g0 + (w * p - h) * z, g1 + (w * p - h), w * p * (1 - p)
-            h00, h01, h11 = h00 + v * z * z, h01 + v * z, h11 + v
-        det = h00 * h11 - h01 * h01
-        if det <= 1e-12:
-            break
-        a, b = a - (h11 * g0 - h01 * g1) / det, b - (h00 * g1 - h01 * g0) / det
-    t = 1.0
-    for _ in range(50):
-        g = hh = 0.0
-        for z, w, h in data:
-            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, t * z))))
-            g, hh = g + (w * p - h) * z, hh + w * p * (1 - p) * z * z
-        if hh <= 1e-12:
-            break
-        t -= g / hh
+    a, b, t = evaluation.logit_scaling(rows, F.col("y") == 1, F.ln(F.col("p") / (1 - F.col("p"))), F.col("w"))
     return spark.createDataFrame([(a, b, 1 / t if t else None)], "platt_slope double, platt_offset double, temperature double")

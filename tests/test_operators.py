@@ -227,6 +227,25 @@ def test_audited_threshold_query_judges_validation_rows_only(spark, tiny):
     assert got.agg(F.max("n")).first()[0] == c.count()
 
 
+def test_calibration_uses_every_score(spark):
+    import math
+    import random
+
+    import pandas as pd
+
+    r = random.Random(8)
+    rows = [(r.random() < s, s, r.choice([0.5, 1.0, 2.0])) for s in (r.choice([round(r.random(), 4), 0.5, 1.25, -0.5]) for _ in range(600))]
+    df = spark.createDataFrame(rows, "t boolean, s double, w double").repartition(4)
+    got = {x["score"]: x["calibrated"] for x in evaluation.isotonic_calibration(df, F.col("t"), F.col("s"), F.col("w"), 20).collect()}
+    per = pd.DataFrame([(s, w, w * t) for t, s, w in rows], columns=["s", "w", "h"]).groupby("s").sum().sort_index()
+    want = evaluation.isotonic(pd.DataFrame({"y": per["h"] / per["w"], "w": per["w"]}))
+    assert list(per.index) == sorted(got) and [got[s] for s in per.index] == pytest.approx(list(want))
+    z = [(t, math.log(s / (1 - s)), w) for t, s, w in rows if 0 < s < 1]
+    a, b, t = evaluation.logit_scaling(spark.createDataFrame(z, "t boolean, z double, w double"), F.col("t"), F.col("z"), F.col("w"))
+    off = [(w * (1 / (1 + math.exp(-(a * x + b))) - y), w * (1 / (1 + math.exp(-t * x)) - y), x) for y, x, w in z]
+    assert [sum(o[0] for o in off), sum(o[0] * o[2] for o in off), sum(o[1] * o[2] for o in off)] == pytest.approx([0, 0, 0], abs=1e-6)
+
+
 def test_fair_schedule_keeps_every_row(spark):
     import random
 
