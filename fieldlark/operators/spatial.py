@@ -15,13 +15,15 @@ Defined results
   regions lies in both. Holes are outside (their open interior).
 - A point in several regions gives one row for each region code.
 - NULL or unusable coordinates: no row. Regions whose code or geometry is NULL, blank or
-  not readable, or whose rings cannot be clipped: no row; ``unusable_regions`` lists them.
+  not readable: no row; ``unusable_regions`` lists them. A polygon that cannot be clipped
+  holds the points on its edges and those with an odd number of edges to one side.
 - Repeated points are separate rows as long as their ids differ. Empty tables: empty result.
 - Longitudes are not wrapped: regions over the date line come as parts on both sides.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
@@ -33,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldlark.session import cut
+
 BLOCK = 200_000
 LEAF = 4
 EPS = 2.0**-53
@@ -295,19 +299,44 @@ class Hierarchy:
 # ---------------------------------------------------------------- operators
 
 
+_COLUMNS = ["code", "z", "x1", "y1", "x2", "y2", "x3", "y3", "problem", "rings"]
+
+
 def _clip_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for code, geom in zip(pdf["code"], pdf["geom"], strict=True):
             try:
-                parts = [ear_clip(p) for p in parse_wkt(geom)]
-                tri = np.concatenate(parts) if parts else np.empty((0, 6))
+                polygons = parse_wkt(geom)
             except ValueError as e:
-                rows.append((code, None, *[None] * 6, str(e)))
+                rows.append((code, None, *[None] * 6, str(e), None))
                 continue
-            mid_x, mid_y = tri[:, ::2].mean(1) if len(tri) else [], tri[:, 1::2].mean(1) if len(tri) else []
-            rows += [(code, z_order(x, y), *t, None) for t, x, y in zip(tri.tolist(), mid_x, mid_y, strict=True)]
-        yield pd.DataFrame(rows, columns=["code", "z", "x1", "y1", "x2", "y2", "x3", "y3", "problem"])
+            for rings in polygons:
+                try:
+                    tri = ear_clip(rings)
+                except ValueError as e:
+                    rows.append((code, None, *[None] * 6, str(e), json.dumps(rings)))
+                    continue
+                mid_x, mid_y = tri[:, ::2].mean(1) if len(tri) else [], tri[:, 1::2].mean(1) if len(tri) else []
+                rows += [(code, z_order(x, y), *t, None, None) for t, x, y in zip(tri.tolist(), mid_x, mid_y, strict=True)]
+        yield pd.DataFrame(rows, columns=_COLUMNS)
+
+
+def crossed(rings: list[Ring], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which points lie on an edge, or have an odd number of edges to their right; exact."""
+    odd, on = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
+            if (ax, ay) == (bx, by):
+                continue
+            near = np.flatnonzero((y >= min(ay, by)) & (y <= max(ay, by)) & (x <= max(ax, bx)))
+            if not len(near):
+                continue
+            px, py = x[near], y[near]
+            s = sides(*(np.full(len(near), v) for v in (ax, ay, bx, by)), px, py)
+            on[near] |= (s == 0) & (px >= min(ax, bx))
+            odd[near] ^= ((ay <= py) != (by <= py)) & (s == (1 if by > ay else -1))
+    return odd | on
 
 
 def z_order(x: float, y: float) -> int:
@@ -322,14 +351,22 @@ def z_order(x: float, y: float) -> int:
 
 
 def region_triangles(regions: DataFrame, code: str, geom: str) -> DataFrame:
-    """``code, z, x1..y3, problem``: the triangles of each usable region row, or its problem."""
+    """``code, z, x1..y3, problem, rings``: the triangles of each polygon, or its problem with the
+    rings as JSON; rings are NULL where the whole row is not readable."""
     rows = regions.select(F.col(code).cast("string").alias("code"), F.col(geom).cast("string").alias("geom"))
-    return rows.where(F.trim("code") != "").mapInPandas(_clip_rows, "code string, z bigint, x1 double, y1 double, x2 double, y2 double, x3 double, y3 double, problem string")
+    return rows.where(F.trim("code") != "").mapInPandas(_clip_rows, "code string, z bigint, x1 double, y1 double, x2 double, y2 double, x3 double, y3 double, problem string, rings string")
 
 
 def unusable_regions(regions: DataFrame, code: str, geom: str) -> DataFrame:
-    """``code, problem`` of the region rows that hold no point because they can't be read or clipped."""
-    return region_triangles(regions, code, geom).where(F.col("problem").isNotNull()).select("code", "problem")
+    """``code, problem`` of the region rows that hold no point because they can't be read."""
+    return region_triangles(regions, code, geom).where(F.col("problem").isNotNull() & F.col("rings").isNull()).select("code", "problem")
+
+
+def region_report(regions: DataFrame, code: str, geom: str) -> DataFrame:
+    """Per code: triangles, polygons that are tested by their edges, rows that are not readable."""
+    t = region_triangles(regions, code, geom)
+    bad = F.col("problem").isNotNull()
+    return t.groupBy("code").agg(F.count_if(~bad).alias("n_triangles"), F.count_if(F.col("rings").isNotNull()).alias("n_unclipped"), F.count_if(bad & F.col("rings").isNull()).alias("n_unreadable"))
 
 
 def coordinate(c: Column, most: float) -> Column:
@@ -342,7 +379,8 @@ def coordinate(c: Column, most: float) -> Column:
 def points_in_regions(points: DataFrame, ident: str, lon: Column, lat: Column, regions: DataFrame, code: str, geom: str, *, block: int = BLOCK) -> DataFrame:
     """``ident, code``: one row for each point and each region code that holds it."""
     spark = points.sparkSession
-    usable = region_triangles(regions, code, geom).where(F.col("problem").isNull())
+    read = cut(region_triangles(regions, code, geom))
+    usable, unclipped = read.where(F.col("problem").isNull()), read.where(F.col("rings").isNotNull())
     sized = usable.select("code", "z", "x1", "y1", "x2", "y2", "x3", "y3")
     kind = points.schema[ident].dataType.simpleString()
     asked = points.select(F.col(ident).alias("ident"), lon.alias("x"), lat.alias("y")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
@@ -372,6 +410,24 @@ def points_in_regions(points: DataFrame, ident: str, lon: Column, lat: Column, r
             found, held, blocks = search(held) if found is None else found.unionByName(search(held)), [], blocks + 1
     if held:
         found, blocks = search(held) if found is None else found.unionByName(search(held)), blocks + 1
+
+    def count(name: str, rings: list[Ring]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(rings)
+        low_x, low_y = map(min, zip(*(p for r in rings for p in r), strict=True))
+        high_x, high_y = map(max, zip(*(p for r in rings for p in r), strict=True))
+
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = np.flatnonzero(crossed(shared.value, batch.column("x").to_numpy(), batch.column("y").to_numpy()))
+                yield pa.RecordBatch.from_arrays([batch.column("ident").take(pa.array(hit)), pa.array([name] * len(hit), pa.string())], ["ident", "code"])
+
+        near = asked.where(F.col("x").between(float(low_x), float(high_x)) & F.col("y").between(float(low_y), float(high_y)))
+        return near.mapInArrow(look, f"ident {kind}, code string")
+
+    # A polygon that can't be clipped is tested by its edges; one at a time reaches the driver.
+    for row in unclipped.select("code", "rings").toLocalIterator():
+        more = count(row["code"], [[tuple(p) for p in r] for r in json.loads(row["rings"])])
+        found = more if found is None else found.unionByName(more)
     if found is None:
         return spark.createDataFrame([], f"ident {kind}, code string")
     return found.distinct()

@@ -94,6 +94,10 @@ def p3_by_country(spark: SparkSession, d: str) -> DataFrame:
     return p3_found(spark, d).groupBy("country_code").agg(F.count(F.lit(1)).alias("n_points"))
 
 
+def p3_regions(spark: SparkSession, d: str) -> DataFrame:
+    return spatial.region_report(table(spark, d, "boundary_countries"), "country_code", "geom")
+
+
 # Crossing parity over every edge of a region row: a plain check of the triangles.
 _P3 = r"""
 with rings as (select row_number() over () as region, country_code, unnest(regexp_extract_all(geom, '\(([^()]+)\)', 1)) as ring
@@ -254,6 +258,7 @@ QUERIES: dict[str, Query] = {
         p1_reasons,
         p3_found,
         p3_by_country,
+        p3_regions,
         p5_found,
         p5_by_month,
         p5_partial_keys,

@@ -73,6 +73,16 @@ def test_points(spark, block):
     assert region_triangles(regions, "code", "geom").where("problem is null").count() > 6
 
 
+def test_a_polygon_that_cannot_be_clipped_keeps_its_row(spark):
+    regions = spark.createDataFrame([("A", "MULTIPOLYGON(((0 0,4 4,4 0,0 2,0 0)),((10 0,12 0,12 2,10 2,10 0)))"), ("C", "broken")], "code string, geom string")
+    pts = spark.createDataFrame([(1, 11.0, 1.0), (2, 3.5, 2.0), (3, 0.2, 1.0), (4, 1.0, 0.5), (5, 2.0, 2.0), (6, 4.0, 4.0), (7, 20.0, 1.0), (8, 0.0, 1.0)], "id long, x double, y double")
+    got = {tuple(r) for r in points_in_regions(pts, "id", F.col("x"), F.col("y"), regions, "code", "geom").collect()}
+    assert got == {(i, "A") for i in (1, 2, 3, 5, 6, 8)}
+    assert [r["code"] for r in unusable_regions(regions, "code", "geom").collect()] == ["C"]
+    report = {r["code"]: (r["n_triangles"], r["n_unclipped"], r["n_unreadable"]) for r in spatial.region_report(regions, "code", "geom").collect()}
+    assert report == {"A": (2, 1, 0), "C": (0, 0, 1)}
+
+
 def test_coordinates(spark):
     texts = [" 1.5 ", "+2", "1,5", "NaN", "91", "1e1", None, "", "1d", "55°25'"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(spatial.coordinate(F.col("t"), 90).alias("v"))
