@@ -33,7 +33,6 @@ from fieldlark.session import cut, spread
 CAPACITY = 2048
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PART = 50_000
-ROUNDS = 4
 # Fixed value: the pre-tokenisation pattern that belongs to the byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -127,7 +126,15 @@ def _pack(lot: pa.Table, capacity: int) -> pa.Table:
     return lot.append_column("box", pa.array(box, pa.int32())).append_column("release", pa.array(released))
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART, rounds: int = ROUNDS) -> DataFrame:
+def _after(total: int, before: int | None, bound: int, n_given: int) -> str:
+    """What follows a round: ``back`` to the round before if it is not better, ``end`` if the bound
+    is met or nothing is given up, else ``on``."""
+    if before is not None and total >= before:
+        return "back"
+    return "end" if total <= bound or not n_given else "on"
+
+
+def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART) -> DataFrame:
     """``doc_id, part, token_start, n_tokens, container_id`` for the pieces of ``pieces()``."""
     items = cut(items)
     histogram = items.where(F.col("n_tokens") > 0).groupBy("n_tokens").count().collect()
@@ -138,9 +145,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART, rounds: i
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema) + ", lot bigint, box int, release boolean"
     kept = [items.where(F.col("n_tokens") == 0).withColumn("container_id", F.lit(None).cast("string"))]
     left, n_left, fixed, before = items.where(F.col("n_tokens") > 0), int(counts.sum()), 0, None
-    for turn in range(rounds):
-        if not n_left:
-            break
+    turn, given_up = 0, None
+    while n_left:
         lots = max(1, round(n_left / part))
         lot = F.pmod(F.xxhash64("doc_id", "part", "token_start", F.lit(turn)), F.lit(lots))
 
@@ -153,13 +159,14 @@ def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART, rounds: i
             F.count_distinct("lot", "box"), F.count_distinct(F.when(F.col("release"), F.struct("lot", "box"))), F.count_if("release")
         ).first()
         total = fixed + made
-        last = turn == rounds - 1 or total <= bound or not n_given or (before is not None and total >= before) or lots == 1
-        if last:
-            kept.append(named.select(*items.columns, "container_id"))
+        step = _after(total, before, bound, n_given)
+        if step != "on":
+            kept.append(given_up if step == "back" else named.select(*items.columns, "container_id"))
             break
         kept.append(named.where(~F.col("release")).select(*items.columns, "container_id"))
+        given_up = named.where("release").select(*items.columns, "container_id")
         fixed, before = fixed + made - given, total
-        left, n_left = packed.where("release").select(*items.columns), n_given
+        left, n_left, turn = packed.where("release").select(*items.columns), n_given, turn + 1
     return reduce(DataFrame.unionByName, kept)
 
 

@@ -329,6 +329,11 @@ def test_rules():
         assert not said(t)
 
 
+def test_packing_rounds_end_only_by_the_bound_or_without_gain():
+    assert [packing._after(t, b, 90, 5) for t, b in ((100, None), (99, 100), (90, 91), (100, 100), (101, 100))] == ["on", "on", "end", "back", "back"]
+    assert packing._after(95, 96, 90, 0) == "end"
+
+
 def test_digits_and_blanks_of_all_scripts_count():
     named = lambda t: dict(zip([n for n, _ in quality.FIELDS], quality.measure(t), strict=True))
     wide = named("Ab\u2003cd\u2028ef \uff11\uff12 \u0663.")
