@@ -31,7 +31,6 @@ from fieldlark.session import cut
 SHARES = {"support_train": 0.55, "model_selection": 0.15, "calibration": 0.15, "final_test": 0.15}
 BIG = 2_000
 SHARD = 200_000
-LABELS = 64
 
 
 def _id(c: str) -> Column:
@@ -60,18 +59,18 @@ def broken_groups(rows: DataFrame) -> DataFrame:
     return groups.join(bad.select("root", "round"), ["root", "round"], "left_semi").select("prediction_id").distinct()
 
 
-def _best(group: list[int], lack: list[list[float]]) -> int:
+def _best(group: dict[int, int], lack: list[list[float]]) -> int:
     """The split whose labels lack most of what the group has; ties go to the first."""
-    gains = [sum(n * x for n, x in zip(group, row, strict=True) if n) for row in lack]
+    gains = [sum(n * row[j] for j, n in group.items()) for row in lack]
     return max(range(len(gains)), key=lambda k: (gains[k], -k))
 
 
-def _fill(groups: list[list[int]], lack: list[list[float]]) -> list[int]:
-    """Places groups in the given order; ``lack`` is what each split still needs of each label."""
+def _fill(groups: list[dict[int, int]], lack: list[list[float]]) -> list[int]:
+    """Places groups (rows by number of the label) in the given order; ``lack`` is what each split still needs of each label."""
     out = []
     for g in groups:
         k = _best(g, lack)
-        for j, n in enumerate(g):
+        for j, n in g.items():
             lack[k][j] -= n
         out.append(k)
     return out
@@ -85,17 +84,16 @@ def assign_splits(rows: DataFrame, label: str = "true_class_label", shares: dict
     related = related_groups(named, ["__label"]).select("rec.*", F.concat_ws(":", F.lit("g"), "root", "round").alias("component"))
     alone = named.where(F.col("prediction_id").isNotNull() & (F.size(entities()) == 0)).select("prediction_id", "__label", F.concat(F.lit("s:"), F.col("prediction_id")).alias("component"))
     grouped = cut(related.unionByName(alone).select(F.col("prediction_id").alias("rec"), F.col("__label").alias("label"), "component"))
-    top = [r[0] for r in grouped.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS - 1).collect()]
-    # Rarer labels than the LABELS - 1 most frequent ones are balanced together.
-    kinds = [F.count_if(F.col("label") == x) for x in top] + [F.count_if(~F.col("label").isin(top))]
-    sizes = cut(grouped.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.array(*kinds).alias("per_label")))
-    m = len(kinds)
-    total = sizes.agg(F.sum("n").alias("n"), *[F.sum(F.col("per_label")[j]) for j in range(m)]).first()
-    n_all = total[0] or 0
-    lack = [[shares[s] * (total[1 + j] or 0) for j in range(m)] for s in names]
+    # Labels by number, the most frequent first; a group holds only the labels it has.
+    counts = grouped.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").collect()
+    m, n_all = len(counts), sum(r["n"] for r in counts)
+    number = spark.createDataFrame([(r["label"], j) for j, r in enumerate(counts)], "label string, j int")
+    pairs = grouped.join(F.broadcast(number), "label").groupBy("component", "j").agg(F.count(F.lit(1)).alias("k"))
+    sizes = cut(pairs.groupBy("component").agg(F.sum("k").alias("n"), F.array_sort(F.collect_list(F.struct("j", "k"))).alias("per_label")))
+    lack = [[shares[s] * r["n"] for r in counts] for s in names]
     limit = max(1, -(-n_all // BIG))
     big = sizes.where(F.col("n") >= max(limit, 2)).orderBy(F.desc("n"), "component").limit(BIG).collect()
-    placed = [(r["component"], names[k]) for r, k in zip(big, _fill([list(r["per_label"]) for r in big], lack), strict=True)]
+    placed = [(r["component"], names[k]) for r, k in zip(big, _fill([dict(map(tuple, r["per_label"])) for r in big], lack), strict=True)]
     chosen = spark.createDataFrame(placed, "component string, split string")
     small = sizes.join(F.broadcast(chosen.select("component")), "component", "left_anti")
     shards = max(1, round(n_all / SHARD))
@@ -104,8 +102,11 @@ def assign_splits(rows: DataFrame, label: str = "true_class_label", shares: dict
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n", "component"], ascending=[False, True])
-        groups = [list(map(int, g)) for g in pdf["per_label"]]
-        have = [sum(g[j] for g in groups) for j in range(m)]
+        groups = [{int(x["j"]): int(x["k"]) for x in g} for g in pdf["per_label"]]
+        have = [0] * m
+        for g in groups:
+            for j, n in g.items():
+                have[j] += n
         mine = [[want[k][j] / per_label[j] * have[j] for j in range(m)] for k in range(len(names))]
         picked = _fill(groups, mine)
         return pd.DataFrame({"component": pdf["component"].to_numpy(), "split": [names[k] for k in picked]})

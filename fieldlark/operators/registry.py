@@ -26,18 +26,18 @@ def parent_edges(taxa: DataFrame, levels: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, pairs).distinct()
 
 
-def ancestors(edges: DataFrame, child: str, parent: str, most_levels: int = 32) -> DataFrame:
+def ancestors(edges: DataFrame, child: str, parent: str) -> DataFrame:
     """``node, ancestor, distance`` (the shortest); grows one level a round, until nothing is new."""
     step = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).where("node is not null and ancestor is not null and node <> ancestor").distinct()
     known = cut(step.withColumn("distance", F.lit(1)))
-    front = known
-    for d in range(2, most_levels + 1):
+    front, d = known, 1
+    while True:
+        d += 1
         nxt = front.select("node", F.col("ancestor").alias("via")).join(step.select(F.col("node").alias("via"), "ancestor"), "via").select("node", "ancestor").distinct()
         front = cut(nxt.where("node <> ancestor").join(known, ["node", "ancestor"], "left_anti").withColumn("distance", F.lit(d)))
         if front.isEmpty():
-            break
+            return known
         known = cut(known.unionByName(front))
-    return known
 
 
 def lowest_common(members: DataFrame, group: str, node: str, paths: DataFrame) -> DataFrame:

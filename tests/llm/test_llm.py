@@ -329,6 +329,15 @@ def test_rules():
         assert not said(t)
 
 
+def test_rare_labels_are_balanced_too(spark):
+    # 70 labels; the last ones are rarest, and each must come near its shares by itself.
+    rows = [(f"r{x}_{i}", None, None, None, None, f"l{x:02}", None) for x in range(70) for i in range(40 if x < 63 else 20)]
+    got = {(r["label"], r["split"]): r["n_rows"] for r in splits.split_balance(splits.assign_splits(spark.createDataFrame(rows, PRED))).collect()}
+    for x in range(70):
+        n = 40 if x < 63 else 20
+        assert all(abs(got.get((f"l{x:02}", s), 0) - share * n) <= 1 for s, share in splits.SHARES.items())
+
+
 def test_packing_rounds_end_only_by_the_bound_or_without_gain():
     assert [packing._after(t, b, 90, 5) for t, b in ((100, None), (99, 100), (90, 91), (100, 100), (101, 100))] == ["on", "on", "end", "back", "back"]
     assert packing._after(95, 96, 90, 0) == "end"

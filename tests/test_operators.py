@@ -277,6 +277,8 @@ def test_hierarchies(spark):
     assert {tuple(r) for r in up.where("node = 's1'").collect()} == {("s1", "g1", 1), ("s1", "f", 2)}
     m = spark.createDataFrame([("x", "s1"), ("x", "s2"), ("y", "s1"), ("y", "s3"), ("z", "s1")], "grp string, node string")
     assert {r["grp"]: r["common"] for r in registry.lowest_common(m, "grp", "node", up).collect()} == {"x": "g1", "y": "f", "z": "s1"}
+    deep = spark.createDataFrame([(i, i + 1) for i in range(35)], "child int, parent int")
+    assert registry.ancestors(deep, "child", "parent").agg(F.max("distance")).first()[0] == 35
     loop = spark.createDataFrame([("a", "b"), ("b", "a")], "child string, parent string")
     assert registry.ancestors(loop, "child", "parent").count() == 2
     hit = registry.invalidated(e.select(F.col("child").alias("source"), F.col("parent").alias("target")), spark.createDataFrame([("s1",)], "node string"))
