@@ -1,123 +1,140 @@
 """Ordered and per-key results when a few keys hold most rows.
 
-A key's rows must be seen in order, but a hot key must not become one task. Row counts
-per key come from a map-side combined aggregate; of the keys with at least
-``rows_per_chunk`` rows the ``MAX_HOT`` largest are read by the driver (a proven bound),
-and mergeable quantile sketches give each of them chunk edges along its order column.
-Rows are then shuffled by (key, chunk). What must pass from chunk to chunk is one row
-per chunk of a hot key, at most ``MAX_HOT * max_chunks``, which is broadcast. Keys beyond
-the largest ``MAX_HOT`` each have less than 1/``MAX_HOT`` of the rows.
+A key's rows must be seen in order, but a hot key must not become one task. With P shuffle
+partitions and n rows, a key is hot from n / 2P rows on, so there are at most 2P hot keys, and
+each is cut along its order column into chunks of about n / 4P rows, at most 4P for all rows
+of one key and 6P in all. These numbers follow from P alone: no key beyond them is left whole,
+and every other key is smaller than half an average partition. Row counts per key come from a
+map-side combined aggregate; chunk edges from a sample of about ``SAMPLED`` rows per chunk,
+which only places the cuts and never changes a result.
+
+Rows are shuffled once, by (key, chunk). Equal (key, order) rows are combined and the running
+value is taken inside a chunk; what passes from chunk to chunk is one row per chunk of a hot
+key, which is broadcast (at most 6P rows). If the sample shows one moment of one key filling
+a whole chunk, equal rows are combined on the map side before they are shuffled, so that a
+burst is one row per task.
 
 Defined results: rows whose key or order column is NULL are not part of any order and
-are left out by the functions here; ties in the order column are settled by the further
-order columns; repeated rows are separate rows; empty tables give empty results.
+are left out by the functions here; ties in the order column are settled by the
+aggregates that combine them; repeated rows are separate rows; empty tables give empty
+results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_HOT = 512
+from fieldlark.session import cut
 
+# Chunks are never made smaller than this.
+LEAST_CHUNK = 1_000
+SAMPLED = 200
+# Edges are looked up in two steps: among the first of each run of this many, then inside it.
+STEP = 64
 
-def hot_keys(df: DataFrame, key: str, order: str, rows_per_chunk: int = 100_000, max_chunks: int = 256) -> list[tuple[object, list[int]]]:
-    """The hot values of ``key`` and, for each, rising chunk edges of ``order`` (a bigint)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= rows_per_chunk)
-    top = counts.orderBy(F.desc("__n"), F.asc(key)).limit(MAX_HOT).collect()
-    top = [(r[0], r[1]) for r in top if r[1] >= 2 * rows_per_chunk]
+
+@dataclass(frozen=True)
+class Hot:
+    """Hot keys with the rising edges of their chunks; ``burst`` tells that one moment of
+    one key fills a chunk."""
+
+    edges: list[tuple[object, list[int]]] = field(default_factory=list)
+    burst: bool = False
+
+
+def find_hot(df: DataFrame, key: str, place: Column, rows_per_chunk: int | None = None) -> Hot:
+    """The hot values of ``key`` and chunk edges along ``place`` (a bigint expression).
+    ``rows_per_chunk`` replaces n / 4P, for tests."""
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(F.col(key).alias("k"), place.alias("t")).where(F.col("k").isNotNull() & F.col("t").isNotNull())
+    least = rows_per_chunk or LEAST_CHUNK
+    # One row for each key of some size, and one (NULL) for all others together.
+    sums = cut(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).groupBy(F.when(F.col("n") >= least, F.col("k")).alias("k")).agg(F.sum("n").alias("n")))
+    total = sums.agg(F.sum("n")).first()[0] or 0
+    chunk = rows_per_chunk or max(LEAST_CHUNK, -(-total // (4 * partitions)))
+    top = sums.where(F.col("k").isNotNull() & (F.col("n") >= 2 * chunk)).select("k", F.ceil(F.col("n") / chunk).cast("int").alias("c")).collect()
     if not top:
-        return []
-    cuts = min(max_chunks, max(-(-n // rows_per_chunk) for _, n in top))
-    at = [i / cuts for i in range(1, cuts)]
-    edges = df.where(F.col(key).isin([k for k, _ in top])).groupBy(key).agg(F.percentile_approx(order, at, 10_000).alias("e")).collect()
-    size = dict(top)
-    out = []
-    for k, e in edges:
-        step = max(1, cuts // min(max_chunks, -(-size[k] // rows_per_chunk)))
-        out.append((k, sorted(set(e[step - 1 :: step]))))
-    return out
-
-
-def chunked(df: DataFrame, key: str, order: str, hot: list[tuple[object, list[int]]], name: str = "__chunk") -> DataFrame:
-    """``df`` with the chunk of each row; 0 for keys that are not hot."""
-    if not hot:
-        return df.withColumn(name, F.lit(0))
-    schema = T.StructType([T.StructField("__hot_key", df.schema[key].dataType), T.StructField("__edges", T.ArrayType(T.LongType()))])
-    edges = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
-    chunk = F.coalesce(F.size(F.filter("__edges", lambda e: e <= F.col(order))), F.lit(0))
-    at = F.when(F.col("__edges").isNull(), F.lit(0)).otherwise(chunk)
-    return df.join(edges, F.col(key) == F.col("__hot_key"), "left").withColumn(name, at).drop("__hot_key", "__edges")
-
-
-def carried(
-    df: DataFrame,
-    key: str,
-    order: str,
-    then: Sequence[str | Column],
-    value: Column,
-    into: str,
-    *,
-    include_current: bool,
-    hot: list[tuple[object, list[int]]] | None = None,
-    rows_per_chunk: int = 100_000,
-) -> DataFrame:
-    """``df`` with ``into``: the last non-NULL ``value`` of the same key before each row,
-    or up to and with it. ``order`` is a bigint column, ``then`` settles ties. ``hot`` comes
-    from ``hot_keys`` over rows that are cheaper to read, where the caller has such; keys that
-    are hot there but not in ``df`` only get more chunks than they need.
-
-    Without hot keys this is one shuffle by key and a running window; with them the
-    shuffle is by (key, chunk) and the first rows of a chunk take their value from the
-    last one of the chunks before, found by a map-side combined ``max_by``."""
-    df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumn("__v", value)
-    if hot is None:
-        hot = hot_keys(df, key, order, rows_per_chunk)
-    parts = chunked(df, key, order, hot)
+        return Hot()
+    hot = spark.createDataFrame(top, sums.select("k", F.lit(0).alias("c")).schema)
+    sample = rows.where(F.rand(7) < min(1.0, SAMPLED / chunk)).join(F.broadcast(hot), "k")
+    w = Window.partitionBy("k")
+    ranked = sample.select("k", "t", (F.floor((F.row_number().over(w.orderBy("t")) - 1) * F.col("c") / F.count(F.lit(1)).over(w))).alias("b"))
+    starts = ranked.groupBy("k", "b").agg(F.min("t").alias("t")).collect()
+    per: dict[object, list[int]] = {k: [] for k, _ in top}
+    burst = False
+    for k, _, t in sorted(starts, key=lambda r: r["t"]):
+        burst = burst or (bool(per[k]) and per[k][-1] == t)
+        per[k].append(t)
+    # The first chunk has no edge: it begins before everything.
+    return Hot([(k, sorted(set(v))[1:]) for k, v in per.items()], burst)
+
+
+def chunked(df: DataFrame, key: str, place: Column, hot: Hot, name: str = "__chunk") -> DataFrame:
+    """``df`` with the chunk of each row, from 0; -1 for keys that are not hot."""
+    kind = T.StructType([T.StructField("__hot_key", df.schema[key].dataType), T.StructField("__first", T.ArrayType(T.LongType())), T.StructField("__edges", T.ArrayType(T.ArrayType(T.LongType())))])
+    table = [(k, e[::STEP], [e[i : i + STEP] for i in range(0, len(e), STEP)]) for k, e in hot.edges]
+    edges = F.broadcast(df.sparkSession.createDataFrame(table, kind))
+    before = lambda c: F.size(F.filter(c, lambda e: e <= place))
+    runs = before(F.col("__first"))
+    inside = F.when(runs == 0, F.lit(0)).otherwise((runs - 1) * STEP + before(F.get(F.col("__edges"), runs - 1)))
+    # Never NULL for the planner, so that no filter is put below the shuffle of one of its readers.
+    at = F.coalesce(F.when(F.col("__first").isNotNull(), inside), F.lit(-1))
+    return df.join(edges, F.col(key) == F.col("__hot_key"), "left").withColumn(name, at).drop("__hot_key", "__first", "__edges")
+
+
+def combined(df: DataFrame, key: str, order: str, place: Column, aggregates: Sequence[Column], hot: Hot) -> DataFrame:
+    """One row per (key, order) with its chunk and the aggregates, partitioned by (key, chunk)."""
+    df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
+    if not hot.edges:
+        return df.repartition(key).groupBy(key, order).agg(*aggregates).withColumn("__chunk", F.lit(-1))
+    parts = chunked(df, key, place, hot)
+    if not hot.burst:
+        parts = parts.repartition(key, "__chunk")
+    return parts.groupBy(key, "__chunk", order).agg(*aggregates)
+
+
+def carried(rows: DataFrame, key: str, order: str, value: str, into: str, hot: Hot, *, include_current: bool) -> DataFrame:
+    """``rows`` of ``combined`` with ``into``: the last non-NULL ``value`` of the same key
+    before each row, or up to and with it."""
     last = Window.unboundedPreceding, 0 if include_current else -1
-    w = Window.partitionBy(key, "__chunk").orderBy(order, *then)
-    out = parts.withColumn(into, F.last("__v", ignorenulls=True).over(w.rowsBetween(*last)))
-    if hot:
-        keys = [k for k, _ in hot]
-        ends = (
-            parts.where(F.col(key).isin(keys) & F.col("__v").isNotNull())
-            .groupBy(key, "__chunk")
-            .agg(F.max_by("__v", F.struct(F.col(order), *[F.col(c) if isinstance(c, str) else c for c in then])).alias("__end"))
-        )
-        grid = parts.sparkSession.createDataFrame(
-            [(k, c) for k, e in hot for c in range(len(e) + 1)],
-            T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("__chunk", T.IntegerType())]),
-        )
-        carry = (
-            F.broadcast(grid)
-            .join(ends, [key, "__chunk"], "left")
-            .withColumn("__before", F.last("__end", ignorenulls=True).over(Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)))
-            .select(F.col(key).alias("__ck"), F.col("__chunk").alias("__cc"), "__before")
+    w = Window.partitionBy(key, "__chunk").orderBy(order)
+    out = rows.withColumn(into, F.last(value, ignorenulls=True).over(w.rowsBetween(*last)))
+    if hot.edges:
+        # The filter asks for an aggregate, so it stays above the shuffle, which is then used twice.
+        ends = rows.where(F.col(value).isNotNull()).groupBy(key, "__chunk").agg(F.max_by(value, order).alias("__end"), F.max("__chunk").alias("__hot")).where("__hot >= 0").drop("__hot")
+        grid = rows.sparkSession.createDataFrame(
+            [(k, c) for k, e in hot.edges for c in range(len(e) + 1)],
+            T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField("__chunk", T.IntegerType())]),
         )
+        before = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+        carry = grid.join(ends, [key, "__chunk"], "left").select(F.col(key).alias("__ck"), F.col("__chunk").alias("__cc"), F.last("__end", ignorenulls=True).over(before).alias("__before"))
         out = out.join(F.broadcast(carry), (F.col(key) == F.col("__ck")) & (F.col("__chunk") == F.col("__cc")), "left")
         out = out.withColumn(into, F.coalesce(into, "__before")).drop("__ck", "__cc", "__before")
-    return out.drop("__chunk", "__v")
+    return out.drop("__chunk")
 
 
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def value_changes(df: DataFrame, key: Column, when: str, ident: str, value: str, rows_per_chunk: int = 100_000) -> DataFrame:
+def value_changes(df: DataFrame, key: Column, when: str, ident: str, value: str, rows_per_chunk: int | None = None) -> DataFrame:
     """The deliveries of each key whose value differs from the key's previous one.
 
-    Rows of a key at one time are one delivery, combined on the map side and named by
-    the smallest ``ident``, whose value counts. Result: ``key, at, ident, value, previous``.
-    A key's first delivery is no change. NULL keys, times and values take no part."""
+    Rows of a key at one time are one delivery, named by the smallest ``ident``, whose value
+    counts. Result: ``key, at, ident, value, previous``. A key's first delivery is no change.
+    NULL keys, times and values take no part."""
     rows = df.select(key.alias("key"), F.col(when).alias("at"), F.col(ident).alias("ident"), F.col(value).alias("value"))
     rows = rows.where(F.col("key").isNotNull() & F.col("at").isNotNull() & F.col("value").isNotNull())
-    # Hot keys are found on the scan, before any shuffle.
-    hot = hot_keys(rows.select("key", micros(F.col("at")).alias("__t")), "key", "__t", rows_per_chunk)
-    deliveries = rows.groupBy("key", "at").agg(F.min_by("value", "ident").alias("value"), F.min("ident").alias("ident")).withColumn("__t", micros(F.col("at")))
-    out = carried(deliveries, "key", "__t", ["ident"], F.col("value"), "previous", include_current=False, hot=hot)
+    place = micros(F.col("at"))
+    hot = find_hot(rows, "key", place, rows_per_chunk)
+    deliveries = combined(rows, "key", "at", place, [F.min_by("value", "ident").alias("value"), F.min("ident").alias("ident")], hot)
+    out = carried(deliveries, "key", "at", "value", "previous", hot, include_current=False)
     return out.where(F.col("previous") != F.col("value")).select("key", "at", "ident", "value", "previous")
 
 

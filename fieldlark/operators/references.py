@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlark.operators.hot_keys import carried, hot_keys, micros
+from fieldlark.operators.hot_keys import carried, combined, find_hot, micros
 
 LATEST = 2**62
 
@@ -50,25 +50,34 @@ def _key(columns: Sequence[str]) -> Column:
     return F.concat(*parts)
 
 
-def _missing(refs: DataFrame, targets: DataFrame, timed: bool, marked: bool) -> DataFrame:
-    """Of refs(__key, __t, ...) those without a live target; adds ``orphan_reason``."""
+def _orphans(refs: DataFrame, targets: DataFrame, timed: bool, marked: bool, reasons: bool) -> DataFrame:
+    """Of refs(__key, __t, ...) those without a live target, by an anti-join of the references
+    with what is live; with ``reasons`` also ``orphan_reason``."""
     if not timed and not marked:
-        return refs.join(targets.select("__key").distinct(), "__key", "left_anti").withColumn("orphan_reason", F.lit("absent"))
+        lost = refs.join(targets.select("__key").distinct(), "__key", "left_anti")
+        return lost.withColumn("orphan_reason", F.lit("absent")) if reasons else lost
     if not marked:
         first = targets.groupBy("__key").agg(F.min("__t").alias("__first"))
-        out = refs.join(first, "__key", "left").where(F.col("__first").isNull() | (F.col("__first") > F.col("__t")))
-        return out.withColumn("orphan_reason", F.when(F.col("__first").isNull(), "absent").otherwise("late")).drop("__first")
-    # Newest target up to each moment of reference: both sides in one ordered run per key.
-    # References of one key and moment are one event, combined before the shuffle; the rows
-    # themselves meet the moments that found nothing in an equi-join afterwards.
-    newest = targets.groupBy("__key", "__t").agg(F.max_by("__gone", "__tie").alias("__gone"))
-    events = newest.select("__key", "__t", F.lit(0).alias("__kind"), "__gone")
-    asked = refs.select("__key", "__t", F.lit(1).alias("__kind"), F.lit(None).cast("boolean").alias("__gone")).distinct()
-    hot = hot_keys(targets.select("__key", "__t").unionByName(refs.select("__key", "__t")), "__key", "__t")
-    seen = carried(events.unionByName(asked), "__key", "__t", ["__kind"], F.col("__gone"), "__state", include_current=True, hot=hot)
-    lost = seen.where((F.col("__kind") == 1) & F.coalesce("__state", F.lit(True)))
-    reason = F.when(F.col("__state").isNull(), "absent").otherwise("deleted")
-    return refs.join(lost.select("__key", "__t", reason.alias("orphan_reason")), ["__key", "__t"])
+        live = first.select(F.col("__key").alias("__live"), "__first")
+        lost = refs.join(live, (F.col("__key") == F.col("__live")) & (F.col("__first") <= F.col("__t")), "left_anti")
+        if not reasons:
+            return lost
+        return lost.join(first, "__key", "left").withColumn("orphan_reason", F.when(F.col("__first").isNull(), "absent").otherwise("late")).drop("__first")
+    # The state of a key at each moment of reference: both sides in one ordered run per key,
+    # where rows of one key and moment are one event. The references themselves then meet
+    # only the moments at which their key is live.
+    events = targets.select("__key", "__t", F.lit(0).alias("__kind"), "__tie", "__gone")
+    asked = refs.select("__key", "__t", F.lit(1).alias("__kind"), F.lit(None).cast(targets.schema["__tie"].dataType).alias("__tie"), F.lit(None).cast("boolean").alias("__gone"))
+    both = events.unionByName(asked)
+    hot = find_hot(both, "__key", F.col("__t"))
+    newest = F.max(F.when(F.col("__kind") == 0, F.struct("__tie", "__gone")))["__gone"].alias("__gone")
+    moments = combined(both, "__key", "__t", F.col("__t"), [newest, F.max("__kind").alias("__kind")], hot)
+    seen = carried(moments, "__key", "__t", "__gone", "__state", hot, include_current=True).where("__kind = 1")
+    lost = refs.join(seen.where("not __state").select("__key", "__t"), ["__key", "__t"], "left_anti")
+    if not reasons:
+        return lost
+    gone = seen.where("__state").select("__key", "__t", F.lit("deleted").alias("__why"))
+    return lost.join(gone, ["__key", "__t"], "left").withColumn("orphan_reason", F.coalesce("__why", F.lit("absent"))).drop("__why")
 
 
 def orphan_references(
@@ -82,9 +91,11 @@ def orphan_references(
     target_time: Column | None = None,
     target_deleted: Column | None = None,
     target_tie: Column | None = None,
+    reasons: bool = True,
 ) -> DataFrame:
     """The rows of ``refs`` without a matching live target, with ``orphan_reason``:
-    ``absent``, ``deleted``, ``late`` (only where no deletion mark is given) or ``partial_key``."""
+    ``absent``, ``deleted``, ``late`` (only where no deletion mark is given) or ``partial_key``.
+    Without ``reasons`` the column is left out, which saves a join."""
     if semantics not in ("simple", "full", "partial"):
         raise ValueError(semantics)
     n = len(ref_keys)
@@ -106,10 +117,10 @@ def orphan_references(
             continue
         group = left.where(F.col("__mask") == m)
         if m and semantics == "full":
-            out.append(group.select("__r", F.lit("partial_key").alias("orphan_reason")))
+            out.append(group.select("__r", *[F.lit("partial_key").alias("orphan_reason")] * reasons))
             continue
         asked = group.select(_key(present).alias("__key"), "__t", "__r")
         there = right.where(reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in present])).select(_key(present).alias("__key"), "__t", "__gone", "__tie")
-        out.append(_missing(asked, there, ref_time is not None and target_time is not None, target_deleted is not None).select("__r", "orphan_reason"))
+        out.append(_orphans(asked, there, ref_time is not None and target_time is not None, target_deleted is not None, reasons).select("__r", *["orphan_reason"] * reasons))
     found = reduce(DataFrame.unionByName, out)
-    return found.select(*[F.col(f"__r.`{c}`").alias(c) for c in cols if c != "orphan_reason"], "orphan_reason")
+    return found.select(*[F.col(f"__r.`{c}`").alias(c) for c in cols if not reasons or c != "orphan_reason"], *["orphan_reason"] * reasons)

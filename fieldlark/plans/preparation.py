@@ -123,7 +123,7 @@ found as (select distinct source_ordinal, country_code from hits)
 # ---- problem 5
 
 
-def _media_orphans(spark: SparkSession, d: str) -> DataFrame:
+def _media_orphans(spark: SparkSession, d: str, reasons: bool) -> DataFrame:
     media = table(spark, d, "gbif_media").select("source_media_row_number", "gbifID", "ingested_at")
     occ = table(spark, d, "occurrence_source").select("gbifID", "is_deleted", "ingested_at", "source_ordinal")
     key = references.whole_number(F.col("gbifID"))
@@ -137,10 +137,11 @@ def _media_orphans(spark: SparkSession, d: str) -> DataFrame:
         target_time=F.col("ingested_at"),
         target_deleted=F.col("is_deleted"),
         target_tie=F.col("source_ordinal"),
+        reasons=reasons,
     )
 
 
-def _image_orphans(spark: SparkSession, d: str) -> DataFrame:
+def _image_orphans(spark: SparkSession, d: str, reasons: bool) -> DataFrame:
     images = table(spark, d, "reference_media_objects").where(F.col("source") == "GBIF").select("reference_media_id", "source_object_uri", "downloaded_at")
     media = table(spark, d, "gbif_media").select("media_identifier", "ingested_at")
     return references.orphan_references(
@@ -151,22 +152,24 @@ def _image_orphans(spark: SparkSession, d: str) -> DataFrame:
         semantics="simple",
         ref_time=F.col("downloaded_at"),
         target_time=F.col("ingested_at"),
+        reasons=reasons,
     )
 
 
-def _p5(spark: SparkSession, d: str) -> DataFrame:
-    a = _media_orphans(spark, d).select(F.lit("gbif_media").alias("ref_table"), F.col("source_media_row_number").cast("string").alias("ref_id"), F.col("ingested_at").alias("arrived_at"), "orphan_reason")
-    b = _image_orphans(spark, d).select(F.lit("reference_media_objects").alias("ref_table"), F.col("reference_media_id").alias("ref_id"), F.col("downloaded_at").alias("arrived_at"), "orphan_reason")
+def _p5(spark: SparkSession, d: str, reasons: bool) -> DataFrame:
+    why = ["orphan_reason"] * reasons
+    a = _media_orphans(spark, d, reasons).select(F.lit("gbif_media").alias("ref_table"), F.col("source_media_row_number").cast("string").alias("ref_id"), F.col("ingested_at").alias("arrived_at"), *why)
+    b = _image_orphans(spark, d, reasons).select(F.lit("reference_media_objects").alias("ref_table"), F.col("reference_media_id").alias("ref_id"), F.col("downloaded_at").alias("arrived_at"), *why)
     return a.unionByName(b)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return _p5(spark, d).select("ref_table", "ref_id")
+    return _p5(spark, d, False).select("ref_table", "ref_id")
 
 
 def p5_by_month(spark: SparkSession, d: str) -> DataFrame:
     month = F.date_format(F.col("arrived_at").cast("timestamp"), "yyyy-MM")
-    return _p5(spark, d).groupBy("ref_table", month.alias("month"), "orphan_reason").agg(F.count(F.lit(1)).alias("n_orphans"))
+    return _p5(spark, d, True).groupBy("ref_table", month.alias("month"), "orphan_reason").agg(F.count(F.lit(1)).alias("n_orphans"))
 
 
 def p5_partial_keys(spark: SparkSession, d: str) -> DataFrame:

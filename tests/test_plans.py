@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from fieldlark.operators import parse_rows
+from fieldlark.operators import hot_keys, parse_rows
 from fieldlark.plans import composites, preparation, relational
 
 
@@ -21,8 +21,15 @@ def test_parse_is_one_pass(spark, tiny):
 def test_history_scan_is_pruned_and_filtered(spark, tiny):
     p = plan(preparation.p6_found(spark, tiny))
     assert "EqualTo(status,complete)" in p and "scientific_name" not in p
-    # One shuffle for deliveries, one for the run of a key.
-    assert p.count("Exchange hashpartitioning") == 2
+
+
+def test_history_rows_are_shuffled_once(spark, tiny):
+    """The hot path: what needs the chunks' ends reads the same shuffle again."""
+    rows = preparation._complete(spark, tiny)
+    out = hot_keys.value_changes(rows, preparation._taxon_key(), "retrieved_at", "presence_id", "occurrence_count", rows_per_chunk=20)
+    out.collect()
+    p = plan(out).partition("== Initial Plan ==")[0]
+    assert p.count("REPARTITION_BY_COL") == 2 and re.search(r"ReusedExchange .*REPARTITION_BY_COL", p)
 
 
 def test_orphans_read_what_they_need(spark, tiny):
