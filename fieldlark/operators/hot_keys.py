@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlark.session import cut
+from fieldlark.session import cut, small_table
 
 # Chunks are never made smaller than this.
 LEAST_CHUNK = 1_000
@@ -61,7 +61,7 @@ def find_hot(df: DataFrame, key: str, place: Column, rows_per_chunk: int | None
     top = sums.where(F.col("k").isNotNull() & (F.col("n") >= 2 * chunk)).select("k", F.ceil(F.col("n") / chunk).cast("int").alias("c")).collect()
     if not top:
         return Hot()
-    hot = spark.createDataFrame(top, sums.select("k", F.lit(0).alias("c")).schema)
+    hot = small_table(spark, top, sums.select("k", F.lit(0).alias("c")).schema)
     sample = rows.where(F.rand(7) < min(1.0, SAMPLED / chunk)).join(F.broadcast(hot), "k")
     w = Window.partitionBy("k")
     ranked = sample.select("k", "t", (F.floor((F.row_number().over(w.orderBy("t")) - 1) * F.col("c") / F.count(F.lit(1)).over(w))).alias("b"))
@@ -79,7 +79,7 @@ def chunked(df: DataFrame, key: str, place: Column, hot: Hot, name: str = "__chu
     """``df`` with the chunk of each row, from 0; -1 for keys that are not hot."""
     kind = T.StructType([T.StructField("__hot_key", df.schema[key].dataType), T.StructField("__first", T.ArrayType(T.LongType())), T.StructField("__edges", T.ArrayType(T.ArrayType(T.LongType())))])
     table = [(k, e[::STEP], [e[i : i + STEP] for i in range(0, len(e), STEP)]) for k, e in hot.edges]
-    edges = F.broadcast(df.sparkSession.createDataFrame(table, kind))
+    edges = F.broadcast(small_table(df.sparkSession, table, kind))
     before = lambda c: F.size(F.filter(c, lambda e: e <= place))
     runs = before(F.col("__first"))
     inside = F.when(runs == 0, F.lit(0)).otherwise((runs - 1) * STEP + before(F.get(F.col("__edges"), runs - 1)))
@@ -108,7 +108,8 @@ def carried(rows: DataFrame, key: str, order: str, value: str, into: str, hot: H
     if hot.edges:
         # The filter asks for an aggregate, so it stays above the shuffle, which is then used twice.
         ends = rows.where(F.col(value).isNotNull()).groupBy(key, "__chunk").agg(F.max_by(value, order).alias("__end"), F.max("__chunk").alias("__hot")).where("__hot >= 0").drop("__hot")
-        grid = rows.sparkSession.createDataFrame(
+        grid = small_table(
+            rows.sparkSession,
             [(k, c) for k, e in hot.edges for c in range(len(e) + 1)],
             T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField("__chunk", T.IntegerType())]),
         )

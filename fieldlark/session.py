@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: str = "8", app: str = "fieldlark", **extra: str) -> SparkSession:
@@ -57,6 +60,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few rows of the driver as a table. They go to the JVM as Arrow batches, so that no
+    Python worker is started to read them."""
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), schema)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have yet (names compare without case)."""
     have = {c.lower() for c in df.columns}
