@@ -5,9 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import math
 import re
-import struct
 import unicodedata
 
 import pandas as pd
@@ -15,70 +13,68 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Marks that are written in several ways.
-_SAME = str.maketrans({"’": "'", "‘": "'", "ʼ": "'", "`": "'", "“": '"', "”": '"', "–": "-", "—": "-", "‐": "-", "‑": "-", "×": "x"})
+# Marks that are written in several ways, and marks that blanks may surround.
+HYPHENS, SINGLE_QUOTES, DOUBLE_QUOTES = "‐‑‒–—−", "‘’‚‛", "“”„"
+CLOSE_MARKS = ",;:/()-"
+_PLAIN = {ord(c): plain for marks, plain in ((HYPHENS, "-"), (SINGLE_QUOTES, "'"), (DOUBLE_QUOTES, '"')) for c in marks}
+_AT_MARKS = re.compile("([" + re.escape(CLOSE_MARKS) + "])")
 
 
 def fold_name(value: str | None) -> str | None:
+    """The key of one name; None for a blank one."""
     if value is None:
         return None
-    text = unicodedata.normalize("NFKC", value).translate(_SAME)
-    return " ".join(text.split()).casefold() or None
+    text = " ".join(unicodedata.normalize("NFKC", value).translate(_PLAIN).split())
+    return "".join(piece.strip() for piece in _AT_MARKS.split(text)).casefold() or None
 
 
 @F.pandas_udf(T.StringType())
 def name_key(names: pd.Series) -> pd.Series:
-    """The key under which spellings of a name meet: NFKC, plain marks, one blank, folded case."""
+    """The key under which spellings of a name meet: NFKC, plain marks without blanks around
+    them, one blank between words, folded case."""
     return names.map(fold_name, na_action="ignore")
 
 
 # Three-letter codes of languages that also have two letters.
 _TWO = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "por": "pt", "jpn": "ja", "ita": "it", "nld": "nl", "dut": "nl", "rus": "ru", "zho": "zh", "chi": "zh"}
-_TAG = re.compile(r"(?P<lang>[A-Za-z]{2,3})(?:[-_](?P<script>[A-Za-z]{4}))?(?:[-_](?P<region>[A-Za-z]{2}|[0-9]{3}))?")
 
 
-def parse_tag(value: str | None) -> tuple:
-    m = _TAG.fullmatch(value.strip()) if value else None
-    if not m:
-        return (None, None, None, None)
-    lang = _TWO.get(m["lang"].lower(), m["lang"].lower())
-    script = m["script"].title() if m["script"] else None
-    region = m["region"].upper() if m["region"] else None
-    return (lang, script, region, "-".join(x for x in (lang, script, region) if x))
+def language_tag(c: Column) -> Column:
+    """``language, script, region, tag`` of a language tag, NULL where it names no language.
+    Parts may stand in any order after the language and be divided by ``-`` or ``_``."""
+    parts = F.split(F.replace(F.trim(c), F.lit("_"), F.lit("-")), "-")
+    first = F.lower(F.get(parts, F.lit(0)))
+    letters = lambda x, n: (F.length(x) == n) & (F.translate(F.lower(x), "abcdefghijklmnopqrstuvwxyz", "") == "")
+    digits = lambda x: (F.length(x) == 3) & (F.translate(x, "0123456789", "") == "")
+    language = F.when(letters(first, 2) | letters(first, 3), F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in _TWO.items() for x in kv]), first), first))
+    rest = F.slice(parts, 2, 99)
+    pick = lambda test: F.get(F.filter(rest, test), F.lit(0))
+    script = F.when(language.isNotNull(), F.initcap(pick(lambda x: letters(x, 4))))
+    region = F.when(language.isNotNull(), F.upper(pick(lambda x: letters(x, 2) | digits(x))))
+    return F.struct(language.alias("language"), script.alias("script"), region.alias("region"), F.nullif(F.concat_ws("-", language, script, region), F.lit("")).alias("tag"))
 
 
-@F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in ("language", "script", "region", "tag")]))
-def language_tag(tags: pd.Series) -> pd.DataFrame:
-    rows = [parse_tag(t if isinstance(t, str) else None) for t in tags]
-    return pd.DataFrame(rows, columns=["language", "script", "region", "tag"])
+def canonical_json(value: object) -> str:
+    """The one text of a JSON value: keys sorted, no blanks, numbers told apart from text and
+    whole numbers from others. Keys that are not text and non-finite numbers are refused."""
 
-
-def fingerprint(value: object) -> str:
-    """``sha256:`` over a typed, length-prefixed form: mappings ignore order, sequences keep it,
-    numbers are told apart from text, non-finite numbers are refused."""
-
-    def encode(x: object) -> bytes:
-        if x is None:
-            return b"n"
-        if isinstance(x, bool):
-            return b"b1" if x else b"b0"
-        if isinstance(x, int):
-            body = str(x).encode()
-            return b"i" + struct.pack("<Q", len(body)) + body
-        if isinstance(x, float):
-            if not math.isfinite(x):
-                raise ValueError("a fingerprint needs finite numbers")
-            return b"f" + struct.pack("<d", x)
-        if isinstance(x, str):
-            body = x.encode()
-            return b"s" + struct.pack("<Q", len(body)) + body
+    def check(x: object) -> None:
         if isinstance(x, dict):
-            parts = sorted((encode(str(k)), encode(v)) for k, v in x.items())
-            return b"m" + struct.pack("<Q", len(parts)) + b"".join(k + v for k, v in parts)
-        parts = [encode(v) for v in x]  # type: ignore[union-attr]
-        return b"l" + struct.pack("<Q", len(parts)) + b"".join(parts)
+            if not all(isinstance(k, str) for k in x):
+                raise TypeError("keys must be text")
+            x = list(x.values())
+        if isinstance(x, (list, tuple)):
+            for v in x:
+                check(v)
 
-    return "sha256:" + hashlib.sha256(encode(value)).hexdigest()
+    check(value)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
+def fingerprint(value: object) -> str:
+    """``sha256:`` and the digest of the canonical JSON: equal for equal values only. A design
+    of its own, whose digests are comparable only with each other."""
+    return "sha256:" + hashlib.sha256(canonical_json(value).encode("utf-8", "surrogatepass")).hexdigest()
 
 
 @F.pandas_udf(T.StringType())
@@ -110,23 +106,39 @@ def term_extractor(terms: dict[str, str], lookback: int = 40):
     return extract
 
 
+# The elements of Creative Commons licences and the versions there have been.
+CC_ELEMENTS = ("by", "nc", "nd", "sa")
+CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
+
+
 def licence(c: Column) -> Column:
-    """Family, version, permissions and policy of a licence text or URL."""
-    t = F.lower(F.trim(c))
-    plain = F.regexp_replace(F.regexp_replace(t, r"^https?://(?:www\.)?creativecommons\.org/(?:licenses|publicdomain)/", "cc-"), r"[\s_/]+", "-")
-    plain = F.regexp_replace(F.regexp_replace(plain, r"^cc-zero|^cc-?0|^zero", "cc0"), r"^(?!cc)(by(?:-|$))", "cc-$1")
-    closed = F.contains(t, F.lit("all rights reserved")) | (t == "copyright")
-    public = F.contains(t, F.lit("public domain")) | t.isin("pdm") | F.contains(t, F.lit("publicdomain/mark/"))
-    pattern = r"^(cc0|cc-by(?:-nc)?(?:-nd|-sa)?)(?:-([0-9]\.[0-9]))?(?:[-.].*)?$"
-    family = F.nullif(F.regexp_extract(plain, pattern, 1), F.lit(""))
-    family = F.when(closed, "copyright").when(public, "pdm").otherwise(family)
-    version = F.when(~closed & ~public, F.nullif(F.regexp_extract(plain, pattern, 2), F.lit("")))
-    nc, nd, sa = (F.contains(family, F.lit(x)) for x in ("-nc", "-nd", "-sa"))
+    """Family, version and permissions of a licence text or URL, read as a set of words.
+
+    A Creative Commons licence names the suite (or stands alone) and its elements; ``zero`` and
+    ``mark`` are the two tools for the public domain. What has words that are no part of a
+    licence's name is not recognised."""
+    words = F.filter(F.split(F.lower(F.regexp_replace(c, r"[^A-Za-z0-9.]+", " ")), " "), lambda w: w != "")
+    has = lambda *ws: F.arrays_overlap(words, F.array(*map(F.lit, ws)))
+    # What may stand beside the elements: the scheme, the site and its folders, the suite, the document.
+    beside = ["http", "https", "creativecommons.org", "www.creativecommons.org", "licenses", "publicdomain", "legalcode", "deed", "deed.en", "cc", "creative", "commons", "attribution", "license", "licence", "international"]
+    known = F.forall(words, lambda w: w.isin(*beside, *CC_ELEMENTS, *CC_VERSIONS, "zero", "cc0", "mark", "pdm"))
+    version = F.get(F.filter(words, lambda w: w.isin(*CC_VERSIONS)), F.lit(0))
+    reserved = F.contains(F.lower(c), F.lit("all rights reserved")) | (F.lower(F.trim(c)) == "copyright")
+    mark = (has("public") & has("domain")) | F.coalesce(has("pdm"), F.lit(False)) | (has("publicdomain") & has("mark"))
+    zero = known & (has("cc0") | (has("zero") & has("cc", "publicdomain")) | ((F.size(words) == 1) & has("zero")))
+    named = known & has("by") & ~(has("nd") & has("sa")) & (has("cc", "creativecommons.org", "www.creativecommons.org", "creative") | F.get(words, F.lit(0)).isin("by"))
+    cc = F.concat_ws("-", F.lit("cc"), *[F.when(has(e), F.lit(e)) for e in CC_ELEMENTS])
+    family = F.when(reserved, "copyright").when(mark, "pdm").when(zero, "cc0").when(named, cc)
+    free, plain = family.isin("cc0", "pdm"), family.isNotNull()
+    # The names of permissions and of what a policy makes of them.
+    may = lambda no, other="YES": F.when(~F.coalesce(plain, F.lit(False)), "UNKNOWN").when(reserved | has(no), "NO").otherwise(other)
+    changes = may("nd", F.when(has("sa"), "SHARE_ALIKE").otherwise("YES"))
+    commercial = may("nc")
     return F.struct(
         family.alias("family"),
-        F.when(public, "1.0").otherwise(version).alias("version"),
-        F.when(family.isNull(), "UNKNOWN").when(closed | nc, "NO").otherwise("YES").alias("commercial"),
-        F.when(family.isNull(), "UNKNOWN").when(closed | nd, "NO").when(sa, "SHARE_ALIKE").otherwise("YES").alias("derivatives"),
-        F.when(family.isNull(), "UNKNOWN").when(family.isin("cc0", "pdm"), "NOT_REQUIRED").otherwise("REQUIRED").alias("attribution"),
-        F.when(family.isNull(), "QUARANTINED").when(closed | nd, "DENIED").when(nc, "RESEARCH_ONLY").otherwise("ALLOWED").alias("policy"),
+        F.when(mark & ~reserved, "1.0").when(~reserved, F.when(family.isNotNull(), version)).alias("version"),
+        commercial.alias("commercial"),
+        changes.alias("derivatives"),
+        F.when(family.isNull(), "UNKNOWN").when(free, "NOT_REQUIRED").otherwise("REQUIRED").alias("attribution"),
+        F.when(family.isNull(), "QUARANTINED").when(changes == "NO", "DENIED").when(commercial == "NO", "RESEARCH_ONLY").otherwise("ALLOWED").alias("policy"),
     )

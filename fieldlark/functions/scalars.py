@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What stands between the values of a row, and for a missing one, in row digests.
 UNIT = "\x1f"
+NO_VALUE = "<NULL>"
 # Fixed value: the order of severity of check statuses.
 SEVERITY = ("CONFLICT", "FAIL", "UNKNOWN", "NOT_TESTED", "PASS")
 
@@ -63,7 +65,8 @@ def reasons(named: Mapping[str, Column]) -> Column:
 
 
 def row_text(*cs: Column) -> Column:
-    return F.concat_ws(UNIT, *[F.coalesce(c.cast("string"), F.lit("<NULL>")) for c in cs])
+    """The text of a row that its digest is made of."""
+    return F.concat_ws(UNIT, *[F.coalesce(c.cast("string"), F.lit(NO_VALUE)) for c in cs])
 
 
 def tagged_hash(kind: str | None, c: Column) -> Column:
@@ -77,28 +80,44 @@ def hash_order(seed: str, *cs: Column) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(seed), *[c.cast("string") for c in cs]), 256)
 
 
+def _url_parts(c: Column) -> tuple[Column, Column, Column]:
+    """Scheme and authority in lower case and all that follows the authority, of the text before
+    any fragment. No pattern is needed: a URL is cut at its first ``#``, ``://``, ``/`` and ``?``."""
+    bare = F.substring_index(F.trim(c), "#", 1)
+    scheme = F.lower(F.substring_index(bare, "://", 1))
+    tail = F.when(F.contains(bare, F.lit("://")), F.substring(bare, F.length(scheme) + 4, F.length(bare))).otherwise("")
+    authority = F.substring_index(F.substring_index(tail, "/", 1), "?", 1)
+    return scheme, F.lower(authority), F.substring(tail, F.length(authority) + 1, F.length(tail))
+
+
+# The schemes of web addresses and the port each stands for.
+WEB_PORTS = {"http": ":80", "https": ":443"}
+
+
 def canonical_url(c: Column) -> Column:
-    """http(s) URLs with lower-case scheme and host, without default port and fragment and
-    with a path; NULL for all else."""
-    u = F.trim(c)
-    scheme = F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
-    host = F.lower(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
-    rest = F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^#]*)", 1)
-    bare = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
-    return F.when(scheme.isin("http", "https") & (host != ""), F.concat(scheme, F.lit("://"), bare, F.when(rest == "", "/").otherwise(rest)))
+    """The form in which spellings of one web address meet: scheme and host in lower case, no
+    default port, no fragment, and a path of at least ``/``. NULL for all else."""
+    scheme, authority, rest = _url_parts(c)
+    path = F.coalesce(F.nullif(rest, F.lit("")), F.lit("/"))
+    forms = [
+        F.when((scheme == s) & (authority != ""), F.concat(F.lit(f"{s}://"), F.when(authority.endswith(port), F.substring(authority, F.lit(1), F.length(authority) - len(port))).otherwise(authority), path))
+        for s, port in WEB_PORTS.items()
+    ]
+    return F.coalesce(*forms)
 
 
 def url_status(c: Column) -> Column:
-    """PASS for an http(s) URL with a host, without user and with a port up to 65535 if any."""
-    u = F.trim(c)
-    authority = F.regexp_extract(u, r"^(?i:https?)://([^/?#]+)", 1)
-    port = F.regexp_extract(authority, r":([0-9]*)$", 1)
-    ok = (authority != "") & ~F.contains(authority, F.lit("@")) & ((port == "") | F.coalesce(port.try_cast("int") <= 65535, F.lit(False)))
+    """PASS for a web address with a host, without user and with a port up to 65535 if any."""
+    scheme, authority, _ = _url_parts(c)
+    port = F.substring_index(authority, ":", -1)
+    ported = F.contains(authority, F.lit(":")) & port.rlike("^[0-9]+$")
+    ok = scheme.isin(*WEB_PORTS) & (authority != "") & ~F.contains(authority, F.lit("@")) & (~ported | F.coalesce(port.try_cast("int") <= 65535, F.lit(False)))
     return ladder((nonblank(c).isNull(), "UNKNOWN"), (ok, "PASS"), otherwise="FAIL")
 
 
 def platform(c: Column) -> Column:
-    return F.nullif(F.lower(F.regexp_extract(F.coalesce(c, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1)), F.lit(""))
+    """The host (and port) that an address of any scheme names; NULL without one."""
+    return F.nullif(_url_parts(c)[1], F.lit(""))
 
 
 def format_status(kind: Column, mime: Column) -> Column:
@@ -138,70 +157,115 @@ def split_flags(c: Column, by: str = ";") -> Column:
 
 # ---- dates
 
-_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,6})?)?(?:Z|[+-][0-9]{2}:[0-9]{2})?$"
+
+
+def _shape(c: Column) -> Column:
+    """The text with a 9 for every digit, so that forms of dates compare as plain texts."""
+    return F.translate(c, "012345678", "999999999")
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _clock(day_text: Column, clock: Column) -> Column:
+    """Whether text after the T is a clock, whether it has a zone, and the moment."""
+
+    def read(shape: Column) -> Column:
+        zone = F.when(clock.endswith("Z"), 1).when(F.right(shape, F.lit(6)).isin("+99:99", "-99:99"), 6).otherwise(0)
+        return _let(F.struct(F.left(clock, F.length(clock) - zone).alias("plain"), F.left(shape, F.length(shape) - zone).alias("shape"), F.right(clock, zone).alias("zone")), judge)
+
+    def judge(x: Column) -> Column:
+        whole, part = F.left(x["shape"], F.lit(8)), F.substring(x["shape"], 9, 99)
+        formed = (x["shape"] == "99:99") | ((whole == "99:99:99") & ((part == "") | (F.length(part).between(2, 7) & (F.rtrim(part, F.lit("9")) == "."))))
+        seconds = F.when(F.length(x["plain"]) == 5, ":00").otherwise("")
+        return F.struct(formed.alias("formed"), (x["zone"] != "").alias("zoned"), F.concat(day_text, F.lit(" "), x["plain"], seconds, x["zone"]).try_cast("timestamp").alias("instant"))
+
+    return _let(_shape(clock), read)
+
+
+def _boundary(c: Column) -> Column:
+    """One date or moment: ``formed`` (written as a full day, or a day, T and a clock), ``timed``,
+    ``zoned``, its ``day`` (NULL if the calendar or the clock has none) and its ``instant``."""
+    timed = F.contains(c, F.lit("T"))
+    day_text = F.substring_index(c, "T", 1)
+    no = F.lit(False)
+
+    def put(k: Column) -> Column:
+        day = F.when(~day_text.startswith("0000"), day_text.try_cast("date"))
+        formed = (_shape(day_text) == "9999-99-99") & (~timed | k["formed"])
+        return F.struct(F.coalesce(formed, no).alias("formed"), F.coalesce(timed, no).alias("timed"), F.coalesce(k["zoned"], no).alias("zoned"), F.when(~timed | k["instant"].isNotNull(), day).alias("day"), k["instant"].alias("instant"))
+
+    return _let(_clock(day_text, F.when(timed, F.substring(c, F.instr(c, "T") + 1, F.length(c)))), put)
 
 
 def day_of(c: Column) -> Column:
     """The calendar day of a full date or moment, NULL for partial dates and all else."""
-    return F.when(c.rlike(_DAY) | c.rlike(_MOMENT), F.substring(c, 1, 10).try_cast("date"))
+    return _let(_boundary(c), lambda x: F.when(x["formed"], x["day"]))
+
+
+def _partial(c: Column) -> Column:
+    """Whether the text is a year, or a year and a month."""
+    return F.coalesce(_shape(c).isin("9999", "9999-99"), F.lit(False))
+
+
+def _partial_exists(c: Column) -> Column:
+    return F.concat(c, F.when(F.length(c) == 4, F.lit("-01-01")).otherwise(F.lit("-01"))).try_cast("date").isNotNull() & ~c.startswith("0000")
 
 
 def event_date_status(c: Column) -> Column:
     """PASS, FAIL or UNKNOWN for year, month, day, moment and intervals of two of them."""
     t = stripped(c)
-    parts = F.split(t, "/", -1)
-    a, b = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
 
-    def good(x: Column) -> Column:
-        partial = x.rlike(r"^[0-9]{4}$") | x.rlike(r"^[0-9]{4}-(?:0[1-9]|1[0-2])$")
-        return F.coalesce(partial | day_of(x).isNotNull(), F.lit(False))
+    def judge(ends: Column) -> Column:
+        # One struct an end: whether it is sound, and its day if it is a full one.
+        read = F.transform(ends, lambda e: _let(day_of(e), lambda d: F.struct(F.when(_partial(e), _partial_exists(e)).otherwise(d.isNotNull()).alias("sound"), d.alias("day"))))
+        return _let(read, lambda r: (F.size(r) <= 2) & F.forall(r, lambda x: x["sound"]) & ~F.coalesce(F.get(r, F.lit(0))["day"] > F.get(r, F.lit(1))["day"], F.lit(False)))
 
-    backwards = F.coalesce(day_of(a) > day_of(b), F.lit(False))
-    ok = F.when(F.size(parts) == 1, good(a)).when(F.size(parts) == 2, good(a) & good(b) & ~backwards).otherwise(False)
-    return ladder((t.isNull(), "UNKNOWN"), (ok, "PASS"), otherwise="FAIL")
+    return ladder((t.isNull(), "UNKNOWN"), (_let(F.split(t, "/", -1), judge), "PASS"), otherwise="FAIL")
 
 
 def derived_components(event_date: Column, year: Column, month: Column, day: Column) -> Column:
     """Year, month and day that a strict event date can fill where they are blank, with a
     status. Intervals give their first day; what is there is never replaced."""
-    raw = stripped(event_date)
-    have = [stripped(c) for c in (year, month, day)]
-    parts = F.split(raw, "/", -1)
-    a, b = F.trim(F.get(parts, F.lit(0))), F.trim(F.get(parts, F.lit(1)))
-    shaped = lambda x: x.rlike(_DAY) | x.rlike(_MOMENT)
-    first, last = day_of(a), day_of(b)
-    two = F.size(parts) == 2
-    zoned = lambda x: x.rlike(r"(?:Z|[+-][0-9]{2}:[0-9]{2})$")
-    moments = two & a.rlike(_MOMENT) & b.rlike(_MOMENT)
-    mixed = moments & (zoned(a) != zoned(b))
-    instant = lambda x: F.regexp_replace(x, "T", " ").try_cast("timestamp")
-    reversed_ = F.when(moments, instant(a) > instant(b)).otherwise(first > last)
-    found = [F.year(first), F.month(first), F.dayofmonth(first)]
-    clash = reduce(lambda x, y: x | y, [h.isNotNull() & F.coalesce(h.try_cast("int") != f, F.lit(True)) for h, f in zip(have, found, strict=True)])
-    status = ladder(
-        (have[0].isNotNull() & have[1].isNotNull() & have[2].isNotNull(), "not_needed"),
-        (raw.isNull(), "missing_event_date"),
-        (raw.rlike(r"^[0-9]{4}(?:-[0-9]{2})?$") & (F.concat(F.substring(raw, 1, 7), F.when(F.length(raw) == 4, F.lit("-01-01")).otherwise(F.lit("-01"))).try_cast("date").isNull()), "invalid_calendar_date"),
-        (raw.rlike(r"^[0-9]{4}(?:-[0-9]{2})?$"), "insufficient_precision"),
-        (F.size(parts) > 2, "unsupported_format"),
-        (~shaped(a), "unsupported_format"),
-        (first.isNull(), "invalid_calendar_date"),
-        (two & ~shaped(b), "unsupported_format"),
-        (two & last.isNull(), "invalid_calendar_date"),
-        (mixed, "unsupported_format"),
-        (two & reversed_, "reversed_interval"),
-        (clash, "existing_component_conflict"),
-        (have[0].isNull() & (F.year(first) < 1960), "excluded_pre_1960"),
-        otherwise="derived",
-    )
-    fills = status.isin("derived", "excluded_pre_1960")
-    method = F.concat(F.lit("event_date_"), F.when(two, "interval_start_").otherwise("single_"), F.when(a.rlike(_MOMENT), "timestamp").otherwise("date"))
-    return F.struct(
-        *[F.when(fills & h.isNull(), f).alias(n) for n, h, f in zip(("derived_year", "derived_month", "derived_day"), have, found, strict=True)],
-        F.when(fills, method).alias("method"),
-        status.alias("status"),
-    )
+    names = ("year", "month", "day")
+    raw, have = stripped(event_date), {"year": stripped(year), "month": stripped(month), "day": stripped(day)}
+
+    def judge(x: Column) -> Column:
+        raw, n, start, stop = x["raw"], x["n"], x["start"], x["stop"]
+        interval, clocks = n == 2, start["timed"] & stop["timed"]
+        said = {"year": F.year(start["day"]), "month": F.month(start["day"]), "day": F.dayofmonth(start["day"])}
+        contradicted = [x[k].isNotNull() & ~F.coalesce(x[k].try_cast("int") == said[k], F.lit(False)) for k in names]
+        turned = F.when(clocks, start["instant"] > stop["instant"]).otherwise(start["day"] > stop["day"])
+        # The names of the statuses and methods.
+        wrong = lambda e: F.when(~e["formed"], "unsupported_format").when(e["day"].isNull(), "invalid_calendar_date")
+        # Each step speaks only where those before it are silent.
+        status = F.coalesce(
+            F.when(reduce(lambda a, b: a & b, [x[k].isNotNull() for k in names]), "not_needed"),
+            F.when(raw.isNull(), "missing_event_date"),
+            F.when(_partial(raw), F.when(_partial_exists(raw), "insufficient_precision").otherwise("invalid_calendar_date")),
+            F.when(n > 2, "unsupported_format"),
+            wrong(start),
+            F.when(interval, F.coalesce(wrong(stop), F.when(clocks & (start["zoned"] != stop["zoned"]), "unsupported_format").when(turned, "reversed_interval"))),
+            F.when(reduce(lambda a, b: a | b, contradicted), "existing_component_conflict"),
+            F.when(x["year"].isNull() & (said["year"] < 1960), "excluded_pre_1960"),
+            F.lit("derived"),
+        )
+        method = F.concat_ws("_", F.lit("event_date"), F.when(interval, "interval_start").otherwise("single"), F.when(start["timed"], "timestamp").otherwise("date"))
+        found = F.struct(*[F.when(x[k].isNull(), said[k]).alias(k) for k in names], method.alias("method"))
+
+        def give(s: Column) -> Column:
+            used = s["status"].isin("derived", "excluded_pre_1960")
+            return F.struct(*[F.when(used, s["found"][k]).alias(f"derived_{k}") for k in names], F.when(used, s["found"]["method"]).alias("method"), s["status"].alias("status"))
+
+        return _let(F.struct(status.alias("status"), found.alias("found")), give)
+
+    def read(ends: Column) -> Column:
+        end = lambda i: _boundary(F.trim(F.get(ends, F.lit(i))))
+        return _let(F.struct(raw.alias("raw"), F.size(ends).alias("n"), end(0).alias("start"), end(1).alias("stop"), *[have[k].alias(k) for k in names]), judge)
+
+    return _let(F.split(raw, "/", -1), read)
 
 
 # ---- numbers

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlark.functions.scalars import canonical_url, nonblank, tagged_hash
+from fieldlark.functions.scalars import canonical_url, nonblank, row_text, tagged_hash
+from fieldlark.session import cut
 
 
 def group_sizes(df: DataFrame, key: str, counted: Mapping[str, str], least: int = 2) -> DataFrame:
@@ -24,27 +25,35 @@ def group_sizes(df: DataFrame, key: str, counted: Mapping[str, str], least: int
 
 def duplicate_membership(df: DataFrame, ident: str, url: str, row_columns: Sequence[str], taxon: Column, licence: Column) -> DataFrame:
     """Each row with its exact-row, URL and canonical-URL group sizes and its status:
-    CONFLICT where one URL serves several taxa or licences, DUPLICATE, or UNIQUE."""
-    base = df.select(
-        ident,
-        F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("<NULL>")) for c in row_columns]), 256).alias("row_hash"),
-        F.sha2(F.trim(url), 256).alias("url_hash"),
-        F.sha2(canonical_url(F.col(url)), 256).alias("canonical_hash"),
-        taxon.alias("taxon"),
-        licence.alias("licence"),
+    CONFLICT where one URL serves several taxa or licences, DUPLICATE, or UNIQUE.
+
+    The digests of a row are made once and written. A group has several taxa if the smallest
+    and largest differ, so that sizes and conflicts combine on the map side in one aggregate
+    over all three kinds of groups; groups of one row are dropped before they are joined back."""
+    base = cut(
+        df.select(
+            ident,
+            F.sha2(row_text(*[F.col(c) for c in row_columns]), 256).alias("row_hash"),
+            F.sha2(F.trim(url), 256).alias("url_hash"),
+            F.sha2(canonical_url(F.col(url)), 256).alias("canonical_hash"),
+            taxon.alias("taxon"),
+            licence.alias("licence"),
+        )
     )
-    rows = base.groupBy("row_hash").agg(F.count(F.lit(1)).alias("row_n")).where("row_n > 1")
-    urls = group_sizes(base, "url_hash", {"url_taxa": "taxon", "url_licences": "licence"}).withColumnRenamed("n", "url_n")
-    canon = group_sizes(base, "canonical_hash", {"canonical_taxa": "taxon", "canonical_licences": "licence"}).withColumnRenamed("n", "canonical_n")
-    joined = base.join(rows, "row_hash", "left").join(urls, "url_hash", "left").join(canon, "canonical_hash", "left")
-    several = F.greatest("url_taxa", "canonical_taxa", "url_licences", "canonical_licences") > 1
+    several = (F.min("taxon") != F.max("taxon")) | (F.min("licence") != F.max("licence"))
+
+    def groups(key: str, kind: str, *aggs: Column) -> DataFrame:
+        return base.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(f"{kind}_n"), *aggs).where(f"{kind}_n > 1")
+
+    clash = lambda kind: F.coalesce(several, F.lit(False)).alias(f"{kind}_clash")
+    joined = base.join(groups("row_hash", "row"), "row_hash", "left").join(groups("url_hash", "url", clash("url")), "url_hash", "left").join(groups("canonical_hash", "canonical", clash("canonical")), "canonical_hash", "left")
     return joined.select(
         ident,
         F.coalesce("row_n", F.lit(1)).alias("row_group_size"),
         F.coalesce("url_n", F.lit(1)).alias("url_group_size"),
         F.coalesce("canonical_n", F.lit(1)).alias("canonical_group_size"),
         F.when(F.col("canonical_n").isNotNull(), tagged_hash("canonical-url", F.col("canonical_hash"))).alias("canonical_group_id"),
-        F.when(F.coalesce(several, F.lit(False)), "CONFLICT").when(F.coalesce("row_n", "url_n", "canonical_n").isNotNull(), "DUPLICATE").otherwise("UNIQUE").alias("duplicate_status"),
+        F.when(F.coalesce("url_clash", F.lit(False)) | F.coalesce("canonical_clash", F.lit(False)), "CONFLICT").when(F.coalesce("row_n", "url_n", "canonical_n").isNotNull(), "DUPLICATE").otherwise("UNIQUE").alias("duplicate_status"),
     )
 
 

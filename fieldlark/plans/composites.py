@@ -18,6 +18,7 @@ QUERIES, SQL = query.queries, query.sql
 
 # ---------------------------------------------------------------- quality statuses
 
+# The names of statuses and of kinds of record basis.
 _STATUS_SQL = r"""
 with base as (select trim("gbifID") as gid, count(*) as n,
     min(nullif(trim("datasetKey"), '')) as ds, max(nullif(trim("datasetKey"), '')) as ds2, count(*) filter (nullif(trim("datasetKey"), '') is null) as ds0,

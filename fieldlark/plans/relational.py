@@ -16,11 +16,12 @@ query = Register()
 QUERIES, SQL = query.queries, query.sql
 
 _WHOLE = r"case when regexp_full_match(trim({0}), '\+?[0-9]+') then regexp_replace(trim({0}), '^\+?0*([0-9])', '\1') else trim({0}) end"
-_CANON = r"""case when {0} is null or lower(regexp_extract(trim({0}), '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) not in ('http', 'https') or regexp_extract(trim({0}), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1) = '' then null
-  else lower(regexp_extract(trim({0}), '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' ||
-    case when lower(regexp_extract(trim({0}), '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) = 'http' then regexp_replace(lower(regexp_extract(trim({0}), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)), ':80$', '')
-      else regexp_replace(lower(regexp_extract(trim({0}), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)), ':443$', '') end ||
-    case when regexp_extract(trim({0}), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^#]*)', 1) = '' then '/' else regexp_extract(trim({0}), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^#]*)', 1) end end"""
+# gbif_media with the canonical form, the host and the authority of its address, step by step.
+_URLS = """(select *, case when scheme in ('http', 'https') and authority <> '' then scheme || '://' || case when scheme || right(authority, 3) = 'http:80' then left(authority, -3)
+      when scheme || right(authority, 4) = 'https:443' then left(authority, -4) else authority end || case when more = '' then '/' else more end end as canonical
+  from (select *, lower(split_part(split_part(after, '/', 1), '?', 1)) as authority, substr(after, length(split_part(split_part(after, '/', 1), '?', 1)) + 1) as more
+    from (select *, lower(split_part(bare, '://', 1)) as scheme, case when contains(bare, '://') then substr(bare, strpos(bare, '://') + 3) else '' end as after
+      from (select *, split_part(trim(media_identifier), '#', 1) as bare from gbif_media))))"""
 
 
 def _occ(spark: SparkSession, d: str) -> DataFrame:
@@ -195,12 +196,9 @@ def q_strongest_scope_match(spark, d):
 # ---------------------------------------------------------------- aggregates
 
 
-_MEDIA_SQL = f"""with m as (select *, {_CANON.format("media_identifier")} as canonical from gbif_media)"""
-
-
 @query(
     f"""with base as (select source_media_row_number as id, sha256(concat_ws(chr(31), coalesce("gbifID", '<NULL>'), coalesce(media_identifier, '<NULL>'), coalesce(media_creator, '<NULL>'))) as rh,
-    sha256(trim(media_identifier)) as uh, sha256({_CANON.format("media_identifier")}) as ch, media_license as lic, {_WHOLE.format('"gbifID"')} as taxon from gbif_media),
+    sha256(trim(media_identifier)) as uh, sha256(canonical) as ch, media_license as lic, {_WHOLE.format('"gbifID"')} as taxon from {_URLS}),
 r as (select rh, count(*) as n from base group by 1 having n > 1),
 u as (select uh, count(*) as n, count(distinct taxon) as t, count(distinct lic) as l from base where uh is not null group by 1 having n > 1),
 c as (select ch, count(*) as n, count(distinct taxon) as t, count(distinct lic) as l from base where ch is not null group by 1 having n > 1)
@@ -405,7 +403,7 @@ def q_cycled_pick(spark, d):
     return picked.select("host", "id", "publisher", "licence", "place")
 
 
-@query(f"""select source_media_row_number, canonical from (select source_media_row_number, {_CANON.format("media_identifier")} as canonical, row_number() over (partition by {_CANON.format("media_identifier")} order by ingested_at, source_media_row_number) as rn from gbif_media) where rn = 1 and canonical is not null""")
+@query(f"""select source_media_row_number, canonical from (select source_media_row_number, canonical, row_number() over (partition by canonical order by ingested_at, source_media_row_number) as rn from {_URLS}) where rn = 1 and canonical is not null""")
 def q_representative_per_url(spark, d):
     m = _media(spark, d).select("source_media_row_number", "ingested_at", canonical_url(F.col("media_identifier")).alias("canonical")).where(F.col("canonical").isNotNull())
     return joins.latest(m, ["canonical"], [F.col("ingested_at").asc(), F.col("source_media_row_number").asc()]).select("source_media_row_number", "canonical")
@@ -481,8 +479,8 @@ def q_keep_first(spark, d):
 # ---------------------------------------------------------------- scalar functions
 
 
-@query(f"""select source_media_row_number, {_CANON.format("media_identifier")} as canonical, nullif(lower(regexp_extract(coalesce(media_identifier, media_references, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)), '') as platform,
-  case when nullif(trim(media_identifier), '') is null then 'UNKNOWN' when regexp_extract(trim(media_identifier), '^(?i:https?)://([^/?#]+)', 1) <> '' and not contains(regexp_extract(trim(media_identifier), '^(?i:https?)://([^/?#]+)', 1), '@') then 'PASS' else 'FAIL' end as url_status from gbif_media""")
+@query(f"""select source_media_row_number, canonical, nullif(lower(split_part(split_part(split_part(split_part(coalesce(media_identifier, media_references, ''), '#', 1), '://', 2), '/', 1), '?', 1)), '') as platform,
+  case when nullif(trim(media_identifier), '') is null then 'UNKNOWN' when canonical is not null and not contains(authority, '@') then 'PASS' else 'FAIL' end as url_status from {_URLS}""")
 def q_urls(spark, d):
     u = F.col("media_identifier")
     return _media(spark, d).select("source_media_row_number", canonical_url(u).alias("canonical"), scalars.platform(F.coalesce(u, F.col("media_references"))).alias("platform"), scalars.url_status(u).alias("url_status"))
@@ -528,20 +526,22 @@ def q_binomial(spark, d):
   nullif(regexp_extract(media_license, '([0-9]\\.[0-9])', 1), '') as version, case when media_license is null then 'QUARANTINED' when lower(media_license) like 'all rights%' then 'DENIED' when lower(media_license) like '%nc%' then 'RESEARCH_ONLY' else 'ALLOWED' end as policy, count(*) as n
 from gbif_media group by all""".replace("\\\\", "\\"))
 def q_licences(spark, d):
-    m = _media(spark, d).select("media_license", names.licence(F.col("media_license")).alias("l"))
-    return m.groupBy("media_license", F.col("l.family").alias("family"), F.col("l.version").alias("version"), F.col("l.policy").alias("policy")).agg(F.count(F.lit(1)).alias("n"))
+    m = _media(spark, d).groupBy("media_license").agg(F.count(F.lit(1)).alias("n")).withColumn("l", names.licence(F.col("media_license")))
+    return m.select("media_license", "l.family", "l.version", "l.policy", "n")
 
 
-@query("""select distinct name_key, n from (select lower(trim("scientificName")) as name_key, count(*) as n from occurrence_source where "scientificName" is not null group by 1)""")
+@query("""select distinct name_key, n from (select regexp_replace(lower(trim("scientificName")), '\\s*([,;:/()-])\\s*', '\\1', 'g') as name_key, count(*) as n from occurrence_source where "scientificName" is not null group by 1)""")
 def q_name_key(spark, d):
     per = _occ(spark, d).where(F.col("scientificName").isNotNull()).groupBy("scientificName").agg(F.count(F.lit(1)).alias("n"))
     return per.select(names.name_key(F.col("scientificName")).alias("name_key"), "n").groupBy("name_key").agg(F.sum("n").alias("n")).distinct()
 
 
-@query()
+@query("""select lang, case when len = 2 then low when low in ('eng', 'deu', 'ger', 'fra', 'fre', 'spa', 'por', 'jpn') then case low when 'ger' then 'de' when 'deu' then 'de' when 'spa' then 'es' when 'por' then 'pt' when 'jpn' then 'ja' else left(low, 2) end when len = 3 then low end as language,
+  cast(null as varchar) as script, cast(null as varchar) as region, case when len in (2, 3) then case low when 'ger' then 'de' else low end end as tag, n
+from (select lang, lower(trim(lang)) as low, length(trim(lang)) as len, count(*) as n from documents group by all)""")
 def q_language_tags(spark, d):
     per = table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    return per.select("lang", names.language_tag(F.coalesce("lang", F.lit(""))).alias("t"), "n").select("lang", "t.*", "n")
+    return per.select("lang", names.language_tag(F.col("lang")).alias("t"), "n").select("lang", "t.*", "n")
 
 
 @query(lists=('stated', 'denied'))
@@ -551,7 +551,7 @@ def q_controlled_terms(spark, d):
     return docs.select("doc_id", "t.stated", "t.denied").where((F.size("stated") > 0) | (F.size("denied") > 0))
 
 
-@query()
+@query("""select event_id, 'sha256:' || sha256(cast(json(props) as varchar)) as fingerprint from events""")
 def q_json_fingerprint(spark, d):
     return table(spark, d, "events").select("event_id", names.json_fingerprint(F.col("props")).alias("fingerprint"))
 

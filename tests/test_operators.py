@@ -15,12 +15,15 @@ def one(spark, *cols):
 @pytest.mark.parametrize(
     ("url", "want"),
     [
-        ("https://EXAMPLE.org/a.jpg#one", "https://example.org/a.jpg"),
-        ("HTTP://Ex.org:80", "http://ex.org/"),
-        ("https://ex.org:443/p?Q=1#f", "https://ex.org/p?Q=1"),
-        ("https://ex.org:80/p", "https://ex.org:80/p"),
-        ("ftp://ex.org/a", None),
-        ("no url", None),
+        (" HTTPS://Pix.Test/A/b?C=d#e#f ", "https://pix.test/A/b?C=d"),
+        ("http://pix.test:80", "http://pix.test/"),
+        ("http://pix.test:443?q", "http://pix.test:443?q"),
+        ("https://pix.test:443/?q=http://x/y", "https://pix.test/?q=http://x/y"),
+        ("https://pix.test:80/", "https://pix.test:80/"),
+        ("mailto:a@pix.test", None),
+        ("gopher://pix.test/1", None),
+        ("http:///path", None),
+        ("", None),
         (None, None),
     ],
 )
@@ -36,19 +39,26 @@ def test_url_status(spark, url, want):
 @pytest.mark.parametrize(
     ("event", "ymd", "status", "found"),
     [
-        ("2010-03-01/2010-03-31", ("2010", "3", None), "derived", (None, None, 1)),
-        ("2010-03-05T10:00:00Z/2010-03-06T10:00:00Z", (None, None, None), "derived", (2010, 3, 5)),
-        ("2023-02-29", (None, None, None), "invalid_calendar_date", (None, None, None)),
-        ("2010-03-31/2010-03-01", (None, None, None), "reversed_interval", (None, None, None)),
-        ("2010-03-05T10:00:00Z/2010-03-06T10:00:00", (None, None, None), "unsupported_format", (None, None, None)),
-        ("2010-03", (None, None, None), "insufficient_precision", (None, None, None)),
-        ("2010-13", (None, None, None), "invalid_calendar_date", (None, None, None)),
-        ("2010-03-05", ("2011", None, None), "existing_component_conflict", (None, None, None)),
-        ("2010-03-05", ("x", None, None), "existing_component_conflict", (None, None, None)),
-        ("1959-12-31", (None, None, None), "excluded_pre_1960", (1959, 12, 31)),
-        ("a/b/c", (None, None, None), "unsupported_format", (None, None, None)),
-        (None, (None, None, None), "missing_event_date", (None, None, None)),
-        (None, ("1", "2", "3"), "not_needed", (None, None, None)),
+        ("1999-12-31", (None, "12", None), "derived", (1999, None, 31)),
+        (" 2001-02-03 / 2001-02-05 ", (None, None, None), "derived", (2001, 2, 3)),
+        ("2001-02-03T04:05:06.789+01:00/2001-02-03T03:30Z", (None, None, None), "derived", (2001, 2, 3)),
+        ("2001-02-03T04:05+01:00/2001-02-03T02:30Z", (None, None, None), "reversed_interval", (None, None, None)),
+        ("2001-02-03T04:05/2001-02-03T06:30Z", (None, None, None), "unsupported_format", (None, None, None)),
+        ("2001-02-03T24:05", (None, None, None), "invalid_calendar_date", (None, None, None)),
+        ("2001-02-03T04:05:06.1234567", (None, None, None), "unsupported_format", (None, None, None)),
+        ("2001-02-30", (None, None, None), "invalid_calendar_date", (None, None, None)),
+        ("2001-02-03/2001-02-30", (None, None, None), "invalid_calendar_date", (None, None, None)),
+        ("2001-02-04/2001-02-03", (None, None, None), "reversed_interval", (None, None, None)),
+        ("2001-00", (None, None, None), "invalid_calendar_date", (None, None, None)),
+        ("2001", (None, None, None), "insufficient_precision", (None, None, None)),
+        ("2001-02-03", (None, "3", None), "existing_component_conflict", (None, None, None)),
+        ("2001-02-03", (None, None, "third"), "existing_component_conflict", (None, None, None)),
+        ("1900-06-07", (None, None, None), "excluded_pre_1960", (1900, 6, 7)),
+        ("1900-06-07", ("1900", None, None), "derived", (None, 6, 7)),
+        ("spring", (None, None, None), "unsupported_format", (None, None, None)),
+        ("2001-02-03/2001-02-04/2001-02-05", (None, None, None), "unsupported_format", (None, None, None)),
+        (" ", (None, None, None), "missing_event_date", (None, None, None)),
+        ("2001-02-03", ("1", "2", "3"), "not_needed", (None, None, None)),
     ],
 )
 def test_temporal_components(spark, event, ymd, status, found):
@@ -59,7 +69,11 @@ def test_temporal_components(spark, event, ymd, status, found):
 
 @pytest.mark.parametrize(
     ("text", "family", "policy"),
-    [("CC BY-NC 4.0", "cc-by-nc", "RESEARCH_ONLY"), ("http://creativecommons.org/licenses/by-nd/3.0/", "cc-by-nd", "DENIED"), ("CC0 1.0", "cc0", "ALLOWED"), ("https://creativecommons.org/publicdomain/zero/1.0/", "cc0", "ALLOWED"), ("All rights reserved", "copyright", "DENIED"), ("Public Domain Mark", "pdm", "ALLOWED"), ("whatever", None, "QUARANTINED"), (None, None, "QUARANTINED")],
+    [
+        ("Attribution CC BY-SA 2.5", "cc-by-sa", "ALLOWED"), ("cc-by-nc-nd", "cc-by-nc-nd", "DENIED"), ("https://creativecommons.org/licenses/by-nc-sa/3.0/legalcode", "cc-by-nc-sa", "RESEARCH_ONLY"), ("by 4.0", "cc-by", "ALLOWED"),
+        ("CC-Zero 1.0", "cc0", "ALLOWED"), ("http://www.creativecommons.org/publicdomain/mark/1.0/", "pdm", "ALLOWED"), ("in the public domain", "pdm", "ALLOWED"), ("Copyright", "copyright", "DENIED"), ("(c) A. All rights reserved", "copyright", "DENIED"),
+        ("CC BY-ND-SA", None, "QUARANTINED"), ("cc by, but ask first", None, "QUARANTINED"), ("stand by", None, "QUARANTINED"), ("", None, "QUARANTINED"), (None, None, "QUARANTINED"),
+    ],
 )
 def test_licences(spark, text, family, policy):
     r = one(spark, names.licence(F.lit(text).cast("string")).alias("l"))["l"]
@@ -69,8 +83,13 @@ def test_licences(spark, text, family, policy):
 def test_names_and_fingerprints(spark):
     df = spark.createDataFrame([("  Ｐapilio   “Élan” ",), (None,), ("",)], "t string")
     assert [r[0] for r in df.select(names.name_key("t")).collect()] == ['papilio "élan"', None, None]
-    assert names.parse_tag("DEU-latn-at") == ("de", "Latn", "AT", "de-Latn-AT") and names.parse_tag("x") == (None,) * 4
+    tag = lambda t: tuple(one(spark, names.language_tag(F.lit(t).cast("string")).alias("v"))["v"])
+    assert tag("DEU_AT-latn") == ("de", "Latn", "AT", "de-Latn-AT") and tag("es-419") == ("es", None, "419", "es-419")
+    assert tag("x") == tag("") == tag(None) == tag("12") == (None,) * 4
+    assert names.fold_name("Long ‑ tailed ( Blue )") == names.fold_name("long-tailed(blue)") == "long-tailed(blue)"
     assert names.fingerprint({"a": 1, "b": [1, 2]}) == names.fingerprint({"b": [1, 2], "a": 1}) != names.fingerprint({"a": 1, "b": [2, 1]})
+    with pytest.raises(TypeError):
+        names.fingerprint({"x": [{1: 2}]})
     assert names.fingerprint(1) != names.fingerprint("1") != names.fingerprint(1.0) and names.fingerprint(0.0) != names.fingerprint(-0.0)
     with pytest.raises(ValueError):
         names.fingerprint(float("nan"))
@@ -123,19 +142,22 @@ def test_ordinals(spark):
         joins.ordinal_join(spark.range(3).withColumnRenamed("id", "ordinal"), spark.range(4).withColumnRenamed("id", "ordinal"))
 
 
-def test_concentration_example(spark):
-    rows = [("A", "P1", 1), ("A", "P1", 2), ("A", "P2", 3), ("B", "P3", 4)]
-    df = spark.createDataFrame(rows, "species string, p string, g long")
-    r = aggregates.concentration(df, "species", {"provider": F.col("p")}, "g").where("species = 'A'").first()
-    assert (r["n_rows"], r["n_values"], r["max_share"], r["hhi"]) == (3, 2, pytest.approx(2 / 3), pytest.approx(5 / 9))
+def test_concentration(spark):
+    """Seven rows of one kind from three sellers, 4 : 2 : 1, and one of another kind."""
+    rows = [("tea", s, n) for n, s in enumerate("xxxxyyz")] + [("oats", "x", 9)]
+    df = spark.createDataFrame(rows, "kind string, seller string, g long")
+    r = aggregates.concentration(df, "kind", {"seller": F.col("seller")}, "g").where("kind = 'tea'").first()
+    assert (r["n_rows"], r["n_values"], r["max_share"], r["hhi"]) == (7, 3, pytest.approx(4 / 7), pytest.approx(21 / 49))
 
 
-def test_duplicates_example(spark):
-    rows = [("1", "https://EXAMPLE.org/a.jpg#one", "A", "CC BY"), ("2", "https://example.org/a.jpg#two", "B", "CC BY-NC"), ("3", "https://example.org/b.jpg", "A", "CC BY"), ("4", None, None, None)]
-    df = spark.createDataFrame(rows, "id string, u string, t string, l string")
+def test_duplicate_membership(spark):
+    """Rows 0 and 1 differ in spelling and taxon, 2 and 3 are one row twice, 5 has no address."""
+    rows = [(0, "http://Pix.test:80/q", "m", "l"), (1, "http://pix.test/q#top", "n", "l"), (2, "ftp://pix.test/r", "m", "l"), (2, "ftp://pix.test/r", "m", "l"), (4, "http://pix.test/s", "m", None), (5, None, None, None)]
+    df = spark.createDataFrame(rows, "id int, u string, t string, l string")
     got = {r["id"]: r for r in aggregates.duplicate_membership(df, "id", "u", ["id", "u"], F.col("t"), F.col("l")).collect()}
-    assert got["1"]["canonical_group_id"] == got["2"]["canonical_group_id"] is not None
-    assert [got[k]["duplicate_status"] for k in "1234"] == ["CONFLICT", "CONFLICT", "UNIQUE", "UNIQUE"]
+    assert got[0]["canonical_group_id"] == got[1]["canonical_group_id"] is not None and got[2]["canonical_group_id"] is None
+    assert {k: r["duplicate_status"] for k, r in got.items()} == {0: "CONFLICT", 1: "CONFLICT", 2: "DUPLICATE", 4: "UNIQUE", 5: "UNIQUE"}
+    assert [got[k]["url_group_size"] for k in (0, 2)] == [1, 2]
 
 
 def test_order_does_not_matter(spark):
