@@ -371,3 +371,47 @@ def test_labelled_documents(spark, tiny):
     labels = spark.read.parquet(f"{tiny}/doc_labels.parquet")
     out = quality.text_statistics(spark.read.parquet(f"{tiny}/documents.parquet"), "doc_id", "text").join(labels, "doc_id")
     assert out.where((F.col("kind") == "prose") != F.col("is_prose")).count() == 0
+
+
+def test_repetition_against_brute_force():
+    """Few words, so that n-grams repeat, overlap and tie."""
+
+    def brute(words):
+        total, best, inside = sum(map(len, words)), 0, set()
+        for n in range(1, quality.LONG_NGRAM + 1):
+            grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+            most = max(map(grams.count, grams), default=1)
+            if most > 1 and n <= quality.TOP_NGRAM:
+                top = next(g for g in grams if grams.count(g) == most)
+                k = free = 0
+                for i, g in enumerate(grams):
+                    if g == top and i >= free:
+                        k, free = k + 1, i + n
+                best = max(best, k * sum(map(len, top)))
+            if n == quality.LONG_NGRAM:
+                inside = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(i, i + n)}
+        return best / total, sum(len(words[j]) for j in inside) / total
+
+    rng = random.Random(5)
+    texts = [rng.choices(["a", "bb", "ccc", "dddd"][: rng.randrange(1, 5)], k=rng.randrange(1, 40)) for _ in range(200)]
+    top, again = quality._repetition(texts)
+    assert [(pytest.approx(a), pytest.approx(b)) for a, b in map(brute, texts)] == list(zip(top, again, strict=True))
+
+
+def test_a_passage_twice_counts():
+    passage = "seven small moths slept under grey bark near water"
+    m = dict(zip([n for n, _ in quality.FIELDS], quality.measure(f"{passage}. Then rain came. {passage}!"), strict=True))
+    assert m["duplicate_ngram_share"] == pytest.approx(2 * 42 / (2 * 42 + 12)) and 0 < m["top_ngram_share"] < 1
+
+
+@pytest.mark.parametrize(("text", "broken"), [("漢字 é “x” Spaß, naïve – voilà!", False), ("漢字はとても".encode().decode("latin-1"), True), ("gehört zu Füßen".encode().decode("cp1252"), True), ("���", True)])
+def test_broken_encodings(text, broken):
+    m = dict(zip([n for n, _ in quality.FIELDS], quality.measure(text), strict=True))
+    assert (m["mojibake_share"] > 0) == broken
+
+
+def test_the_same_values_however_texts_are_taken_together(monkeypatch):
+    texts = [PROSE, None, "", "x " * 50, PROSE + PROSE, "\t"]
+    whole = list(quality.measured(texts))
+    monkeypatch.setattr(quality, "TOGETHER", 1)
+    assert list(quality.measured(texts)) == whole == [quality.measure(t) for t in texts]
