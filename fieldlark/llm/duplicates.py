@@ -54,10 +54,10 @@ def _edges(rows: DataFrame) -> DataFrame:
         known = rows.where(F.col(keys[0]).isNotNull()).select("id", *keys)
         first = known.groupBy(*keys).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         out.append(ends(known.join(first, keys), "id", "first", False, near))
-    # Each hash stands on both sides and has one shape, so that the band join compares all with all.
+    # Each hash stands on both sides, so that the band join compares all with all.
     firsts = hashed.groupBy("hi", "lo").agg(F.min("id").alias("first"))
     sides = F.explode(F.array(F.lit(True), F.lit(False))).alias("train")
-    met = overlap.near_representatives(firsts.select("hi", "lo", F.lit(1).alias("w"), F.lit(1).alias("h"), sides)).where("(hi_a, lo_a) < (hi_b, lo_b)")
+    met = overlap.near_hashes(firsts.select("hi", "lo", sides)).where("(hi_a, lo_a) < (hi_b, lo_b)")
     side = lambda x: firsts.select(F.col("hi").alias(f"hi_{x}"), F.col("lo").alias(f"lo_{x}"), F.col("first").alias(x))
     out.append(ends(met.join(side("a"), ["hi_a", "lo_a"]).join(side("b"), ["hi_b", "lo_b"]), "a", "b", False, True))
     # Within one observation the larger radius holds; the smallest shared observation gives the pair.

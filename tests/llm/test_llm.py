@@ -73,11 +73,34 @@ def test_overlap_pairs_match_brute_force(spark):
     assert report == len(flagged)
 
 
-def test_crowded_bands_lose_nothing(spark):
-    rows = media(200, 5)
-    reps = overlap.representatives(overlap.prepared(spark.createDataFrame(rows, MEDIA)))
-    pairs = lambda hot: {tuple(r) for r in overlap.near_representatives(reps, hot).collect()}
-    assert pairs(0) == pairs(10**6) != set()
+@pytest.mark.parametrize("shared", [26, 50, 0])
+def test_crowded_bands_lose_nothing(spark, shared):
+    """Hashes that agree in their first bits, so that bands, and bands of the rest, are crowded."""
+    rng = random.Random(shared)
+    head = rng.getrandbits(shared) << 128 - shared if shared else 0
+    base = [head | rng.getrandbits(128 - shared) for _ in range(150)]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    rows = {(int(flip(f"{v:032x}", *rng.sample(range(128), k)), 16), t) for v in base for k, t in ((0, True), (rng.randrange(7), False))}
+    hashes = spark.createDataFrame([(signed(v >> 64), signed(v & (1 << 64) - 1), t) for v, t in rows], "hi long, lo long, train boolean")
+    want = {(signed(a >> 64), signed(b >> 64)) for a, t in rows for b, u in rows if t and not u and (a ^ b).bit_count() <= 4}
+    for hot in (0, 5, 10**6):
+        assert {(r["hi_a"], r["hi_b"]) for r in overlap.near_hashes(hashes, hot).collect()} == want != set()
+
+
+def test_the_table_is_read_once(spark, tiny):
+    df = spark.read.parquet(f"{tiny}/reference_media_objects.parquet")
+    for out in (overlap.overlap_pairs(df), overlap.overlapping_records(df), overlap.overlap_report(df)):
+        assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ratios_at_the_edges_of_cells(spark):
+    """Widths that fall on either side of a cell's edge, and copies of one hash in many shapes."""
+    h = "ab54a98ceb1f0ad2" * 2
+    rows = [(f"t{w}", "s", "support_train", None, f"dhash128-v1:{h}", None, None, None, w, 1000, "") for w in (1000, 1049, 1051, 1200, 1500)]
+    rows += [(f"e{w}", "s", "final_test", None, f"dhash128-v1:{flip(h, 3, 80)}", None, None, None, w, 1000, "") for w in range(900, 1600, 7)]
+    df = spark.createDataFrame(rows, MEDIA)
+    want = {b for _, b, _ in brute(rows)}
+    assert {r["id"] for r in overlap.overlapping_records(df).collect()} == want and 0 < len(want) < 100
 
 
 def test_overlap_of_nothing(spark):
