@@ -313,7 +313,7 @@ def test_leakage_against_brute_force(spark):
             win[tuple(w[k : k + 13])].add(i)
     want = {(d, i) for d, t in rows if d is not None for w in [slow_words(t)] for k in range(len(w) - 12) for i in win.get(tuple(w[k : k + 13]), ())}
     docs_, items_ = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    for most in (30, leakage.MOST_WORDS):
+    for most in (60, leakage.MOST_WORDS):
         got = [tuple(r) for r in leakage.leaked_items(docs_, "doc_id", "text", items_, "item_id", "text", most_words=most).collect()]
         assert len(got) == len(set(got)) and set(got) == want != set()
     assert leakage.leaked_items(docs_.limit(0), "doc_id", "text", items_, "item_id", "text").count() == 0
@@ -321,9 +321,23 @@ def test_leakage_against_brute_force(spark):
 
 
 def test_shift_table_skips():
-    p = leakage.Patterns([(1, [f"w{i}" for i in range(20)])])
-    assert p.find([f"w{i}" for i in range(3, 16)]) == {1} and p.find([f"w{i}" for i in range(3, 15)]) == set()
-    assert p.shift["w17 w18 w19"] == 0 and p.shift["w0 w1 w2"] == 10
+    numbered = lambda *r: [f"w{i}" for i in range(*r)]
+    p = leakage.Patterns([["short"], numbered(20), numbered(5, 40)])
+    found = p.find([numbered(3, 16), numbered(3, 15), [], ["x"] * 50 + numbered(5, 18), numbered(6, 19)])
+    assert sorted(zip(*map(list, found), strict=True)) == [(0, 1), (3, 1), (3, 2), (4, 1), (4, 2)]
+    assert len(p.blocks) == len(p.shift) == 38 and p.shift.max() == 10 and (p.shift == 0).sum() == 38 - 10
+    assert [len(x) for x in leakage.Patterns([]).find([numbered(30)])] == [0, 0]
+
+
+def test_windows_at_every_place():
+    """Wherever a window stands, one probed block covers it."""
+    rng = random.Random(2)
+    window = [f"p{i}" for i in range(13)]
+    p = leakage.Patterns([window])
+    texts = [rng.choices("abc", k=k) + window + rng.choices("abc", k=n) for k in range(30) for n in (0, 1, 12)]
+    assert p.find(texts)[0].tolist() == list(range(len(texts)))
+    texts = [rng.choices("abc", k=k) + window[:-1] + ["z"] + window[1:] for k in range(30)]
+    assert not len(p.find(texts)[0])
 
 
 # ---------------------------------------------------------------- statistics
