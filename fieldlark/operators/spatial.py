@@ -1,14 +1,16 @@
-"""Points in regions: ear-clipped triangles under a bounding-volume hierarchy.
-
-Regions are triangulated in parallel (one row at a time, no geometry library). The
-triangles are cut into blocks of at most ``BLOCK`` triangles, ordered along a Z curve so
-that a block is compact; each block becomes a hierarchy of bounding boxes that is
-broadcast (at most ``BLOCK`` * 60 bytes), and the points inside the block's bounds go
-through it in Arrow batches: boxes first, then an exact orientation test of the candidate
-triangles, in floating point with an error bound and in rational numbers where that bound
-does not settle the sign. A region's several rows, its shared inner edges and overlapping
-parts are then deduplicated per point, so the points are scanned, never shuffled, except
-for the few hits that are reduced to distinct rows.
+"""Points in regions: ear-clipped triangles under bounding-volume hierarchies.
+
+Region rows are dealt over the cluster and triangulated in parallel (no geometry library).
+Up to ``BLOCK`` triangles (a checked size, at most 10 MB) are broadcast, and the points pass
+by in Arrow batches without a shuffle; each Python worker builds the hierarchy once. More
+triangles never leave the executors: every triangle lies in at most four cells of the level
+of a nested grid that fits its size, every point in one cell of each level in use, and the
+two meet by cell. Cells with many points are salted, cells with many triangles divided into
+blocks of at most ``BLOCK``, so that no task grows with the data, and each task builds the
+hierarchy of its triangles. Either way boxes come first, then an exact orientation test of
+the candidate triangles, in floating point with an error bound and in rational numbers where
+that bound does not settle the sign. A region's several rows, its shared inner edges and
+overlapping parts are then deduplicated per point.
 
 Defined results
 - A point on an edge of a triangle counts as inside it; a point on a shared border of two
@@ -28,6 +30,7 @@ import math
 import re
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,6 +41,10 @@ from pyspark.sql import functions as F
 from fieldlark.session import cut
 
 BLOCK = 200_000
+# Points of one cell that meet in one task, where points are dealt by cells.
+TOGETHER = 200_000
+# Levels of the grid: cells of 360 / 2**level degrees.
+LEVELS = (0, 2, 4, 6, 8, 10, 12, 14, 16)
 LEAF = 4
 EPS = 2.0**-53
 ORIENT_BOUND = (3 + 16 * EPS) * EPS
@@ -299,7 +306,7 @@ class Hierarchy:
 # ---------------------------------------------------------------- operators
 
 
-_COLUMNS = ["code", "z", "x1", "y1", "x2", "y2", "x3", "y3", "problem", "rings"]
+_COLUMNS = ["code", "x1", "y1", "x2", "y2", "x3", "y3", "problem", "rings"]
 
 
 def _clip_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -309,16 +316,15 @@ def _clip_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 polygons = parse_wkt(geom)
             except ValueError as e:
-                rows.append((code, None, *[None] * 6, str(e), None))
+                rows.append((code, *[None] * 6, str(e), None))
                 continue
             for rings in polygons:
                 try:
                     tri = ear_clip(rings)
                 except ValueError as e:
-                    rows.append((code, None, *[None] * 6, str(e), json.dumps(rings)))
+                    rows.append((code, *[None] * 6, str(e), json.dumps(rings)))
                     continue
-                mid_x, mid_y = tri[:, ::2].mean(1) if len(tri) else [], tri[:, 1::2].mean(1) if len(tri) else []
-                rows += [(code, z_order(x, y), *t, None, None) for t, x, y in zip(tri.tolist(), mid_x, mid_y, strict=True)]
+                rows += [(code, *t, None, None) for t in tri.tolist()]
         yield pd.DataFrame(rows, columns=_COLUMNS)
 
 
@@ -339,22 +345,13 @@ def crossed(rings: list[Ring], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return odd | on
 
 
-def z_order(x: float, y: float) -> int:
-    """Place along a Z curve over the world, 16 bits an axis."""
-
-    def spread(v: int) -> int:
-        return sum((v >> i & 1) << 2 * i for i in range(16))
-
-    a = min(65535, max(0, int((x + 180) / 360 * 65535)))
-    b = min(65535, max(0, int((y + 90) / 180 * 65535)))
-    return spread(a) | spread(b) << 1
-
-
 def region_triangles(regions: DataFrame, code: str, geom: str) -> DataFrame:
-    """``code, z, x1..y3, problem, rings``: the triangles of each polygon, or its problem with the
+    """``code, x1..y3, problem, rings``: the triangles of each polygon, or its problem with the
     rings as JSON; rings are NULL where the whole row is not readable."""
     rows = regions.select(F.col(code).cast("string").alias("code"), F.col(geom).cast("string").alias("geom"))
-    return rows.where(F.trim("code") != "").mapInPandas(_clip_rows, "code string, z bigint, x1 double, y1 double, x2 double, y2 double, x3 double, y3 double, problem string, rings string")
+    # One file of many regions would be one task; a number that is given is not coalesced.
+    rows = rows.where(F.trim("code") != "").repartition(regions.sparkSession.sparkContext.defaultParallelism, "code", "geom")
+    return rows.mapInPandas(_clip_rows, "code string, x1 double, y1 double, x2 double, y2 double, x3 double, y3 double, problem string, rings string")
 
 
 def unusable_regions(regions: DataFrame, code: str, geom: str) -> DataFrame:
@@ -376,40 +373,89 @@ def coordinate(c: Column, most: float) -> Column:
     return F.when(v.between(-most, most), v)
 
 
-def points_in_regions(points: DataFrame, ident: str, lon: Column, lat: Column, regions: DataFrame, code: str, geom: str, *, block: int = BLOCK) -> DataFrame:
-    """``ident, code``: one row for each point and each region code that holds it."""
-    spark = points.sparkSession
-    read = cut(region_triangles(regions, code, geom))
-    usable, unclipped = read.where(F.col("problem").isNull()), read.where(F.col("rings").isNotNull())
-    sized = usable.select("code", "z", "x1", "y1", "x2", "y2", "x3", "y3")
-    kind = points.schema[ident].dataType.simpleString()
-    asked = points.select(F.col(ident).alias("ident"), lon.alias("x"), lat.alias("y")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    found = None
-    blocks, held = 0, []
+CORNERS = ["x1", "y1", "x2", "y2", "x3", "y3"]
 
-    def search(rows: list) -> DataFrame:
-        tri = np.array([r[2:] for r in rows], float)
-        names, index = np.unique(np.array([r[0] for r in rows], object), return_inverse=True)
-        shared = spark.sparkContext.broadcast((Hierarchy(tri, index.astype(np.int32)), names))
-        low_x, high_x, low_y, high_y = tri[:, ::2].min(), tri[:, ::2].max(), tri[:, 1::2].min(), tri[:, 1::2].max()
 
-        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tree, codes = shared.value
-            for batch in batches:
-                at, which = tree.find(batch.column("x").to_numpy(), batch.column("y").to_numpy())
-                pairs = np.unique(np.stack([at, which], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([batch.column("ident").take(pa.array(pairs[:, 0])), pa.array(codes[pairs[:, 1]], pa.string())], ["ident", "code"])
+def _hits(tree: Hierarchy, names: np.ndarray, points: pa.RecordBatch | pa.Table) -> list[pa.Array]:
+    """The points in some triangle, each with every code once."""
+    at, which = tree.find(points.column("x").to_numpy(), points.column("y").to_numpy())
+    pairs = np.unique(np.stack([at, which], 1), axis=0)
+    ident = points.column("ident")
+    ident = ident.combine_chunks() if isinstance(ident, pa.ChunkedArray) else ident
+    return [ident.take(pa.array(pairs[:, 0])), pa.array(names[pairs[:, 1]], pa.string())]
 
-        near = asked.where(F.col("x").between(float(low_x), float(high_x)) & F.col("y").between(float(low_y), float(high_y)))
-        return near.mapInArrow(look, f"ident {kind}, code string")
 
-    # One block of triangles at a time reaches the driver; none is larger than ``block``.
-    for row in sized.orderBy("z").toLocalIterator():
-        held.append(row)
-        if len(held) == block:
-            found, held, blocks = search(held) if found is None else found.unionByName(search(held)), [], blocks + 1
-    if held:
-        found, blocks = search(held) if found is None else found.unionByName(search(held)), blocks + 1
+def _by_broadcast(asked: DataFrame, triangles: DataFrame, schema: str) -> DataFrame:
+    """Points past a broadcast hierarchy; the caller has checked how many triangles there are."""
+    rows = triangles.collect()
+    corners = np.array([r[1:] for r in rows], float)
+    names, index = np.unique(np.array([r[0] for r in rows], object), return_inverse=True)
+    shared = asked.sparkSession.sparkContext.broadcast((corners, index.astype(np.int32), names))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        corners, index, names = shared.value
+        tree = Hierarchy(corners, index)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(_hits(tree, names, batch), ["ident", "code"])
+
+    low_x, high_x, low_y, high_y = corners[:, ::2].min(), corners[:, ::2].max(), corners[:, 1::2].min(), corners[:, 1::2].max()
+    near = asked.where(F.col("x").between(float(low_x), float(high_x)) & F.col("y").between(float(low_y), float(high_y)))
+    return near.mapInArrow(look, schema)
+
+
+def _place(v: Column, low: float, level: Column) -> Column:
+    """Column or row of the grid; what lies outside the world falls into its outermost cells."""
+    cells = F.pow(F.lit(2.0), level)
+    return F.greatest(F.lit(0.0), F.least(cells - 1, F.floor((v - low) * cells / 360.0).cast("double"))).cast("bigint")
+
+
+def _cell(level: Column, x: Column, y: Column) -> Column:
+    """One number for a cell: 5 bits of level, 17 of row and 17 of column."""
+    return F.shiftleft(F.shiftleft(level.cast("bigint"), 17).bitwiseOR(y), 17).bitwiseOR(x)
+
+
+def _by_cells(asked: DataFrame, triangles: DataFrame, schema: str, block: int, together: int) -> DataFrame:
+    """Points and triangles meet by cells of a nested grid."""
+    low_x, high_x, low_y, high_y = F.least("x1", "x2", "x3"), F.greatest("x1", "x2", "x3"), F.least("y1", "y2", "y3"), F.greatest("y1", "y2", "y3")
+    wide = F.greatest(high_x - low_x, high_y - low_y)
+    # The finest level whose cells are as wide as the triangle.
+    level = F.coalesce(*[F.when(wide <= 360.0 / 2**n, F.lit(n)) for n in reversed(LEVELS)], F.lit(0))
+    sized = triangles.withColumn("level", level)
+    spans = [F.sequence(_place(a, low, F.col("level")), _place(b, low, F.col("level"))) for a, b, low in ((low_x, high_x, -180.0), (low_y, high_y, -90.0))]
+    placed = sized.withColumn("cx", F.explode(spans[0])).withColumn("cy", F.explode(spans[1])).withColumn("cell", _cell(F.col("level"), F.col("cx"), F.col("cy")))
+    placed = cut(placed.select("code", *CORNERS, "cell", "level"))
+    levels = [r[0] for r in placed.select("level").distinct().collect()]
+    here = lambda n: _cell(F.lit(n), _place(F.col("x"), -180.0, F.lit(n)), _place(F.col("y"), -90.0, F.lit(n)))
+    cells = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    points = asked.withColumn("cell", F.explode(F.array(*map(here, levels)))).join(cells, "cell")
+    salts = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / together).cast("int").alias("salts"))
+    sides = cells.join(salts, "cell")
+    any_ = F.xxhash64("ident", "x", "y")
+    left = points.drop("blocks").join(sides, "cell").withColumn("salt", F.pmod(any_, F.col("salts")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = placed.join(sides, "cell").withColumn("part", F.pmod(F.xxhash64("code", *CORNERS), F.col("blocks")).cast("int")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    keys = ["cell", "salt", "part"]
+
+    def look(points: pa.Table, tri: pa.Table) -> pa.Table:
+        corners = np.stack([tri.column(c).to_numpy() for c in CORNERS], 1)
+        names, index = np.unique(np.array(tri.column("code").to_pylist(), object), return_inverse=True)
+        hits = _hits(Hierarchy(corners, index.astype(np.int32)), names, points) if len(corners) and points.num_rows else [points.column("ident").slice(0, 0), pa.array([], pa.string())]
+        return pa.Table.from_arrays(hits, ["ident", "code"])
+
+    met = left.select("ident", "x", "y", *keys).groupBy(*keys).cogroup(right.select("code", *CORNERS, *keys).groupBy(*keys))
+    return met.applyInArrow(look, schema)
+
+
+def points_in_regions(points: DataFrame, ident: str, lon: Column, lat: Column, regions: DataFrame, code: str, geom: str, *, block: int = BLOCK, together: int = TOGETHER) -> DataFrame:
+    """``ident, code``: one row for each point and each region code that holds it."""
+    spark = points.sparkSession
+    read = cut(region_triangles(regions, code, geom))
+    triangles = read.where(F.col("problem").isNull()).select("code", *CORNERS)
+    schema = f"ident {points.schema[ident].dataType.simpleString()}, code string"
+    asked = points.select(F.col(ident).alias("ident"), lon.alias("x"), lat.alias("y")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    n, n_unclipped = read.agg(F.count_if(F.col("problem").isNull()), F.count_if(F.col("rings").isNotNull())).first()
+    found = []
+    if n:
+        found.append(_by_broadcast(asked, triangles, schema) if n <= block else _by_cells(asked, triangles, schema, block, together))
 
     def count(name: str, rings: list[Ring]) -> DataFrame:
         shared = spark.sparkContext.broadcast(rings)
@@ -422,12 +468,10 @@ def points_in_regions(points: DataFrame, ident: str, lon: Column, lat: Column, r
                 yield pa.RecordBatch.from_arrays([batch.column("ident").take(pa.array(hit)), pa.array([name] * len(hit), pa.string())], ["ident", "code"])
 
         near = asked.where(F.col("x").between(float(low_x), float(high_x)) & F.col("y").between(float(low_y), float(high_y)))
-        return near.mapInArrow(look, f"ident {kind}, code string")
+        return near.mapInArrow(look, schema)
 
     # A polygon that can't be clipped is tested by its edges; one at a time reaches the driver.
-    for row in unclipped.select("code", "rings").toLocalIterator():
-        more = count(row["code"], [[tuple(p) for p in r] for r in json.loads(row["rings"])])
-        found = more if found is None else found.unionByName(more)
-    if found is None:
-        return spark.createDataFrame([], f"ident {kind}, code string")
-    return found.distinct()
+    if n_unclipped:
+        for row in read.where(F.col("rings").isNotNull()).select("code", "rings").toLocalIterator():
+            found.append(count(row["code"], [[tuple(p) for p in r] for r in json.loads(row["rings"])]))
+    return reduce(DataFrame.unionByName, found).distinct() if found else spark.createDataFrame([], schema)

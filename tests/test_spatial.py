@@ -73,6 +73,20 @@ def test_points(spark, block):
     assert region_triangles(regions, "code", "geom").where("problem is null").count() > 6
 
 
+def test_cells_give_what_a_broadcast_gives(spark):
+    """Regions of all sizes, some over each other, hot cells in several salts and blocks."""
+    rng = np.random.default_rng(8)
+    wkt = lambda r: "POLYGON((" + ",".join(f"{x} {y}" for x, y in [*r, r[0]]) + "))"
+    shapes = [star(rng, float(rng.uniform(-170, 170)), float(rng.uniform(-80, 80)), r, 12) for r in (0.01, 0.3, 2, 9, 30, 60) for _ in range(4)] + [star(rng, 5.0, 5.0, 1, 9) for _ in range(6)]
+    regions = spark.createDataFrame([(f"r{i}", wkt(s)) for i, s in enumerate(shapes)], "code string, geom string")
+    xy = [(float(a), float(b)) for a, b in zip(rng.uniform(-180, 180, 1500), rng.uniform(-90, 90, 1500), strict=True)] + [(5.0, 5.0)] * 300 + [(180.0, 90.0), (-180.0, -90.0)] + [s[0] for s in shapes]
+    pts = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "id long, x double, y double")
+    ask = lambda **kw: sorted(map(tuple, points_in_regions(pts, "id", F.col("x"), F.col("y"), regions, "code", "geom", **kw).collect()))
+    whole = ask()
+    assert len({c for _, c in whole}) > 20
+    assert ask(block=20, together=50) == whole == ask(block=200)
+
+
 def test_a_polygon_that_cannot_be_clipped_keeps_its_row(spark):
     regions = spark.createDataFrame([("A", "MULTIPOLYGON(((0 0,4 4,4 0,0 2,0 0)),((10 0,12 0,12 2,10 2,10 0)))"), ("C", "broken")], "code string, geom string")
     pts = spark.createDataFrame([(1, 11.0, 1.0), (2, 3.5, 2.0), (3, 0.2, 1.0), (4, 1.0, 0.5), (5, 2.0, 2.0), (6, 4.0, 4.0), (7, 20.0, 1.0), (8, 0.0, 1.0)], "id long, x double, y double")
