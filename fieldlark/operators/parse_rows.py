@@ -48,6 +48,8 @@ class Contract:
     fields: Sequence[Field]
     separator: str = "\t"
     missing: Sequence[str] = field(default=MISSING)
+    # A character that may enclose a whole field, or none: then no character is special but the separator.
+    quote: str = '"'
 
 
 OCCURRENCE = Contract(
@@ -68,9 +70,9 @@ OCCURRENCE = Contract(
 )
 
 
-def _patterns(separator: str) -> tuple[str, str]:
-    sep = "\\x{%x}" % ord(separator)
-    quoted, plain = r'"[^"]*+(?:""[^"]*+)*+"', f'[^"{sep}]*+'
+def _patterns(separator: str, quote: str) -> tuple[str, str]:
+    sep, q = ("\\x{%x}" % ord(c) for c in (separator, quote))
+    quoted, plain = f"{q}[^{q}]*+(?:{q}{q}[^{q}]*+)*+{q}", f"[^{q}{sep}]*+"
     one = f"(?:{quoted}|{plain})"
     return rf"\A{one}(?:{sep}{one})*+\z", f"{sep}({quoted}|{plain})"
 
@@ -135,22 +137,25 @@ def check_lines(df: DataFrame, line: str, contract: Contract = OCCURRENCE) -> Da
     names = [f.name for f in contract.fields]
     taken = {n.lower() for n in [*names, "errors"]} - {line.lower()}
     raw, values = "__line", "__values"
-    whole, one = _patterns(contract.separator)
-    text = F.col(raw)
+    text, quote = F.col(raw), contract.quote
     base = df.select(F.col(line).alias(raw), *[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
-    sound = ~F.contains(text, F.lit('"')) | text.rlike(whole)
-    cells = F.when(~F.contains(text, F.lit('"')), F.split(text, "\\x{%x}" % ord(contract.separator), -1)).otherwise(
-        F.regexp_extract_all(F.concat(F.lit(contract.separator), text), F.lit(one), F.lit(1))
-    )
+    plain = F.split(text, "\\x{%x}" % ord(contract.separator), -1)
+    if quote:
+        whole, one = _patterns(contract.separator, quote)
+        bare = ~F.contains(text, F.lit(quote))
+        cells = F.when(bare, plain).when(text.rlike(whole), F.regexp_extract_all(F.concat(F.lit(contract.separator), text), F.lit(one), F.lit(1)))
+    else:
+        cells = plain
 
     def clean(x: Column) -> Column:
-        x = F.when(x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)
+        if quote:
+            x = F.when(x.startswith(quote), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit(2 * quote), F.lit(quote))).otherwise(x)
         return F.trim(x)
 
     def present(x: Column) -> Column:
         return F.when(~x.isin(*contract.missing), x)
 
-    base = _once(base, F.transform(F.transform(F.when(sound, cells), clean), present).alias(values))
+    base = _once(base, F.transform(F.transform(cells, clean), present).alias(values))
     fits = F.size(values) == len(names)
     base = base.withColumns({n: F.when(fits, F.get(F.col(values), F.lit(i))) for i, n in enumerate(names)})
     checks = [e for f in contract.fields for e in _rules(f, F.col(f.name))]

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldlark.functions import names, scalars
 from fieldlark.functions.scalars import canonical_url, first_known, nonblank
 from fieldlark.operators import aggregates, joins, sampling
+from fieldlark.operators.parse_rows import Contract, Field
 from fieldlark.operators.references import whole_number
 from fieldlark.plans.register import Register
-from fieldlark.session import table
+from fieldlark.session import shared_dir, table
+from fieldlark.sources import readers
 
 query = Register()
 QUERIES, SQL = query.queries, query.sql
@@ -627,3 +631,27 @@ def q_coverage_metrics(spark, d):
     one = _media(spark, d).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.trim("gbifID")).alias("records"), F.count_distinct(F.trim("media_identifier")).alias("urls"))
     stack = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("n"), F.lit("PASS").alias("status")) for m in ("rows", "records", "urls")], F.struct(F.lit("contents").alias("metric"), F.lit(None).cast("bigint").alias("n"), F.lit("NOT_TESTED").alias("status")))
     return one.select(F.inline(stack))
+
+
+# ---------------------------------------------------------------- loading with rejects
+
+
+@query("""select c_custkey, case when c_custkey % 7 = 0 or c_custkey % 11 = 0 then 'line:field_count' when c_custkey % 13 = 0 then 'line:quoting' when c_custkey % 5 = 0 then 'balance:not_a_number' end as problem,
+  case when not (c_custkey % 7 = 0 or c_custkey % 11 = 0 or c_custkey % 13 = 0 or c_custkey % 5 = 0) then c_name end as name,
+  case when not (c_custkey % 7 = 0 or c_custkey % 11 = 0 or c_custkey % 13 = 0 or c_custkey % 5 = 0) then c_acctbal end as balance from customer""")
+def q_load_with_rejects(spark, d):
+    """The customers as a delimited file with a header, some lines short, long, badly quoted or with
+    a broken number, loaded again: each line comes out as a row or as a reject."""
+    c, key = table(spark, d, "customer"), F.col("c_custkey")
+    name = F.when(key % 13 == 0, F.concat(F.lit('"'), F.col("c_name"))).when(key % 3 == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit('"'))).otherwise(F.col("c_name"))
+    balance = F.when(key % 5 == 0, F.lit("much")).otherwise(F.col("c_acctbal").cast("string"))
+    # A wrong number of fields is seen before wrong values, broken quoting before both.
+    name = F.when((key % 7 == 0) | (key % 11 == 0), F.col("c_name")).otherwise(name)
+    line = F.concat_ws("|", key, name, F.when(key % 7 != 0, balance), F.when((key % 7 != 0) & (key % 11 == 0), F.lit("more")))
+    at = f"{shared_dir(spark)}/delimited-{uuid.uuid4().hex}"
+    c.select(line.alias("value")).write.text(at)
+    contract = Contract((Field("key", "digits", required=True), Field("name"), Field("balance", "decimal", low=-1e12, high=1e12)), "|")
+    rows, bad = readers.load_delimited(spark, at, contract)
+    whole = rows.select(F.col("key").alias("c_custkey"), F.lit(None).cast("string").alias("problem"), "name", "balance")
+    rejected = bad.select(F.split_part("line", F.lit("|"), F.lit(1)).cast("bigint").alias("c_custkey"), F.col("errors")[0].alias("problem"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("balance"))
+    return whole.unionByName(rejected)

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlark.operators.joins import with_ordinal
+from fieldlark.operators.parse_rows import Contract, Field, broken_rows, valid_rows
 
+# Texts that mean a missing value in archive members.
 NULLS = ("", "NULL", "null", "NA", "N/A")
 
 
@@ -74,29 +76,42 @@ def unpack_member(path: str, member: str, folder: str) -> str:
     return target
 
 
-def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] | None = None, *, sep: str = "\t", quote: str = "", header: bool = True, fields: Sequence[str] | None = None, nulls: Sequence[str] = NULLS) -> DataFrame:
-    """All columns as nullable text, without quoting unless one is named, without inference."""
-    reader = spark.read.option("sep", sep).option("quote", quote).option("header", header).option("inferSchema", False).option("mode", "PERMISSIVE")
-    if fields:
-        reader = reader.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-    df = reader.csv(path)
-    clean = [F.when(~F.col(f"`{c}`").isin(*nulls), F.col(f"`{c}`")).alias(c) for c in (columns or df.columns)]
-    return df.select(*clean)
+def text_contract(fields: Sequence[str], *, sep: str = "\t", quote: str = "", nulls: Sequence[str] = NULLS) -> Contract:
+    """All fields as nullable text: a line breaks this contract by its number of fields or its quoting."""
+    return Contract([Field(f) for f in fields], sep, nulls, quote)
 
 
-def read_archive_member(spark: SparkSession, archive: str, folder: str, member: str | None = None, constants: dict[str, str] | None = None, row_number: str | None = None) -> DataFrame:
-    """A member of an archive by its descriptor, with constant columns and, if named, the
-    1-based number of each row in the file."""
+def numbered_lines(spark: SparkSession, path: str, header_lines: int = 0) -> DataFrame:
+    """``file, line_at, line``: the lines of text files but their first ``header_lines``. ``line_at``
+    rises along each file; the place where a file begins is found by its first block."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("line_at"), F.col("value").alias("line"))
+    if not header_lines:
+        return lines.drop("__block")
+    begin = lines.where(F.col("__block") == 0).groupBy("file").agg(F.min("line_at").alias("__begin"))
+    return lines.join(begin, "file", "left").where(F.coalesce(F.col("line_at") >= F.col("__begin") + header_lines, F.lit(True))).drop("__block", "__begin")
+
+
+def load_delimited(spark: SparkSession, path: str, contract: Contract, header_lines: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The rows that keep the contract, typed, and the lines that break it with their ``errors``.
+    Both have ``file`` and ``line_at``; no line is in neither or in both. A quoted line break ends
+    a line, whose parts then come out as broken quoting."""
+    lines = numbered_lines(spark, path, header_lines)
+    return valid_rows(lines, "line", contract), broken_rows(lines, "line", contract)
+
+
+def load_archive_member(spark: SparkSession, archive: str, folder: str, member: str | None = None, constants: dict[str, str] | None = None, row_number: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """A member of an archive by its descriptor: its rows, with constant columns and, if named, the
+    1-based number of each among the rows and rejected lines of the file, and the rejected lines."""
     tables = inspect_archive(archive)
     m = next(t for t in tables if member in (None, t.location))
-    df = read_delimited(spark, unpack_member(archive, m.location, folder), sep=m.separator, quote=m.enclosure, header=m.header_lines > 0, fields=m.fields)
+    lines = numbered_lines(spark, unpack_member(archive, m.location, folder), m.header_lines).drop("file")
     if row_number:
-        # Ids rise along the blocks of the one file; the ordinal makes them dense.
-        numbered = with_ordinal(df.withColumn("__place", F.monotonically_increasing_id()), ["__place"], row_number)
-        df = numbered.withColumn(row_number, F.col(row_number) + 1).drop("__place")
-    for k, v in {**dict(m.constants), **(constants or {})}.items():
-        df = df.withColumn(k, F.lit(v))
-    return df
+        lines = with_ordinal(lines, ["line_at"], row_number).withColumn(row_number, F.col(row_number) + 1)
+    lines = lines.drop("line_at")
+    contract = text_contract(m.fields, sep=m.separator, quote=m.enclosure)
+    given = {**dict(m.constants), **(constants or {})}
+    rows = valid_rows(lines, "line", contract).withColumns({k: F.lit(v) for k, v in given.items()})
+    return rows, broken_rows(lines, "line", contract)
 
 
 def read_workload(spark: SparkSession, path: str, columns: Sequence[str], kind: str = "auto", schema: T.StructType | None = None) -> DataFrame:

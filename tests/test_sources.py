@@ -23,12 +23,36 @@ def archive(tmp_path):
 def test_archive(spark, archive, tmp_path):
     (m,) = readers.inspect_archive(str(archive))
     assert (m.location, m.separator, m.fields, m.constants) == ("occurrence.txt", "\t", ("id", "species"), (("country", "XA"),))
-    df = readers.read_archive_member(spark, str(archive), str(tmp_path), constants={"snapshot": "s1"})
-    assert sorted(map(tuple, df.collect())) == [("1", '"A b', "XA", "s1"), ("2", None, "XA", "s1")]
-    numbered = readers.read_archive_member(spark, str(archive), str(tmp_path), row_number="n")
+    rows, bad = readers.load_archive_member(spark, str(archive), str(tmp_path), constants={"snapshot": "s1"})
+    assert sorted(map(tuple, rows.select("id", "species", "country", "snapshot").collect())) == [("1", '"A b', "XA", "s1"), ("2", None, "XA", "s1")] and bad.count() == 0
+    numbered, _ = readers.load_archive_member(spark, str(archive), str(tmp_path), row_number="n")
     assert sorted((r["n"], r["id"]) for r in numbered.collect()) == [(1, "1"), (2, "2")]
 
 
+def test_a_member_with_broken_lines(spark, tmp_path):
+    """Two header lines, short, long, badly quoted and empty lines: every line comes out once."""
+    meta = META.replace('fieldsEnclosedBy=""', 'fieldsEnclosedBy="&quot;"').replace('ignoreHeaderLines="1"', 'ignoreHeaderLines="2"')
+    lines = ["id\tspecies", "# second header", '1\t"x ""y"" z"', "2", "3\ta\tb", '4\t"open', "", '5\t"t\tu"', "id\tspecies"]
+    path = tmp_path / "b.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("meta.xml", meta)
+        z.writestr("occurrence.txt", "\n".join(lines) + "\n")
+    rows, bad = readers.load_archive_member(spark, str(path), str(tmp_path), row_number="n")
+    assert sorted((r["n"], r["id"], r["species"]) for r in rows.collect()) == [(1, "1", 'x "y" z'), (6, "5", "t\tu"), (7, "id", "species")]
+    assert sorted((r["n"], r["line"], *r["errors"]) for r in bad.collect()) == [(2, "2", "line:field_count"), (3, "3\ta\tb", "line:field_count"), (4, '4\t"open', "line:quoting"), (5, "", "line:field_count")]
+
+
+def test_headers_of_many_files_and_blocks(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.txt").write_text("h\n" + "".join(f"{k}-{i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows, bad = readers.load_delimited(spark, str(tmp_path), readers.text_contract(["v"]), 1)
+        assert rows.select("v").distinct().count() == rows.count() == 15_000 and bad.count() == 0 and rows.where("v = 'h'").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_workload(spark, tmp_path):
     p = tmp_path / "w.jsonl"
     p.write_text('{"a": 1, "b": "x"}\n{"a": 2}\n')
