@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from fieldlark.plans.register import Register
-from fieldlark.session import shared_dir, table
+from fieldlark.session import cut, shared_dir, table
 from fieldlark.streaming import events as ev
 
 query = Register()
@@ -19,27 +19,29 @@ def _stream(spark, d):
     return ev.stream(spark, path, spark.read.parquet(path).schema)
 
 
-def _room(spark) -> str:
-    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+def _finished(spark, run):
+    """What ``run`` gives in a folder of its own, which is removed once the result is written."""
+    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    out = cut(run(f"{at}/out", f"{at}/state"))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return out
 
 
 @query("""select time_bucket(interval '1 day', ts) as window_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2""")
 def s_windowed_counts(spark, d):
-    at = _room(spark)
-    out = ev.run_windowed_counts(_stream(spark, d), f"{at}/out", f"{at}/state")
+    out = _finished(spark, lambda out, state: ev.run_windowed_counts(_stream(spark, d), out, state))
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn("total", F.round("total", 4))
 
 
 @query("select distinct event_id, user_id, event_type from events")
 def s_deduplicated(spark, d):
-    at = _room(spark)
-    return ev.run_deduplicated(_stream(spark, d), "event_id", f"{at}/out", f"{at}/state").select("event_id", "user_id", "event_type")
+    return _finished(spark, lambda out, state: ev.run_deduplicated(_stream(spark, d), "event_id", out, state)).select("event_id", "user_id", "event_type")
 
 
 @query("""select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) where rn = 1""")
 def s_latest_by_key(spark, d):
-    at = _room(spark)
-    return ev.run_upserts(_stream(spark, d), "user_id", ["ts", "event_id"], f"{at}/out", f"{at}/state").select("user_id", "event_id", "event_type")
+    return _finished(spark, lambda out, state: ev.run_upserts(_stream(spark, d), "user_id", ["ts", "event_id"], out, state)).select("user_id", "event_id", "event_type")
 
 
 @query("""select date_trunc('hour', ts) as hour, count(*) as n, case when count(*) > 18 then 'OVER' when count(*) > 14 then 'NEAR' else 'WITHIN' end as budget from events group by 1""")
