@@ -22,6 +22,7 @@ results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -34,8 +35,6 @@ from fieldlark.session import cut, small_table
 # Chunks are never made smaller than this.
 LEAST_CHUNK = 1_000
 SAMPLED = 200
-# Edges are looked up in two steps: among the first of each run of this many, then inside it.
-STEP = 64
 
 
 @dataclass(frozen=True)
@@ -78,11 +77,13 @@ def find_hot(df: DataFrame, key: str, place: Column, rows_per_chunk: int | None
 def chunked(df: DataFrame, key: str, place: Column, hot: Hot, name: str = "__chunk") -> DataFrame:
     """``df`` with the chunk of each row, from 0; -1 for keys that are not hot."""
     kind = T.StructType([T.StructField("__hot_key", df.schema[key].dataType), T.StructField("__first", T.ArrayType(T.LongType())), T.StructField("__edges", T.ArrayType(T.ArrayType(T.LongType())))])
-    table = [(k, e[::STEP], [e[i : i + STEP] for i in range(0, len(e), STEP)]) for k, e in hot.edges]
+    # Edges are looked up in two steps: among the first of each run of ``step``, then inside the run.
+    step = max(4, math.isqrt(max(len(e) for _, e in hot.edges)))
+    table = [(k, e[::step], [e[i : i + step] for i in range(0, len(e), step)]) for k, e in hot.edges]
     edges = F.broadcast(small_table(df.sparkSession, table, kind))
     before = lambda c: F.size(F.filter(c, lambda e: e <= place))
     runs = before(F.col("__first"))
-    inside = F.when(runs == 0, F.lit(0)).otherwise((runs - 1) * STEP + before(F.get(F.col("__edges"), runs - 1)))
+    inside = F.when(runs == 0, F.lit(0)).otherwise((runs - 1) * step + before(F.get(F.col("__edges"), runs - 1)))
     # Never NULL for the planner, so that no filter is put below the shuffle of one of its readers.
     at = F.coalesce(F.when(F.col("__first").isNotNull(), inside), F.lit(-1))
     return df.join(edges, F.col(key) == F.col("__hot_key"), "left").withColumn(name, at).drop("__hot_key", "__first", "__edges")
