@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlark.functions.scalars import canonical_url, nonblank, row_text, tagged_hash
+from fieldlark.operators.hot_keys import nearest_rank
 from fieldlark.session import cut
 
 
@@ -141,23 +142,15 @@ def ordered_list(order: Sequence[Column | str], payload: Sequence[Column | str],
     return F.transform(F.array_sort(F.collect_list(whole)), lambda x: x["p"]).alias(into)
 
 
-def nearest_rank(values: str, q: float) -> Column:
-    """The value at place ceil(q * n) of the known values in rising order."""
-    return F.percentile_disc(values, q) if hasattr(F, "percentile_disc") else F.expr(f"percentile_disc({q}) within group (order by {values})")
-
-
-def spread(df: DataFrame, keys: Sequence[str], day: str, source: str, uncertainty: str, flags: Mapping[str, Column]) -> DataFrame:
+def spread(df: DataFrame, key: str, day: str, source: str, uncertainty: str, flags: Mapping[str, Column]) -> DataFrame:
     """Occurrence spread per key: counts, day range, distinct sources, nearest-rank
     uncertainty quantiles and counts per flag."""
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.min(day).alias("first_day"),
-        F.max(day).alias("last_day"),
-        F.count_distinct(source).alias("n_sources"),
-        nearest_rank(uncertainty, 0.5).alias("uncertainty_p50"),
-        nearest_rank(uncertainty, 0.95).alias("uncertainty_p95"),
-        *[F.count_if(c).alias(f"n_{n}") for n, c in flags.items()],
-    )
+    per_source = df.groupBy(key, source).agg(F.count(F.lit(1)).alias("n"), F.min(day).alias("low"), F.max(day).alias("high"), *[F.count_if(c).alias(f"n_{n}") for n, c in flags.items()])
+    sums = [F.sum(f"n_{n}").alias(f"n_{n}") for n in flags]
+    whole = per_source.groupBy(F.col(key).alias("__of")).agg(F.sum("n").alias("n_records"), F.min("low").alias("first_day"), F.max("high").alias("last_day"), F.count(source).alias("n_sources"), *sums)
+    quantiles = nearest_rank(df, key, uncertainty, {"uncertainty_p50": 0.5, "uncertainty_p95": 0.95})
+    joined = whole.join(quantiles, F.col("__of").eqNullSafe(F.col(key)), "left")
+    return joined.select(F.col("__of").alias(key), "n_records", "first_day", "last_day", "n_sources", "uncertainty_p50", "uncertainty_p95", *[f"n_{n}" for n in flags])
 
 
 def status_summary(df: DataFrame, fields: Sequence[str]) -> DataFrame:

@@ -128,6 +128,16 @@ def macro_calibration_error(df: DataFrame, keys: Sequence[str], scores: str, tru
     return per.groupBy(*keys).agg(F.avg("ece").alias("macro_ece"))
 
 
+def weighted_proportions(df: DataFrame, keys: Sequence[str], hit: Column, weight: Column, z: float = 1.959963984540054) -> DataFrame:
+    """Weighted share of hits with Wilson's interval on Kish's effective number of trials. Rows
+    without a weight, or with one that is not positive, take no part."""
+    w = F.when(weight > 0, weight.cast("double"))
+    sums = df.groupBy(*keys).agg(F.count(w).alias("n"), F.sum(w).alias("weight"), F.sum(F.when(hit, w).otherwise(w * 0)).alias("hit_weight"), ratio(F.sum(w) * F.sum(w), F.sum(w * w)).alias("effective_n"))
+    share = ratio(F.col("hit_weight"), F.col("weight"))
+    low, high = wilson(share * F.col("effective_n"), F.col("effective_n"), z)
+    return sums.withColumns({"share": share, "low": low, "high": high})
+
+
 def proportions(df: DataFrame, keys: Sequence[str], hit: Column) -> DataFrame:
     """Hits, trials and Wilson's interval."""
     counts = df.groupBy(*keys).agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("n"))
@@ -135,31 +145,6 @@ def proportions(df: DataFrame, keys: Sequence[str], hit: Column) -> DataFrame:
     return counts.withColumn("low", low).withColumn("high", high)
 
 
-@F.pandas_udf(T.DoubleType())
-def clopper_pearson_low(hits: pd.Series, n: pd.Series) -> pd.Series:
-    """Exact one-sided 95 % lower bound of a proportion, by bisection of the binomial tail."""
-
-    def tail(p: float, k: int, m: int) -> float:
-        if p <= 0:
-            return 0.0
-        i = np.arange(k, m + 1)
-        logs = np.cumsum(np.concatenate([[0.0], np.log(np.arange(1, m + 1))]))
-        return float(np.exp(logs[m] - logs[i] - logs[m - i] + i * np.log(p) + (m - i) * np.log1p(-p)).sum())
-
-    def low(k: float, m: float) -> float | None:
-        if not m or np.isnan(m) or np.isnan(k):
-            return None
-        if k <= 0:
-            return 0.0
-        a, b = 0.0, 1.0 - 1e-15
-        for _ in range(60):
-            mid = (a + b) / 2
-            a, b = (a, mid) if tail(mid, int(k), int(m)) >= 0.05 else (mid, b)
-        return (a + b) / 2
-
-    return pd.Series([low(k, m) for k, m in zip(hits, n, strict=True)])
-
-
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """The continued fraction of the incomplete beta function (Lentz), for many values at once."""
     tiny = 1e-300
@@ -180,8 +165,8 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 @F.pandas_udf(T.DoubleType())
 def exact_low(hits: pd.Series, n: pd.Series) -> pd.Series:
-    """The bound of ``clopper_pearson_low`` for many cut-offs: the binomial tail is an incomplete
-    beta function, bisected for a whole batch at once, at a cost that grows with sqrt(n)."""
+    """Exact one-sided 95 % lower bound of a proportion (Clopper and Pearson): the binomial tail is an
+    incomplete beta function, bisected for a whole batch at once, at a cost that grows with sqrt(n)."""
     k, m = hits.to_numpy("float64"), n.to_numpy("float64")
     out = np.where(m > 0, 0.0, np.nan)
     with np.errstate(all="ignore"):

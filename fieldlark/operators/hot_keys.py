@@ -121,6 +121,41 @@ def carried(rows: DataFrame, key: str, order: str, value: str, into: str, hot: H
     return out.drop("__chunk")
 
 
+def running_totals(df: DataFrame, key: str, order: str, place: Column, sums: dict[str, Column], rows_per_chunk: int | None = None) -> DataFrame:
+    """One row per (key, order) with its totals and, for each, ``<name>_through`` (summed along the
+    order, up to and with the row) and ``<name>_all`` (of the key). ``place`` is a bigint that never
+    falls where ``order`` rises. No task sees all of a hot key: see above."""
+    hot = find_hot(df, key, place, rows_per_chunk)
+    rows = combined(df, key, order, place, [F.sum(c).alias(n) for n, c in sums.items()], hot)
+    w = Window.partitionBy(key, "__chunk")
+    upto = w.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.select("*", *[F.sum(n).over(upto).alias(f"{n}_through") for n in sums], *[F.sum(n).over(w).alias(f"{n}_all") for n in sums])
+    if hot.edges:
+        ends = rows.groupBy(key, "__chunk").agg(*[F.sum(n).alias(f"__{n}") for n in sums], F.max("__chunk").alias("__hot")).where("__hot >= 0").drop("__hot")
+        per, before = Window.partitionBy(key), Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+        carry = ends.select(F.col(key).alias("__ck"), F.col("__chunk").alias("__cc"), *[F.sum(f"__{n}").over(before).alias(f"__{n}_before") for n in sums], *[F.sum(f"__{n}").over(per).alias(f"__{n}_whole") for n in sums])
+        out = out.join(F.broadcast(carry), (F.col(key) == F.col("__ck")) & (F.col("__chunk") == F.col("__cc")), "left")
+        out = out.withColumns({**{f"{n}_through": F.col(f"{n}_through") + F.coalesce(f"__{n}_before", F.lit(0)) for n in sums}, **{f"{n}_all": F.coalesce(f"__{n}_whole", f"{n}_all") for n in sums}})
+    return out.select(key, order, *[c for n in sums for c in (n, f"{n}_through", f"{n}_all")])
+
+
+def nearest_rank(df: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """Per key the value at place ceil(q * n) of its known values in rising order, for each of
+    ``shares`` by name. Values are counted once and summed along their order."""
+    known = df.select(F.struct(key).alias("__key"), F.col(value).alias("__value")).where(F.col("__value").isNotNull())
+    run = running_totals(known, "__key", "__value", monotone(F.col("__value")), {"n": F.lit(1)})
+    reached = [F.min(F.when(F.col("n_through") >= F.ceil(F.col("n_all") * F.lit(q)), F.col("__value"))).alias(name) for name, q in shares.items()]
+    return run.groupBy("__key").agg(*reached).select(F.col("__key")[key].alias(key), *shares)
+
+
+def monotone(value: Column) -> Column:
+    """A bigint that never falls where a number rises; it tells numbers apart by their logarithm."""
+    v = value.cast("double")
+    size = F.least(F.rint(F.log1p(F.abs(v) * 1e6) * 1e9), F.lit(1e15))
+    # NaN comes after all numbers, as Spark orders it.
+    return F.when(F.isnan(v), F.lit(2e15)).otherwise(F.signum(v) * size).cast("bigint")
+
+
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 

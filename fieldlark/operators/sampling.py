@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlark.functions.scalars import hash_order
+from fieldlark.operators.hot_keys import monotone, nearest_rank, running_totals
 from fieldlark.operators.joins import with_ordinal
 
 
@@ -46,19 +47,29 @@ def in_turns(df: DataFrame, group: str, order: Sequence[Column | str], chunk: in
     return out.withColumn("turn", F.floor((F.col("place_in_group") - 1) / chunk).cast("bigint"))
 
 
+def _placed(df: DataFrame, group: str, order: Sequence[Column | str]) -> DataFrame:
+    rows = with_ordinal(df, [F.col(group).asc_nulls_first(), *order], "__o")
+    groups = rows.groupBy(F.col(group).alias("__g")).agg(F.min("__o").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    return rows.join(groups, F.col(group).eqNullSafe(F.col("__g"))).withColumn("place_in_group", F.col("__o") - F.col("__first") + 1).drop("__o", "__g", "__first")
+
+
+def places(df: DataFrame, group: str, order: Sequence[Column | str]) -> DataFrame:
+    """Every row with its ``place_in_group`` from 1 along a total order. Places come from one order
+    of all rows, dealt by ranges, less where the group begins: a hot group is many ranges."""
+    return _placed(df, group, order).drop("__n")
+
+
 def fair_schedule(df: DataFrame, group: str, order: Sequence[str], chunk: int) -> DataFrame:
     """Every row with its ``position`` from 0: groups take turns with whole chunks, in the order of
     their names, while they have one; what is left follows group by group. Places in a group
     come from one total order, so a hot group is spread over tasks by its order."""
     if chunk <= 0:
         raise ValueError("chunk must be positive")
-    rows = with_ordinal(df, [group, *order], "__o")
-    groups = rows.groupBy(F.col(group).alias("__g")).agg(F.min("__o").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    placed = rows.join(groups, F.col(group).eqNullSafe(F.col("__g"))).withColumn("place_in_group", F.col("__o") - F.col("__first") + 1)
+    placed = _placed(df, group, order)
     turn = F.floor((F.col("place_in_group") - 1) / chunk).cast("bigint")
     # NULL as turn marks the rest, which has no whole chunk; it comes last.
     placed = placed.withColumn("turn", F.when(turn < F.floor(F.col("__n") / chunk), turn)).withColumn("__rest", F.col("turn").isNull())
-    return with_ordinal(placed, ["__rest", "turn", group, "place_in_group"], "position").drop("__o", "__g", "__first", "__n", "__rest")
+    return with_ordinal(placed, ["__rest", "turn", group, "place_in_group"], "position").drop("__n", "__rest")
 
 
 def cycled_pick(df: DataFrame, group: str, strata: Sequence[str], order: Sequence[str], limits: Sequence[tuple[int, int]]) -> DataFrame:
@@ -80,16 +91,22 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
 def tail_strata(df: DataFrame, value: str, low: float = 0.25, high: float = 0.75) -> DataFrame:
     """low, middle or high by nearest-rank quantiles of a column."""
-    cut = df.agg(F.expr(f"percentile_disc({low}) within group (order by {value})"), F.expr(f"percentile_disc({high}) within group (order by {value})")).first()
-    return df.withColumn("stratum", F.when(F.col(value).isNull(), None).when(F.col(value) <= F.lit(cut[0]), "low").when(F.col(value) >= F.lit(cut[1]), "high").otherwise("middle"))
+    ends = nearest_rank(df.select(F.lit(0).alias("__all"), value), "__all", value, {"low": low, "high": high}).first()
+    low_end, high_end = (ends["low"], ends["high"]) if ends else (None, None)
+    return df.withColumn("stratum", F.when(F.col(value).isNull(), None).when(F.col(value) <= F.lit(low_end), "low").when(F.col(value) >= F.lit(high_end), "high").otherwise("middle"))
 
 
-def average_rank(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
-    """Rank from the best score down, ties averaged, and utility 1 - (r - 1) / (n - 1)."""
-    w = Window.partitionBy(*keys)
-    r = F.rank().over(w.orderBy(F.desc(score))) + (F.count(F.lit(1)).over(Window.partitionBy(*keys, score)) - 1) / 2
-    n = F.count(F.lit(1)).over(w)
-    return df.withColumn("average_rank", r).withColumn("utility", F.when(n == 1, 1.0).otherwise(1 - (F.col("average_rank") - 1) / (n - 1)))
+def average_rank(df: DataFrame, key: str, score: str) -> DataFrame:
+    """Rank from the best score down, ties averaged, and utility 1 - (r - 1) / (n - 1). Rows
+    without a score have no rank and are left out. Rows are counted per score, and the counts
+    summed along the scores."""
+    known = df.where(F.col(score).isNotNull())
+    run = running_totals(known.select(F.struct(key).alias("__key"), F.col(score).alias("__score")), "__key", "__score", monotone(F.col("__score")), {"n": F.lit(1)})
+    better = F.col("n_all") - F.col("n_through")
+    ranks = run.select(F.col("__key")[key].alias("__k"), "__score", (better + (F.col("n") + 1) / 2).alias("average_rank"), "n_all")
+    joined = known.join(ranks, F.col(key).eqNullSafe(F.col("__k")) & (F.col(score) == F.col("__score")))
+    utility = F.when(F.col("n_all") == 1, 1.0).otherwise(1 - (F.col("average_rank") - 1) / (F.col("n_all") - 1))
+    return joined.withColumn("utility", utility).drop("__k", "__score", "n_all")
 
 
 def margin_to_next(df: DataFrame, keys: Sequence[str], score: str, ident: str) -> DataFrame:
@@ -97,13 +114,12 @@ def margin_to_next(df: DataFrame, keys: Sequence[str], score: str, ident: str) -
     return df.withColumn("rank", F.row_number().over(w)).withColumn("margin", F.col(score) - F.lead(score).over(w)).withColumn("tied", F.coalesce(F.col(score) == F.lag(score).over(w), F.lit(False)))
 
 
-def weighted_quantile(df: DataFrame, keys: Sequence[str], value: str, weight: str, q: float) -> DataFrame:
-    """The first value whose cumulative weight reaches ``q`` of all. Weights are first summed
-    per value, so the ordered pass sees distinct values only."""
-    per = df.where(F.col(value).isNotNull() & (F.col(weight) > 0)).groupBy(*keys, value).agg(F.sum(weight).alias("w"))
-    w = Window.partitionBy(*keys)
-    cum = per.withColumn("c", F.sum("w").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("t", F.sum("w").over(w))
-    return cum.where(F.col("c") >= F.col("t") * q).groupBy(*keys).agg(F.min(value).alias("quantile"))
+def weighted_quantile(df: DataFrame, key: str, value: str, weight: str, q: float) -> DataFrame:
+    """The first value whose cumulative weight reaches ``q`` of all. Weights are summed per value,
+    and those sums along the values."""
+    known = df.where(F.col(value).isNotNull() & (F.col(weight) > 0)).select(F.struct(key).alias("__key"), F.col(value).alias("__value"), F.col(weight).alias("__weight"))
+    run = running_totals(known, "__key", "__value", monotone(F.col("__value")), {"w": F.col("__weight")})
+    return run.where(F.col("w_through") >= F.col("w_all") * q).groupBy("__key").agg(F.min("__value").alias("quantile")).select(F.col("__key")[key].alias(key), "quantile")
 
 
 def rising(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from fieldlark.session import cut
+
 BLOCK = 2_000
 
 
@@ -82,43 +84,63 @@ def class_means(df: DataFrame, label: str, vector: str) -> DataFrame:
 
 
 def class_scores(df: DataFrame, means: DataFrame, ident: str, vector: str, label: str, block: int = BLOCK) -> DataFrame:
-    """``ident, own, class, score``: cosine of each row with each class mean. The means go out
-    in blocks of bounded size; each Arrow batch is one matrix product per block."""
+    """One row per row of ``df`` with a vector: ``own`` class, its ``own_score``, the best class as
+    ``predicted`` (ties: the smallest) with ``score``, the ``next`` best score, the ``best_other``
+    score among classes that are not its own, and the sum and number of all. Cosines with the
+    class means are one matrix product per Arrow batch and block of means, and are reduced
+    inside it; rows meet again only where the means take more than one block."""
     spark = df.sparkSession
     kinds = [df.schema[c].dataType.simpleString() for c in (ident, label)]
-    schema = f"{ident} {kinds[0]}, own {kinds[1]}, class {kinds[1]}, score double"
-    rows = df.select(ident, F.col(label).alias("own"), F.col(vector).alias("v")).where(F.col("v").isNotNull())
+    schema = f"row bigint, {ident} {kinds[0]}, own {kinds[1]}, own_score double, predicted {kinds[1]}, score double, next double, best_other double, total double, n bigint"
+    rows = df.select(F.monotonically_increasing_id().alias("row"), ident, F.col(label).alias("own"), F.col(vector).alias("v")).where(F.col("v").isNotNull())
+    kind = to_arrow_type(df.schema[label].dataType)
 
     def against(batch: list) -> DataFrame:
-        classes = pa.array([r[0] for r in batch], to_arrow_type(df.schema[label].dataType))
-        shared = spark.sparkContext.broadcast((classes, _unit(np.array([r[1] for r in batch], np.float64))))
+        shared = spark.sparkContext.broadcast(([r[0] for r in batch], _unit(np.array([r[1] for r in batch], np.float64))))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names, matrix = shared.value
+            place = {c: i for i, c in enumerate(names)}
             for b in batches:
-                if b.num_rows:
-                    score = np.clip(_unit(np.array(b.column("v").to_pylist(), np.float64)) @ matrix.T, -1, 1)
-                    at, which = pa.array(np.repeat(np.arange(b.num_rows), len(names))), pa.array(np.tile(np.arange(len(names)), b.num_rows))
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), names.take(which), pa.array(score.ravel())], [ident, "own", "class", "score"])
+                if not b.num_rows:
+                    continue
+                score = np.clip(_unit(np.array(b.column("v").to_pylist(), np.float64)) @ matrix.T, -1, 1)
+                n, at = b.num_rows, np.arange(b.num_rows)
+                best = np.round(score, 12).argmax(1)
+                own = np.array([place.get(c, -1) for c in b.column("own").to_pylist()])
+                rest = score.copy()
+                rest[at, best] = -np.inf
+                other = score.copy()
+                other[at[own >= 0], own[own >= 0]] = -np.inf
+                known = lambda x: pa.array(x, pa.float64(), mask=~np.isfinite(x))
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:3], known(np.where(own >= 0, score[at, own], np.nan)), pa.array([names[i] for i in best], kind), pa.array(score[at, best]), known(rest.max(1)), known(other.max(1)), pa.array(score.sum(1)), pa.array(np.full(n, len(names)), pa.int64())],
+                    [f.split()[0] for f in schema.split(", ")],
+                )
 
         return rows.mapInArrow(look, schema)
 
     parts, held = [], []
-    for row in means.select(label, "mean").where(F.col(label).isNotNull()).toLocalIterator():
+    # In the order of the labels, so that the first best of a batch is the smallest.
+    for row in means.select(label, "mean").where(F.col(label).isNotNull()).orderBy(label).toLocalIterator():
         held.append(row)
         if len(held) == block:
             parts.append(against(held))
             held = []
     if held:
         parts.append(against(held))
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
-
-
-def predicted_class(scores: DataFrame, ident: str) -> DataFrame:
-    """Best class per row (ties: the smallest), its score and the margin to the next."""
-    top = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("m"), F.col("class"))))
-    best = scores.groupBy(ident, "own").agg(top.alias("t"))
-    return best.select(ident, "own", F.col("t")[0]["class"].alias("predicted"), (-F.col("t")[0]["m"]).alias("score"), (F.get("t", F.lit(1))["m"] - F.col("t")[0]["m"]).alias("margin"))
+    if not parts:
+        return spark.createDataFrame([], schema).drop("row")
+    if len(parts) == 1:
+        return parts[0].drop("row")
+    both = cut(reduce(DataFrame.unionByName, parts))
+    best = F.min(F.struct((-F.round("score", 12)).alias("m"), F.col("predicted").alias("c"), F.col("score").alias("s")))
+    merged = both.groupBy("row").agg(
+        F.first(ident).alias(ident), F.first("own").alias("own"), F.max("own_score").alias("own_score"), best.alias("b"), F.max("best_other").alias("best_other"), F.sum("total").alias("total"), F.sum("n").alias("n"),
+        # The best of each block and the next best of each: the second of them all is among these.
+        F.get(F.sort_array(F.flatten(F.collect_list(F.array("score", "next"))), asc=False), F.lit(1)).alias("next"),
+    )
+    return merged.select(ident, "own", "own_score", F.col("b.c").alias("predicted"), F.col("b.s").alias("score"), "next", "best_other", "total", "n")
 
 
 def fused(scores: Sequence[Column], weights: Sequence[float]) -> dict[str, Column]:

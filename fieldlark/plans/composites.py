@@ -338,15 +338,13 @@ s as (select vec_id, label as own, class, {_COS.format('embedding', 'mean')} as
 
 @query(_SCORES + """, r as (select *, row_number() over (partition by vec_id order by score desc, class) as rn, lead(score) over (partition by vec_id order by score desc, class) as nxt from s) select vec_id, own, class as predicted, round(score, 6) as score, round(score - nxt, 6) as margin from r where rn = 1""")
 def v_nearest_centroid(spark, d):
-    p = similarity.predicted_class(_scores(spark, d), "vec_id")
-    return p.select("vec_id", "own", "predicted", F.round("score", 6).alias("score"), F.round("margin", 6).alias("margin"))
+    return _scores(spark, d).select("vec_id", "own", "predicted", F.round("score", 6).alias("score"), F.round(F.col("score") - F.col("next"), 6).alias("margin"))
 
 
 @query(_SCORES + """select vec_id, round(max(score) filter (class <> own), 6) as best_other, round(max(score) filter (class = own), 6) as own_score, coalesce(max(score) filter (class = own) > max(score) filter (class <> own), false) as accepted from s group by 1""")
 def v_explicit_non_match(spark, d):
-    s = _scores(spark, d)
-    own, other = F.max(F.when(F.col("class") == F.col("own"), F.col("score"))), F.max(F.when(F.col("class") != F.col("own"), F.col("score")))
-    return s.groupBy("vec_id").agg(F.round(other, 6).alias("best_other"), F.round(own, 6).alias("own_score"), F.coalesce(own > other, F.lit(False)).alias("accepted"))
+    own, other = F.col("own_score"), F.col("best_other")
+    return _scores(spark, d).select("vec_id", F.round(other, 6).alias("best_other"), F.round(own, 6).alias("own_score"), F.coalesce(own > other, F.lit(False)).alias("accepted"))
 
 
 @query(_SCORES.replace("s as", "_s as") + f""", pairs as (select a.class as label, b.class as neighbour, {_COS.format('a.mean', 'b.mean')} as c from mean a, mean b where a.class <> b.class)
@@ -374,8 +372,8 @@ def v_entropy_softmax(spark, d):
 @query(_SCORES + """, g as (select vec_id, avg(score) as all_mean, max(score) filter (class = own) as own_score from s group by 1) select vec_id, round(own_score - all_mean, 6) as above_all, own_score > all_mean as supported from g""")
 def v_disagreement(spark, d):
     """How far the score of a row's own class stands out from its mean over all classes."""
-    g = _scores(spark, d).groupBy("vec_id").agg(F.avg("score").alias("m"), F.max(F.when(F.col("class") == F.col("own"), F.col("score"))).alias("o"))
-    return g.select("vec_id", F.round(F.col("o") - F.col("m"), 6).alias("above_all"), (F.col("o") > F.col("m")).alias("supported"))
+    own, mean = F.col("own_score"), F.try_divide("total", "n")
+    return _scores(spark, d).select("vec_id", F.round(own - mean, 6).alias("above_all"), (own > mean).alias("supported"))
 
 
 @query()
@@ -463,7 +461,7 @@ def e_wilson(spark, d):
 @query()
 def e_clopper_pearson(spark, d):
     p = evaluation.proportions(_pred(spark, d), ["split", "source"], F.col("truth"))
-    return p.select("split", "source", "hits", "n", F.round(evaluation.clopper_pearson_low(F.col("hits").cast("double"), F.col("n").cast("double")), 9).alias("low"))
+    return p.select("split", "source", "hits", "n", F.round(evaluation.exact_low(F.col("hits").cast("double"), F.col("n").cast("double")), 9).alias("low"))
 
 
 @query()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldlark.functions import names, scalars
 from fieldlark.functions.scalars import canonical_url, first_known, nonblank
-from fieldlark.operators import aggregates, joins, sampling
+from fieldlark.operators import aggregates, hot_keys, joins, sampling
 from fieldlark.operators.parse_rows import Contract, Field
 from fieldlark.operators.references import whole_number
 from fieldlark.plans.register import Register
@@ -328,7 +328,7 @@ def q_distinct_sorted_list(spark, d):
 
 @query("""select p_brand, quantile_disc(p_retailprice, 0.5) as p50, quantile_disc(p_retailprice, 0.95) as p95 from part group by 1""")
 def q_nearest_rank_quantiles(spark, d):
-    return table(spark, d, "part").groupBy("p_brand").agg(aggregates.nearest_rank("p_retailprice", 0.5).alias("p50"), aggregates.nearest_rank("p_retailprice", 0.95).alias("p95"))
+    return hot_keys.nearest_rank(table(spark, d, "part"), "p_brand", "p_retailprice", {"p50": 0.5, "p95": 0.95})
 
 
 @query("""select family, count(*) as n_records, min(day) as first_day, max(day) as last_day, count(distinct "datasetKey") as n_sources, quantile_disc(u, 0.5) as uncertainty_p50, quantile_disc(u, 0.95) as uncertainty_p95,
@@ -336,7 +336,7 @@ def q_nearest_rank_quantiles(spark, d):
 from (select *, try_cast("coordinateUncertaintyInMeters" as double) as u, case when regexp_full_match("eventDate", '[0-9]{4}-[0-9]{2}-[0-9]{2}') then try_cast("eventDate" as date) end as day from occurrence_source) group by 1""")
 def q_spread(spark, d):
     occ = _occ(spark, d).withColumns({"u": F.col("coordinateUncertaintyInMeters").try_cast("double"), "day": F.when(F.col("eventDate").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("eventDate").try_cast("date"))})
-    return aggregates.spread(occ, ["family"], "day", "datasetKey", "u", {"specimen": F.col("basisOfRecord") == "PRESERVED_SPECIMEN", "deleted": F.col("is_deleted")})
+    return aggregates.spread(occ, "family", "day", "datasetKey", "u", {"specimen": F.col("basisOfRecord") == "PRESERVED_SPECIMEN", "deleted": F.col("is_deleted")})
 
 
 @query("""select country, decade, rank_known, count(*) as n from (select coalesce("countryCode", '?') as country, cast(floor(try_cast(substr("eventDate", 1, 4) as double) / 10) * 10 as bigint) as decade, "taxonRank" is not null as rank_known from occurrence_source) group by all""")
@@ -421,7 +421,7 @@ def q_latest_version(spark, d):
 
 @query("""select p_partkey, p_brand, round(rank() over (partition by p_brand order by p_size desc) + (count(*) over (partition by p_brand, p_size) - 1) / 2, 6) as average_rank from part""")
 def q_average_rank(spark, d):
-    return sampling.average_rank(table(spark, d, "part").select("p_partkey", "p_brand", "p_size"), ["p_brand"], "p_size").select("p_partkey", "p_brand", F.round("average_rank", 6).alias("average_rank"))
+    return sampling.average_rank(table(spark, d, "part").select("p_partkey", "p_brand", "p_size"), "p_brand", "p_size").select("p_partkey", "p_brand", F.round("average_rank", 6).alias("average_rank"))
 
 
 @query("""select o_orderkey, o_custkey, cast(row_number() over w as int) as rank, round(o_totalprice - lead(o_totalprice) over w, 4) as margin, coalesce(o_totalprice = lag(o_totalprice) over w, false) as tied from orders window w as (partition by o_custkey order by o_totalprice desc, o_orderkey)""")
@@ -433,7 +433,7 @@ def q_margin_to_next(spark, d):
 @query("""with per as (select l_returnflag, l_extendedprice as v, sum(l_quantity) as w from lineitem where l_quantity > 0 group by 1, 2), c as (select *, sum(w) over (partition by l_returnflag order by v rows unbounded preceding) as c, sum(w) over (partition by l_returnflag) as t from per)
 select l_returnflag, min(v) as quantile from c where c >= t * 0.9 group by 1""")
 def q_weighted_quantile(spark, d):
-    return sampling.weighted_quantile(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", "l_quantity", 0.9)
+    return sampling.weighted_quantile(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", "l_quantity", 0.9)
 
 
 @query("""with q as (select quantile_disc(s_acctbal, 0.25) as a, quantile_disc(s_acctbal, 0.75) as b from supplier) select s_suppkey, case when s_acctbal <= a then 'low' when s_acctbal >= b then 'high' else 'middle' end as stratum from supplier, q""")
@@ -596,8 +596,9 @@ def q_residual_join(spark, d):
 
 @query("""select source_ordinal, cast(row_number() over (partition by "datasetKey" order by try_cast("coordinateUncertaintyInMeters" as double) asc nulls last, "eventDate" desc nulls last, source_ordinal) as int) as place from occurrence_source""")
 def q_queue_order(spark, d):
-    w = Window.partitionBy("datasetKey").orderBy(F.col("coordinateUncertaintyInMeters").try_cast("double").asc_nulls_last(), F.col("eventDate").desc_nulls_last(), "source_ordinal")
-    return _occ(spark, d).select("source_ordinal", F.row_number().over(w).alias("place"))
+    rows = _occ(spark, d).select("source_ordinal", "datasetKey", "eventDate", F.col("coordinateUncertaintyInMeters").try_cast("double").alias("u"))
+    placed = sampling.places(rows, "datasetKey", [F.col("u").asc_nulls_last(), F.col("eventDate").desc_nulls_last(), F.col("source_ordinal").asc()])
+    return placed.select("source_ordinal", F.col("place_in_group").cast("int").alias("place"))
 
 
 @query("""select source_ordinal, case "basisOfRecord" when 'HUMAN_OBSERVATION' then 'T1' when 'PRESERVED_SPECIMEN' then 'T2' when 'MACHINE_OBSERVATION' then 'T3' else 'T5' end as tier,

@@ -192,7 +192,7 @@ def test_evaluation_values(spark):
     assert evaluation.pr_auc(df.where("y").withColumn("g", F.lit(None).cast("string")), ["g"], F.col("y"), F.col("p"), F.col("w")).collect()[0]["pr_auc"] is None
     only = evaluation.roc_auc(df.where("y"), ["g"], F.col("y"), F.col("p"), F.col("w")).first()["roc_auc"]
     assert only is None
-    low = spark.createDataFrame([(9.0, 10.0), (0.0, 5.0), (0.0, 0.0)], "h double, n double").select(evaluation.clopper_pearson_low("h", "n").alias("v")).collect()
+    low = spark.createDataFrame([(9.0, 10.0), (0.0, 5.0), (0.0, 0.0)], "h double, n double").select(evaluation.exact_low("h", "n").alias("v")).collect()
     assert low[0]["v"] == pytest.approx(0.6058, abs=1e-3) and low[1]["v"] == 0 and low[2]["v"] is None
     import pandas as pd
 
@@ -326,3 +326,54 @@ def test_selection(spark):
     scores = spark.createDataFrame([("t", ["p", "q"], 0.9), ("u", ["r"], 0.01), ("p", [], None)], "t string, c array<string>, m double")
     out = selection.rescore_plan(scores, spark.createDataFrame([("p",)], "i string"), "i", "t", "c", "m", 0.05)
     assert {r["t"]: r["rescore_reasons"] for r in out.collect()} == {"t": ["CANDIDATE_CHANGED"], "u": ["NARROW_MARGIN"], "p": ["TARGET_CHANGED"]}
+
+
+def test_running_totals_of_hot_keys(spark):
+    from fieldlark.operators import hot_keys
+
+    rows = [("hot" if i % 3 else f"k{i % 7}", float((i * 37) % 101) - 50, 1.0 + i % 4) for i in range(3000)] + [(None, 1.0, 1.0), ("hot", None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double, w double")
+    want = {}
+    for k, v, w in rows:
+        if k is not None and v is not None:
+            want.setdefault(k, {}).setdefault(v, 0.0)
+            want[k][v] += w
+    for per_chunk in (40, None):
+        got = hot_keys.running_totals(df, "k", "v", hot_keys.monotone(F.col("v")), {"w": F.col("w")}, per_chunk).collect()
+        assert {(r["k"], r["v"]): (r["w"], r["w_through"], r["w_all"]) for r in got} == {(k, v): (w, sum(x for u, x in per.items() if u <= v), sum(per.values())) for k, per in want.items() for v, w in per.items()}
+        assert len(got) == sum(map(len, want.values()))
+
+
+def test_monotone(spark):
+    values = sorted([0.0, -0.0, 1e-9, 1e-6, 0.5, 1, 1 + 1e-7, 2, 1e9, 1e300, -1e-6, -3, -1e300, float("inf"), -float("inf")]) + [float("nan")]
+    from fieldlark.operators.hot_keys import monotone
+
+    got = [r["m"] for r in spark.createDataFrame([(float(v),) for v in values], "v double").select("v", monotone(F.col("v")).alias("m")).orderBy("v").collect()]
+    assert got == sorted(got) and len(set(got)) > 10
+
+
+def test_ranks_and_quantiles(spark):
+    df = spark.createDataFrame([(None, 3, 1.0), (None, 3, 1.0), (None, 1, 8.0), ("a", None, 1.0), ("a", 5, None)], "k string, s int, w double")
+    got = sorted((r["s"], r["average_rank"], r["utility"]) for r in sampling.average_rank(df.where("k is null"), "k", "s").collect())
+    assert got == [(1, 3.0, 0.0), (3, 1.5, 0.75), (3, 1.5, 0.75)]
+    assert {r["k"]: r["quantile"] for r in sampling.weighted_quantile(df, "k", "s", "w", 0.5).collect()} == {None: 1}
+    assert [r["stratum"] for r in sampling.tail_strata(spark.range(4).withColumn("v", F.col("id")), "v").orderBy("id").collect()] == ["low", "middle", "high", "high"]
+    assert sampling.tail_strata(df.limit(0), "s").count() == 0
+
+
+@pytest.mark.parametrize("block", [1, 2, 100])
+def test_class_scores(spark, block):
+    """However many blocks the means take, a row comes out once with the same scores."""
+    df = spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "b", [0.0, 1.0]), (3, None, [1.0, 1.0]), (4, "z", [0.0, -2.0]), (5, "a", None), (6, "c", [0.0, 0.0])], "id int, l string, v array<double>")
+    means = spark.createDataFrame([("b", [0.0, 1.0]), ("a", [2.0, 0.0]), ("c", [-1.0, 0.0]), (None, [5.0, 5.0])], "l string, mean array<double>")
+    got = {r["id"]: r for r in similarity.class_scores(df, means, "id", "v", "l", block).collect()}
+    assert {i: r["predicted"] for i, r in got.items()} == {1: "a", 2: "b", 3: "a", 4: "a", 6: "a"}
+    assert (got[1]["own_score"], got[1]["score"], got[1]["next"], got[1]["best_other"], got[1]["total"], got[1]["n"]) == (1.0, 1.0, 0.0, 0.0, 0.0, 3)
+    assert got[4]["own_score"] is None and got[3]["next"] == pytest.approx(0.5**0.5) and got[4]["best_other"] == 0.0
+
+
+def test_weighted_proportions(spark):
+    df = spark.createDataFrame([("g", True, 2.0), ("g", False, 2.0), ("g", True, None), ("g", True, -1.0), ("h", True, None)], "k string, hit boolean, w double")
+    got = {r["k"]: r for r in evaluation.weighted_proportions(df, ["k"], F.col("hit"), F.col("w")).collect()}
+    assert (got["g"]["n"], got["g"]["share"], got["g"]["effective_n"]) == (2, 0.5, 2.0) and got["g"]["low"] == pytest.approx(0.0945, abs=1e-3)
+    assert got["h"]["share"] is None and got["h"]["n"] == 0
