@@ -38,7 +38,7 @@ def quota_pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 def greedy_batches(df: DataFrame, group: str, order: str, size: str, capacity: int) -> DataFrame:
     """Rows of a group in order, a new batch when the next would not fit. Sequential by
     nature: sorted partitions stream through a fold that holds one running sum, so many
-    small groups share a task and a large one needs no memory."""
+    small groups share a task and a large one needs no memory. Ties in the order go by size."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,7 +54,7 @@ def greedy_batches(df: DataFrame, group: str, order: str, size: str, capacity: i
                 out.append(batch)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int32())], [group, order, "batch"])
 
-    rows = df.select(group, order, size).repartition(group).sortWithinPartitions(group, order)
+    rows = df.select(group, order, size).repartition(group).sortWithinPartitions(group, order, size)
     return rows.mapInArrow(fold, f"{group} {kinds[group]}, {order} {kinds[order]}, batch int")
 
 

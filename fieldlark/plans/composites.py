@@ -260,7 +260,12 @@ def c_ancestors(spark, d):
     return registry.ancestors(registry.parent_edges(table(spark, d, "occurrence_source"), ["species", "genus", "family"]), "child", "parent")
 
 
-@query()
+@query(f"""with recursive e as ({_EDGES}), paths as (select child as node, parent as ancestor from e union select p.node, e.parent from paths p join e on e.child = p.ancestor),
+mem as (select distinct family, 'species:' || trim(species) as node from occurrence_source where trim(species) <> '' and trim(family) <> ''), n as (select family, count(*) as n from mem group by 1),
+above as (select m.family, m.node, p.ancestor from mem m join paths p using (node) where p.ancestor <> m.node union select family, node, node from mem),
+shared as (select family, ancestor from above join n using (family) group by family, ancestor, n having count(distinct node) = n),
+depth as (select node as ancestor, count(distinct ancestor) as depth from paths where node <> ancestor group by 1)
+select family, ancestor as common from (select family, ancestor, row_number() over (partition by family order by coalesce(depth, 0) desc, ancestor) as rn from shared left join depth using (ancestor)) where rn = 1""")
 def c_lowest_common_ancestor(spark, d):
     """For each family the lowest taxon above (or equal to) all of its species."""
     occ = table(spark, d, "occurrence_source")
@@ -445,7 +450,10 @@ def e_threshold_grid(spark, d):
     return g.select("source", "threshold", *[F.round(x, 9).alias(x) for x in ("precision", "recall", "kept_share")])
 
 
-@query()
+@query(_PRED + """, b as (select split, cast(floor(p * 100) as int) as band, sum(w) as w, coalesce(sum(w) filter (truth), 0) as pos from x group by 1, 2),
+c as (select split, band / 100 as threshold, sum(w) over down as kept, sum(pos) over down as hits, sum(pos) over (partition by split) as all_pos from b window down as (partition by split order by band desc rows unbounded preceding)),
+g as (select split, threshold, hits / nullif(kept, 0) as "precision", hits / nullif(all_pos, 0) as recall from c)
+select split, threshold, "precision", recall from (select *, row_number() over (partition by split order by recall desc nulls last, threshold desc) as rn from g where "precision" >= 0.5) where rn = 1""")
 def e_selective_policy(spark, d):
     grid = evaluation.threshold_grid(_pred(spark, d), ["split"], F.col("truth"), F.col("p"), F.col("w"), 100)
     return evaluation.best_threshold(grid, ["split"], 0.5)
@@ -458,15 +466,25 @@ def e_wilson(spark, d):
     return p.select("source", "hits", "n", F.round("low", 9).alias("low"), F.round("high", 9).alias("high"))
 
 
-@query()
+# The binomial tail, halved to its 95 % point 50 times.
+@query(_PRED.replace("with ", "with recursive ", 1) + """, c as (select split, source, count(*) filter (truth) as hits, count(*) as n from x group by 1, 2),
+b as (select split, source, hits, n, 0::double as lo, 1 - 1e-15::double as hi, 0 as step from c union all
+  select split, source, hits, n, case when tail < 0.05 then mid else lo end, case when tail < 0.05 then hi else mid end, step + 1 from (
+    select *, (lo + hi) / 2 as mid, list_sum(list_transform(range(hits, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln((lo + hi) / 2) + (n - i) * ln(1 - (lo + hi) / 2)))) as tail from b where step < 50))
+select split, source, hits, n, case when hits = 0 then 0.0 else round((lo + hi) / 2, 9) end as low from b where step = 50""")
 def e_clopper_pearson(spark, d):
     p = evaluation.proportions(_pred(spark, d), ["split", "source"], F.col("truth"))
     return p.select("split", "source", "hits", "n", F.round(evaluation.exact_low(F.col("hits").cast("double"), F.col("n").cast("double")), 9).alias("low"))
 
 
-@query()
+@query(_PRED + """, per as (select source_item_id as c, count(*) filter (truth) as h, count(*) as n from x group by 1),
+u as (select h, n, r, ('0x' || substr(sha256(concat_ws(':', '7', r, c)), 1, 8))::ubigint / 4294967296.0 as u from per, range(1, 201) as t(r)),
+k as (select r, h, n, list_sum(list_transform(range(1, 8), lambda i: (u >= list_sum(list_transform(range(0, i), lambda j: exp(-1) / gamma(j + 1))))::int)) as k from u),
+s as (select sum(k * h) / nullif(sum(k * n), 0) as share from k group by r)
+select round(quantile_cont(share, 0.025), 9) as low, round(avg(share), 9) as mean, round(quantile_cont(share, 0.975), 9) as high from s""")
 def e_bootstrap(spark, d):
-    return evaluation.bootstrap_interval(_pred(spark, d), "source_item_id", F.col("truth"))
+    out = evaluation.bootstrap_interval(_pred(spark, d), "source_item_id", F.col("truth"))
+    return out.select(*[F.round(c, 9).alias(c) for c in ("low", "mean", "high")])
 
 
 _CLASS_AT = "case true_class_label when 'target' then 1 when 'competitor_a' then 2 when 'competitor_b' then 3 when 'other' then 4 end"
@@ -488,12 +506,19 @@ def e_macro_calibration_error(spark, d):
     return evaluation.macro_calibration_error(_with_class(spark, d), ["split"], "decision_scores", F.col("t"), "w").select("split", F.round("macro_ece", 9).alias("macro_ece"))
 
 
-@query()
+# The greatest over all starts up to a score of the least mean over all ends from it on.
+@query(_PRED + """, per as (select p as score, sum(w) as w, sum(w * truth::int) as h from x group by 1 having sum(w) > 0),
+pre as (select *, row_number() over o as i, sum(w) over o as ws, sum(h) over o as hs from per window o as (order by score rows unbounded preceding)),
+span as (select a.i as j, b.i as k, (b.hs - a.hs + a.h) / (b.ws - a.ws + a.w) as m from pre a join pre b on a.i <= b.i),
+low as (select j, k, min(m) over (partition by j order by k desc rows unbounded preceding) as m from span), iso as (select k as i, max(m) as calibrated from low group by 1)
+select score, round(w, 6) as weight, round(calibrated, 6) as calibrated from pre join iso using (i)""")
 def e_isotonic(spark, d):
-    return evaluation.isotonic_calibration(_pred(spark, d), F.col("truth"), F.col("p"), F.col("w"))
+    out = evaluation.isotonic_calibration(_pred(spark, d), F.col("truth"), F.col("p"), F.col("w"))
+    return out.select("score", F.round("weight", 6).alias("weight"), F.round("calibrated", 6).alias("calibrated"))
 
 
 @query(_PRED + """select split, source, round(sum(w * truth::int) / sum(w), 9) as share, grouping(split) + 2 * grouping(source) as level from x group by grouping sets ((split, source), (split), (source), ())""")
 def e_grouping_sets(spark, d):
-    _pred(spark, d).createOrReplaceTempView("fl_grouping_sets")
-    return spark.sql("select split, source, round(sum(w * cast(truth as int)) / sum(w), 9) as share, cast(grouping(split) as bigint) + 2 * cast(grouping(source) as bigint) as level from fl_grouping_sets group by grouping sets ((split, source), (split), (source), ())")
+    levels = F.grouping("split").cast("bigint") + 2 * F.grouping("source").cast("bigint")
+    sets = _pred(spark, d).groupingSets([["split", "source"], ["split"], ["source"], []], "split", "source")
+    return sets.agg(F.round(F.sum(F.col("w") * F.col("truth").cast("int")) / F.sum("w"), 9).alias("share"), levels.alias("level"))

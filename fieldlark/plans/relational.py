@@ -342,8 +342,8 @@ def q_spread(spark, d):
 @query("""select country, decade, rank_known, count(*) as n from (select coalesce("countryCode", '?') as country, cast(floor(try_cast(substr("eventDate", 1, 4) as double) / 10) * 10 as bigint) as decade, "taxonRank" is not null as rank_known from occurrence_source) group by all""")
 def q_group_by_all(spark, d):
     rows = _occ(spark, d).select(F.coalesce("countryCode", F.lit("?")).alias("country"), scalars.decade(F.substring("eventDate", 1, 4)).alias("decade"), F.col("taxonRank").isNotNull().alias("rank_known"))
-    rows.createOrReplaceTempView("fl_group_by_all")
-    return spark.sql("select country, decade, rank_known, count(*) as n from fl_group_by_all group by all")
+    return spark.sql("select *, count(*) as n from {rows} group by all", rows=rows)
+
 
 
 @query("""select count(*) as n_rows, cast(count(*) filter (k1 is null or k2 is null) as bigint) as n_null, count(distinct (k1, k2)) filter (k1 is not null and k2 is not null) as n_distinct,

@@ -125,7 +125,10 @@ def w_review_outcome(spark, d):
     return selection.review_outcome(o, "request", "reviewer", ["o_orderdate", "o_orderkey"], "o_orderstatus")
 
 
-@query()
+@query("""with recursive o as (select l_orderkey, l_linenumber, cast(l_quantity as int) as units, row_number() over (partition by l_orderkey order by l_linenumber, l_quantity) as k from lineitem),
+f as (select l_orderkey, l_linenumber, k, 0 as batch, units as used from o where k = 1 union all
+  select o.l_orderkey, o.l_linenumber, o.k, f.batch + (f.used > 0 and f.used + o.units > 60)::int, case when f.used > 0 and f.used + o.units > 60 then o.units else f.used + o.units end from f join o on o.l_orderkey = f.l_orderkey and o.k = f.k + 1)
+select l_orderkey, l_linenumber, batch from f""")
 def w_greedy_batches(spark, d):
     """Work items of an order in line order, packed up to a capacity."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("units"))
