@@ -114,16 +114,18 @@ def lower_bound(counts: np.ndarray, capacity: int) -> float:
 
 
 def _pack(lot: pa.Table, capacity: int) -> pa.Table:
-    """One part packed; ``release`` marks what the part gives up because of its gap."""
+    """One part packed, with its certified ``bound``; ``release`` marks what the part gives up
+    because it has more containers than that."""
     lot = lot.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("part", "ascending")])
     sizes = lot.column("n_tokens").to_numpy()
     box = np.array(best_fit(sizes.tolist(), capacity))
     used = np.bincount(box, weights=sizes)
-    gap = len(used) - lower_bound(np.bincount(sizes, minlength=capacity + 1), capacity)
+    bound = lower_bound(np.bincount(sizes, minlength=capacity + 1), capacity)
+    gap = len(used) - bound
     give = min(len(used), 2 * int(np.ceil(gap - 1e-9)) + 2) if gap > 1e-9 else 0
     emptiest = np.argsort(used, kind="stable")[:give]
     released = np.isin(box, emptiest[used[emptiest] < capacity])
-    return lot.append_column("box", pa.array(box, pa.int32())).append_column("release", pa.array(released))
+    return lot.append_column("box", pa.array(box, pa.int32())).append_column("release", pa.array(released)).append_column("bound", pa.array(np.full(len(box), bound)))
 
 
 def _after(total: int, before: int | None, bound: int, n_given: int) -> str:
@@ -136,16 +138,23 @@ def _after(total: int, before: int | None, bound: int, n_given: int) -> str:
 
 def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART) -> DataFrame:
     """``doc_id, part, token_start, n_tokens, container_id`` for the pieces of ``pieces()``."""
+    return certified(items, capacity, part)[0]
+
+
+def certified(items: DataFrame, capacity: int = CAPACITY, part: int = PART) -> tuple[DataFrame, DataFrame]:
+    """The packing, and one certificate for each part of each round: ``round, lot, n_pieces,
+    n_containers``, the least number ``bound`` its pieces need, ``gap`` between the two and how
+    many containers it ``released`` for another round."""
     items = cut(items)
     histogram = items.where(F.col("n_tokens") > 0).groupBy("n_tokens").count().collect()
     counts = np.zeros(capacity + 1, int)
     for size, n in histogram:
         counts[size] = n
     bound = int(np.ceil(lower_bound(counts, capacity) - 1e-9))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema) + ", lot bigint, box int, release boolean"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema) + ", lot bigint, box int, release boolean, bound double"
     kept = [items.where(F.col("n_tokens") == 0).withColumn("container_id", F.lit(None).cast("string"))]
     left, n_left, fixed, before = items.where(F.col("n_tokens") > 0), int(counts.sum()), 0, None
-    turn, given_up = 0, None
+    turn, given_up, certificates = 0, None, []
     while n_left:
         lots = max(1, round(n_left / part))
         lot = F.pmod(F.xxhash64("doc_id", "part", "token_start", F.lit(turn)), F.lit(lots))
@@ -159,6 +168,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART) -> DataFr
             F.count_distinct("lot", "box"), F.count_distinct(F.when(F.col("release"), F.struct("lot", "box"))), F.count_if("release")
         ).first()
         total = fixed + made
+        parts = named.groupBy("lot").agg(F.count(F.lit(1)).alias("n_pieces"), F.count_distinct("box").alias("n_containers"), F.ceil(F.max("bound") - 1e-9).cast("bigint").alias("bound"), F.count_distinct(F.when(F.col("release"), F.col("box"))).alias("released"))
+        certificates.append(parts.select(F.lit(turn).alias("round"), "lot", "n_pieces", "n_containers", "bound", (F.col("n_containers") - F.col("bound")).alias("gap"), "released"))
         step = _after(total, before, bound, n_given)
         if step != "on":
             kept.append(given_up if step == "back" else named.select(*items.columns, "container_id"))
@@ -167,7 +178,17 @@ def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART) -> DataFr
         given_up = named.where("release").select(*items.columns, "container_id")
         fixed, before = fixed + made - given, total
         left, n_left, turn = packed.where("release").select(*items.columns), n_given, turn + 1
-    return reduce(DataFrame.unionByName, kept)
+    none = items.sparkSession.createDataFrame([], "round int, lot bigint, n_pieces bigint, n_containers bigint, bound bigint, gap bigint, released bigint")
+    return reduce(DataFrame.unionByName, kept), reduce(DataFrame.unionByName, certificates, none)
+
+
+def pack_check(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: documents, containers above the capacity, pieces with tokens but no container,
+    documents divided although they would have fitted, and documents whose pieces leave out tokens."""
+    boxes = packed.where(F.col("container_id").isNotNull()).groupBy("container_id").agg(F.sum("n_tokens").alias("t")).agg(F.count_if(F.col("t") > capacity).alias("n_overfull"))
+    per = packed.groupBy("doc_id").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("k"), F.max(F.col("token_start") + F.col("n_tokens")).alias("end"), F.count_if(F.col("container_id").isNull() & (F.col("n_tokens") > 0)).alias("lost"))
+    docs = per.agg(F.count(F.lit(1)).alias("n_documents"), F.coalesce(F.sum("lost"), F.lit(0)).alias("n_unplaced"), F.count_if((F.col("k") > 1) & (F.col("t") <= capacity)).alias("n_divided"), F.count_if(F.col("t") != F.col("end")).alias("n_with_gaps"))
+    return docs.withColumn("one", F.lit(1)).join(boxes.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def pack_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

