@@ -6,9 +6,10 @@ entities that took one label become one node, links that join nothing any more a
 dropped and repeated links collapse, so the graph shrinks by a factor each round and a
 hot entity is one aggregated row, not a bucket. Labels are re-mixed each round by a
 bijection of the 64-bit numbers (``xxhash64`` of one bigint), which keeps the number of
-rounds logarithmic even on long chains. All aggregates combine on the map side; nothing
-but whether a table is empty reaches the driver. Each round is checkpointed to the
-shared folder.
+rounds logarithmic even on long chains. Once at most ``LAST`` links are left (some 50 MB), one
+task joins them by a disjoint-set forest, which spares the last rounds their jobs. All
+aggregates combine on the map side; nothing but counts reaches the driver. Each round is
+checkpointed to the shared folder.
 
 An entity's label is its 64-bit hash. A second, independent hash shows whether two
 entities share a label; if any do, dense numbers of the 128-bit pairs are used instead.
@@ -19,22 +20,46 @@ no links: empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlark.session import cut
 
 Hash = Callable[[Column], Column]
+LAST = 250_000
 
 
-def _roots(pairs: DataFrame) -> DataFrame | None:
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``u, root`` for the labels of all links: the smallest label that is connected."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            up.setdefault(a, a)
+            up.setdefault(b, b)
+            low, high = sorted((find(a), find(b)))
+            up[high] = low
+    yield pa.RecordBatch.from_arrays([pa.array(list(up), pa.int64()), pa.array([find(x) for x in up], pa.int64())], ["u", "v"])
+
+
+def _roots(pairs: DataFrame, last: int = LAST) -> DataFrame | None:
     """``u, root, round`` for every label in ``pairs`` (``a, b`` are linked); None if there is no pair.
     Labels of different rounds live in different spaces, so the round is part of a root."""
     # The steps are plans over the checkpointed pairs of each round, made again where needed.
     steps = []
-    while not pairs.isEmpty():
+    while n := pairs.count():
+        if n <= last:
+            steps.append(cut(pairs.select("a", "b").coalesce(1).mapInArrow(_forest, "u bigint, v bigint")))
+            break
         # Each label takes the smallest (mixed) label next to it or its own.
         both = pairs.select(F.col("a").alias("u"), F.xxhash64("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.xxhash64("a").alias("v")))
         taken = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("v", F.xxhash64("u")).alias("v"))
@@ -54,7 +79,7 @@ def _roots(pairs: DataFrame) -> DataFrame | None:
     return roots
 
 
-def grouped_sets(rows: DataFrame, record: str, entities: Column, label: Hash = F.xxhash64) -> DataFrame:
+def grouped_sets(rows: DataFrame, record: str, entities: Column, label: Hash = F.xxhash64, last: int = LAST) -> DataFrame:
     """``record, root, round`` for each row that names an entity; rows with one (root, round)
     belong together. ``entities`` is an array of texts; each row is one record."""
     known = F.filter(entities, lambda e: e.isNotNull())
@@ -71,32 +96,32 @@ def grouped_sets(rows: DataFrame, record: str, entities: Column, label: Hash = F
     # entity -> record: a record takes its smallest label; its other entities link to that one.
     low = F.array_min("labs")
     pairs = sets.select(low.alias("a"), F.explode("labs").alias("b")).where(F.col("a") != F.col("b"))
-    roots = _roots(cut(pairs.distinct()))
+    roots = _roots(cut(pairs.distinct()), last)
     mine = sets.select(F.col("rec").alias(record), low.alias("u"))
     if roots is None:
         return mine.select(record, F.col("u").alias("root"), F.lit(-1).alias("round"))
     return mine.join(roots, "u", "left").select(record, F.coalesce("root", "u").alias("root"), F.coalesce("round", F.lit(-1)).alias("round"))
 
 
-def components(links: DataFrame, record: str, entity: str, label: Hash = F.xxhash64) -> DataFrame:
+def components(links: DataFrame, record: str, entity: str, label: Hash = F.xxhash64, last: int = LAST) -> DataFrame:
     """``record, component`` for every record with an entity; the component is the smallest
     ``record`` value it holds. A record may have any number of link rows: each link names the
     record itself and the entity, so nothing is collected per record."""
     kind = links.schema[record].dataType
     typed = links.select(F.col(record).alias("rec"), F.col(entity).cast("string").alias("ent")).where(F.col("rec").isNotNull() & F.col("ent").isNotNull())
     both = F.array(F.concat(F.lit("r:"), F.col("rec").cast("string")), F.concat(F.lit("e:"), F.col("ent")))
-    grouped = grouped_sets(typed, "rec", both, label).distinct()
+    grouped = grouped_sets(typed, "rec", both, label, last).distinct()
     grouped = cut(grouped)
     first = grouped.groupBy("root", "round").agg(F.min("rec").alias("component"))
     return grouped.join(first, ["root", "round"]).select(F.col("rec").cast(kind).alias(record), "component")
 
 
-def same_component(edges: DataFrame, left: str, right: str) -> DataFrame:
+def same_component(edges: DataFrame, left: str, right: str, last: int = LAST) -> DataFrame:
     """``node, component`` for the nodes of an undirected edge table; the smallest node names it."""
     kind = edges.schema[left].dataType
     whole = edges.select(F.col(left).alias("a"), F.col(right).cast(kind).alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
     ends = F.array(F.col("a").cast("string"), F.col("b").cast("string"))
-    grouped = grouped_sets(whole.withColumn("both", F.array("a", "b")), "both", ends)
+    grouped = grouped_sets(whole.withColumn("both", F.array("a", "b")), "both", ends, last=last)
     nodes = cut(grouped.select(F.explode("both").alias("node"), "root", "round").distinct())
     first = nodes.groupBy("root", "round").agg(F.min("node").alias("component"))
     return nodes.join(first, ["root", "round"]).select("node", "component")
