@@ -26,7 +26,8 @@ def group_sizes(df: DataFrame, key: str, counted: Mapping[str, str], least: int
 
 def duplicate_membership(df: DataFrame, ident: str, url: str, row_columns: Sequence[str], taxon: Column, licence: Column) -> DataFrame:
     """Each row with its exact-row, URL and canonical-URL group sizes and its status:
-    CONFLICT where one URL serves several taxa or licences, DUPLICATE, or UNIQUE.
+    CONFLICT where one URL serves several taxa or licences (told apart by ``across_taxa`` and
+    ``across_licences``), DUPLICATE, or UNIQUE.
 
     The digests of a row are made once and written. A group has several taxa if the smallest
     and largest differ, so that sizes and conflicts combine on the map side in one aggregate
@@ -41,20 +42,25 @@ def duplicate_membership(df: DataFrame, ident: str, url: str, row_columns: Seque
             licence.alias("licence"),
         )
     )
-    several = (F.min("taxon") != F.max("taxon")) | (F.min("licence") != F.max("licence"))
+    clashes = {c: F.coalesce(F.min(c) != F.max(c), F.lit(False)) for c in ("taxon", "licence")}
 
     def groups(key: str, kind: str, *aggs: Column) -> DataFrame:
         return base.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(f"{kind}_n"), *aggs).where(f"{kind}_n > 1")
 
-    clash = lambda kind: F.coalesce(several, F.lit(False)).alias(f"{kind}_clash")
-    joined = base.join(groups("row_hash", "row"), "row_hash", "left").join(groups("url_hash", "url", clash("url")), "url_hash", "left").join(groups("canonical_hash", "canonical", clash("canonical")), "canonical_hash", "left")
+    clash = lambda kind: [x.alias(f"{kind}_{c}") for c, x in clashes.items()]
+    joined = base.join(groups("row_hash", "row"), "row_hash", "left").join(groups("url_hash", "url", *clash("url")), "url_hash", "left").join(groups("canonical_hash", "canonical", *clash("canonical")), "canonical_hash", "left")
+    across = {c: F.coalesce(F.col(f"url_{c}"), F.lit(False)) | F.coalesce(F.col(f"canonical_{c}"), F.lit(False)) for c in clashes}
+    # The names of statuses.
+    status = lambda c: F.when(across[c], "CONFLICT").when(F.col("url_hash").isNull(), "NOT_APPLICABLE").otherwise("PASS")
     return joined.select(
         ident,
         F.coalesce("row_n", F.lit(1)).alias("row_group_size"),
         F.coalesce("url_n", F.lit(1)).alias("url_group_size"),
         F.coalesce("canonical_n", F.lit(1)).alias("canonical_group_size"),
         F.when(F.col("canonical_n").isNotNull(), tagged_hash("canonical-url", F.col("canonical_hash"))).alias("canonical_group_id"),
-        F.when(F.coalesce("url_clash", F.lit(False)) | F.coalesce("canonical_clash", F.lit(False)), "CONFLICT").when(F.coalesce("row_n", "url_n", "canonical_n").isNotNull(), "DUPLICATE").otherwise("UNIQUE").alias("duplicate_status"),
+        status("taxon").alias("across_taxa"),
+        status("licence").alias("across_licences"),
+        F.when(across["taxon"] | across["licence"], "CONFLICT").when(F.coalesce("row_n", "url_n", "canonical_n").isNotNull(), "DUPLICATE").otherwise("UNIQUE").alias("duplicate_status"),
     )
 
 
@@ -169,3 +175,25 @@ def key_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.count_if(known).alias("n_distinct"),
         F.coalesce(F.sum(F.when(known, F.col("n") - 1)), F.lit(0)).alias("n_repeated"),
     )
+
+
+def leakage_groups(kinds: Mapping[str, Sequence[Column]]) -> dict[str, Column]:
+    """A group id for each kind of relation: rows that share it must not be parted between splits.
+    NULL where one of the parts is missing."""
+    return {k: tagged_hash(k, F.concat(*[x for i, c in enumerate(cs) for x in ([F.lit("|")] * bool(i) + [c])])) for k, cs in kinds.items()}
+
+
+def schema_audit(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """One row per field that is expected or there: MATCH, TYPE_DIFFERS, MISSING or EXTRA, the two
+    types, and in how many rows it has no value, counted in one pass. Names compare exactly."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema}
+    fields = [*expected, *[c for c in actual if c not in expected]]
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(f"`{c}`")).alias(f"k{i}") for i, c in enumerate(actual)])
+    place = {c: i for i, c in enumerate(actual)}
+
+    def row(c: str) -> Column:
+        status = "MISSING" if c not in actual else "EXTRA" if c not in expected else "MATCH" if actual[c] == expected[c] else "TYPE_DIFFERS"
+        known = F.col(f"k{place[c]}") if c in actual else F.lit(0)
+        return F.struct(F.lit(c).alias("field"), F.lit(expected.get(c)).cast("string").alias("expected"), F.lit(actual.get(c)).cast("string").alias("actual"), F.lit(status).alias("status"), F.col("n").alias("n_rows"), (F.col("n") - known).alias("n_missing"))
+
+    return counts.select(F.inline(F.array(*map(row, fields))))

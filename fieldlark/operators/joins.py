@@ -106,6 +106,20 @@ def snapshot_changes(current: DataFrame, previous: DataFrame, key: str, digests:
     )
 
 
+def refresh_queue(current: DataFrame, previous: DataFrame, key: str, digest: str, looked_at: str, today: str, terms: Mapping[str, int]) -> DataFrame:
+    """Keys to look at again: NEW or CHANGED since ``previous``, or SAME but with a term (days since
+    ``looked_at``) run out; one flag per term, NULL where nothing was looked at. An unchanged
+    rerun within all terms queues nothing."""
+    require_unique(previous, [key])
+    old = previous.select(F.col(key).alias("__k"), F.col(digest).alias("__d"))
+    joined = current.join(old, F.col(key) == F.col("__k"), "left")
+    status = F.when(F.col("__k").isNull(), "NEW").when(distinct_from(F.col(digest), F.col("__d")), "CHANGED").otherwise("SAME")
+    age = F.datediff(F.lit(today).cast("date"), F.to_date(looked_at))
+    flags = {name: age > days for name, days in terms.items()}
+    due = reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(True)) for f in flags.values()], F.lit(False))
+    return joined.withColumns({"change_status": status, **flags}).where((F.col("change_status") != "SAME") | due).drop("__k", "__d")
+
+
 def coverage(expected: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """One row: keys expected, matched exactly once, missing, repeated and unexpected."""
     e = expected.groupBy(F.col(key).alias("__k")).agg(F.lit(True).alias("__expected"))

@@ -70,3 +70,27 @@ def invalidated(edges: DataFrame, changed: DataFrame, node: str = "node") -> Dat
         if front.isEmpty():
             return seen
         seen = cut(seen.unionByName(front))
+
+
+# Words that stand where no epithet is known.
+NO_EPITHET = ("sp", "sp.", "spp", "spp.", "indet", "indet.")
+
+
+def species_repair(name: Column, evidence: Sequence[Column]) -> list[Column]:
+    """``derived_species``, the genus and epithet that a name of species rank begins with, and the
+    ``status`` of the repair: PASS where the name and all evidence of the same record are there."""
+    words = F.split(F.trim(name), r"\s+")
+    genus, epithet = F.get(words, F.lit(0)), F.get(words, F.lit(1))
+    sound = genus.rlike(r"\A[A-Z][\p{L}.'-]+\z") & epithet.rlike(r"\A\p{Ll}[\p{L}.'-]*\z") & ~F.lower(epithet).isin(*NO_EPITHET)
+    found = F.when(sound, F.concat_ws(" ", genus, epithet))
+    there = reduce(lambda a, b: a & b, [F.coalesce(F.trim(c) != "", F.lit(False)) for c in evidence])
+    return [found.alias("derived_species"), F.when(found.isNotNull() & there, "PASS").otherwise("UNKNOWN").alias("status")]
+
+
+def resolved_labels(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """One row per key: its label where all its rows agree, else CONFLICT and no label. Rows without
+    key or label say nothing."""
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
+    per = known.groupBy(key).agg(F.min(label).alias("low"), F.max(label).alias("high"), F.count(F.lit(1)).alias("n_rows"))
+    same = F.col("low") == F.col("high")
+    return per.select(key, F.when(same, F.col("low")).alias(label), F.when(~same, "CONFLICT").when(F.col("n_rows") > 1, "REPEATED").otherwise("SINGLE").alias("label_status"), "n_rows")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from fieldlark.functions.vectors import norm, normalised
 from fieldlark.session import cut
 
 BLOCK = 2_000
@@ -26,20 +27,23 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
 
 
-def nearest(corpus: DataFrame, queries: DataFrame, ident: str, vector: str, k: int, block: int = BLOCK) -> DataFrame:
+def nearest(corpus: DataFrame, queries: DataFrame, ident: str, vector: str, k: int, block: int = BLOCK, group: str | None = None) -> DataFrame:
     """``query_id, neighbour_id, similarity, rank``: for each query the k rows of highest
-    cosine but itself; ties go to the smaller id. NULL vectors and ids take no part."""
+    cosine but itself; ties go to the smaller id. NULL vectors and ids take no part. With
+    ``group`` only rows of the query's own group are its neighbours, and a query without a group
+    has none; the corpus is still scanned and not shuffled, so a hot group is no task of its own."""
     spark = corpus.sparkSession
     kind = corpus.schema[ident].dataType.simpleString()
-    rows = corpus.select(F.col(ident).alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
+    of = F.col(group).cast("string") if group else F.lit("")
+    rows = corpus.select(F.col(ident).alias("id"), F.col(vector).alias("v"), of.alias("g")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & F.col("g").isNotNull())
     parts, held = [], []
 
     def search(batch: list) -> DataFrame:
         ids, matrix = [r[0] for r in batch], _unit(np.array([r[1] for r in batch], np.float64))
-        shared = spark.sparkContext.broadcast((ids, matrix))
+        shared = spark.sparkContext.broadcast((ids, matrix, np.array([r[2] for r in batch], object)))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            qids, q = shared.value
+            qids, q, q_group = shared.value
             best: list[list[tuple[float, object]]] = [[] for _ in qids]
             for b in batches:
                 if not b.num_rows:
@@ -47,13 +51,15 @@ def nearest(corpus: DataFrame, queries: DataFrame, ident: str, vector: str, k: i
                 own = b.column("id").to_pylist()
                 v = np.array(b.column("v").to_pylist(), np.float64)
                 score = q @ _unit(v).T
+                if group:
+                    score = np.where(q_group[:, None] == np.array(b.column("g").to_pylist(), object)[None, :], score, -np.inf)
                 take = min(len(own), k + 1)
                 top = np.argpartition(-score, take - 1, axis=1)[:, :take]
                 for i, qid in enumerate(qids):
                     # All that tie with the last one taken compete by id.
                     last = score[i, top[i]].min()
                     cand = np.flatnonzero(score[i] >= last)
-                    best[i] = sorted(best[i] + [(-score[i, j], own[j]) for j in cand if own[j] != qid])[:k]
+                    best[i] = sorted(best[i] + [(-score[i, j], own[j]) for j in cand if own[j] != qid and score[i, j] > -np.inf])[:k]
             flat = [(qid, n, -s) for qid, found in zip(qids, best, strict=True) for s, n in found]
             a, n, s = zip(*flat, strict=True) if flat else ((), (), ())
             id_type = pa.int64() if kind == "bigint" else pa.string()
@@ -61,7 +67,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, ident: str, vector: str, k: i
 
         return rows.mapInArrow(look, f"query_id {kind}, neighbour_id {kind}, similarity double")
 
-    asked = queries.select(F.col(ident), F.col(vector)).where(F.col(ident).isNotNull() & F.col(vector).isNotNull())
+    asked = queries.select(F.col(ident), F.col(vector), of.alias("g")).where(F.col(ident).isNotNull() & F.col(vector).isNotNull() & F.col("g").isNotNull())
     for row in asked.toLocalIterator():
         held.append(row)
         if len(held) == block:
@@ -76,6 +82,27 @@ def nearest(corpus: DataFrame, queries: DataFrame, ident: str, vector: str, k: i
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def neighbour_vote(neighbours: DataFrame, labels: DataFrame, ident: str, label: str) -> DataFrame:
+    """``query_id, predicted, share, n_neighbours``: the label with the largest sum of similarities
+    (none below zero) among the neighbours of a query; ties go to the smaller label."""
+    named = neighbours.join(labels.select(F.col(ident).alias("neighbour_id"), F.col(label).alias("l")).where(F.col("l").isNotNull()), "neighbour_id")
+    votes = named.groupBy("query_id", "l").agg(F.sum(F.greatest(F.col("similarity"), F.lit(0.0))).alias("s"), F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.round("s", 9)).alias("minus"), F.col("l").alias("l")))
+    out = votes.groupBy("query_id").agg(best.alias("b"), F.sum("s").alias("all"), F.sum("n").alias("n_neighbours"))
+    return out.select("query_id", F.col("b.l").alias("predicted"), F.try_divide(-F.col("b.minus"), F.col("all")).alias("share"), "n_neighbours")
+
+
+def prototypes(df: DataFrame, label: str, observation: str, vector: str) -> DataFrame:
+    """``label, mean``: the direction of each class, in which every observation counts once: vectors
+    of an observation are averaged and brought to length 1, then those of a class. Vectors
+    without a length say nothing."""
+    pair = F.struct(F.col(label).alias("l"), F.col(observation).alias("o"))
+    known = df.where(F.col(label).isNotNull() & F.col(observation).isNotNull() & (norm(F.col(vector)) > 0))
+    seen = class_means(known.select(pair.alias("k"), normalised(F.col(vector)).alias("v")), "k", "v").where(norm(F.col("mean")) > 0)
+    classes = class_means(seen.select(F.col("k.l").alias(label), normalised(F.col("mean")).alias("v")), label, "v")
+    return classes.where(norm(F.col("mean")) > 0).select(label, normalised(F.col("mean")).alias("mean"))
+
+
 def class_means(df: DataFrame, label: str, vector: str) -> DataFrame:
     """``label, mean``: the mean vector of each class; components are averaged on the map side."""
     parts = df.where(F.col(label).isNotNull() & F.col(vector).isNotNull()).select(label, F.posexplode(vector).alias("i", "x"))

@@ -212,7 +212,7 @@ select id as source_media_row_number, coalesce(r.n, 1) as row_group_size, coales
 from base left join r using (rh) left join u using (uh) left join c using (ch)"""
 )
 def q_duplicate_membership(spark, d):
-    return aggregates.duplicate_membership(_media(spark, d), "source_media_row_number", "media_identifier", ["gbifID", "media_identifier", "media_creator"], whole_number(F.col("gbifID")), F.col("media_license"))
+    return aggregates.duplicate_membership(_media(spark, d), "source_media_row_number", "media_identifier", ["gbifID", "media_identifier", "media_creator"], whole_number(F.col("gbifID")), F.col("media_license")).drop("across_taxa", "across_licences")
 
 
 @query("""select "datasetKey", "occurrenceID", count(*) as n from occurrence_source where "datasetKey" is not null and "occurrenceID" is not null group by 1, 2 having count(*) > 1""")

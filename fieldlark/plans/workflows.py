@@ -48,12 +48,6 @@ def w_scorecard(spark, d):
     )
 
 
-@query("""select column_name as field from (describe occurrence_source) union all select column_name from (describe gbif_media)""")
-def w_schema_audit(spark, d):
-    rows = [(f.name,) for t in ("occurrence_source", "gbif_media") for f in table(spark, d, t).schema]
-    return spark.createDataFrame(rows, "field string")
-
-
 @query("""select 'occurrence_source' as name, count(*) as n_rows, count(distinct source_ordinal) as n_keys, min(source_ordinal) as low, max(source_ordinal) as high, cast(sum(source_ordinal) as bigint) as total from occurrence_source
   union all select 'gbif_media', count(*), count(distinct source_media_row_number), min(source_media_row_number), max(source_media_row_number), cast(sum(source_media_row_number) as bigint) from gbif_media""")
 def w_reconciliation(spark, d):

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from fieldlark.functions.scalars import csv_safe
+from fieldlark.session import cut
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -26,6 +27,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at, _ = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def publish(df: DataFrame, path: str, checks: Mapping[str, Column] | None = None, expected_rows: int | None = None, order: Sequence[str] = (), details: Mapping[str, object] | None = None) -> dict:
     """Writes beside the target, reads back, checks, writes the manifest last and renames.
     An existing target, a failed check or a wrong row count raises and leaves nothing."""
@@ -71,6 +77,48 @@ def write_by_range(df: DataFrame, path: str, ordinal: str, width: int) -> None:
     df.withColumn("source_partition", part).repartitionByRange("source_partition", ordinal).sortWithinPartitions(ordinal).write.partitionBy("source_partition").parquet(path)
 
 
+def seal_parts(df: DataFrame, path: str, ordinal: str, width: int, only: Sequence[int] | None = None) -> DataFrame:
+    """Writes ``df`` as parts of ``width`` ordinals and seals each: a row of ``path``/seals with the
+    rows, first and last ordinal and digest that were read back. Parts that are sealed already are
+    not made again, so a run that was interrupted goes on where it stopped; parts that differ
+    from what was to be written are not sealed and raise. ``only`` limits a run to some parts."""
+    spark = df.sparkSession
+    part = F.floor(F.col(ordinal) / width).cast("bigint").alias("part")
+    measures = lambda cols: [F.count(F.lit(1)).alias("n_rows"), F.min(ordinal).alias("first"), F.max(ordinal).alias("last"), F.bit_xor(F.xxhash64(*cols)).alias("digest")]
+    todo = df.select("*", part)
+    if only is not None:
+        todo = todo.where(F.col("part").isin(*only))
+    fs, at, _ = _fs(spark, f"{path}/seals")
+    if fs.exists(at):
+        todo = todo.join(spark.read.parquet(f"{path}/seals").select("part"), "part", "left_anti")
+    todo = cut(todo)
+    if todo.isEmpty():
+        return spark.read.parquet(f"{path}/seals")
+    ranged = todo.repartitionByRange("part", ordinal).sortWithinPartitions("part", ordinal)
+    ranged.write.partitionBy("part").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/parts")
+    want = todo.groupBy("part").agg(*measures(df.columns))
+    back = spark.read.schema(StructType([*df.schema, StructField("part", LongType())])).parquet(f"{path}/parts")
+    got = back.join(want.select("part"), "part", "left_semi").groupBy("part").agg(*measures(df.columns))
+    both = cut(want.join(got.select("part", *[F.col(c).alias(f"{c}_read") for c in ("n_rows", "first", "last", "digest")]), "part", "left"))
+    same = F.col("n_rows").eqNullSafe(F.col("n_rows_read")) & F.col("digest").eqNullSafe(F.col("digest_read"))
+    both.where(same).select("part", "n_rows", "first", "last", "digest").write.mode("append").parquet(f"{path}/seals")
+    torn = both.where(~same).select("part").limit(5).collect()
+    if torn:
+        raise ValueError(f"parts {[r['part'] for r in torn]} are not what was written")
+    return spark.read.parquet(f"{path}/seals")
+
+
+def assemble_parts(spark: SparkSession, path: str, expected_rows: int) -> DataFrame:
+    """The rows of all sealed parts, if each is sealed once, no two overlap and they have the expected rows."""
+    seals = spark.read.parquet(f"{path}/seals")
+    w = Window.orderBy("first")
+    total = seals.agg(F.sum("n_rows"), F.count(F.lit(1)), F.count_distinct("part")).first()
+    overlap = seals.withColumn("before", F.lag("last").over(w)).where("first <= before").count()
+    if (total[0] or 0) != expected_rows or total[1] != total[2] or overlap:
+        raise ValueError(f"{total[0]} rows in {total[1]} seals of {total[2]} parts, {overlap} of them overlapping")
+    return spark.read.parquet(f"{path}/parts").join(seals.select("part"), "part", "left_semi").drop("part")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV whose texts no spreadsheet runs as formulas."""
     text = {f.name for f in df.schema if f.dataType.simpleString() == "string"}
