@@ -55,10 +55,6 @@ def argmax(a: Column) -> Column:
     return F.array_position(a, F.array_max(a)) - 1
 
 
-def hamming64(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
-
-
 def iou(a: Sequence[Column], b: Sequence[Column]) -> Column:
     """Overlap of two boxes (x1, y1, x2, y2): intersection over union."""
     w = F.greatest(F.lit(0.0), F.least(a[2], b[2]) - F.greatest(a[0], b[0]))

@@ -82,6 +82,103 @@ def nearest(corpus: DataFrame, queries: DataFrame, ident: str, vector: str, k: i
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def fit_cells(vectors: DataFrame, vector: str, k: int, cells: int, aim: float, sample: int = 20_000, rounds: int = 10) -> tuple[np.ndarray, int]:
+    """Unit centres of ``cells`` groups of directions (spherical k-means), and in how many of the
+    nearest cells a query must look so that ``aim`` of its k neighbours lie there. Both are
+    fitted on at most ``sample`` rows that are spread over the table, the second by comparing up to
+    500 of them with all by brute force. Only where a row is looked for depends on them."""
+    rows = vectors.select(F.col(vector).alias("v")).where(F.col("v").isNotNull())
+    n = rows.count()
+    if not n:
+        return np.empty((0, 0)), 0
+    taken = rows.where(F.rand(11) < min(1.0, 1.2 * sample / n)).limit(sample).collect() or rows.limit(sample).collect()
+    v = _unit(np.array([r["v"] for r in taken], np.float64))
+    rng = np.random.default_rng(11)
+    centres = v[rng.choice(len(v), min(cells, len(v)), replace=False)]
+    for _ in range(rounds):
+        own = (v @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, v)
+        empty = ~sums.any(1)
+        sums[empty] = v[rng.choice(len(v), int(empty.sum()))]
+        centres = _unit(sums)
+    asked = rng.choice(len(v), min(500, len(v)), replace=False)
+    score = v[asked] @ v.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    near = np.argsort(-score, axis=1)[:, :k]
+    order = np.argsort(-(v[asked] @ centres.T), axis=1, kind="stable")
+    # The place, among the cells of a query, of the cell that each of its neighbours lies in.
+    place = np.argsort(order, axis=1)[np.arange(len(asked))[:, None], (v @ centres.T).argmax(1)[near]]
+    reached = np.cumsum(np.bincount(place.ravel(), minlength=len(centres))) / place.size
+    return centres, int(np.searchsorted(reached, aim)) + 1
+
+
+def nearest_indexed(corpus: DataFrame, queries: DataFrame, ident: str, vector: str, k: int, *, cells: int = 64, aim: float = 0.95, probes: int | None = None, sample: int = 20_000, together: int = 100_000, asked_together: int = 2_000) -> DataFrame:
+    """As ``nearest``, by an index: every row lies in the cell of its nearest centre, a query looks
+    in its nearest cells, and similarities there are exact. How many cells follows from the recall
+    that is aimed at (see ``fit_cells``), unless ``probes`` says it. Rows and queries meet by
+    cell; a cell with more rows than ``together`` or more queries than ``asked_together`` is dealt
+    over several tasks, so no task grows with the data, and nothing but the centres (``cells``
+    rows) is broadcast. Neighbours in cells that are not looked at are missed: the recall is
+    measured by ``recall`` against ``nearest``, which is the exact way."""
+    spark = corpus.sparkSession
+    kind = corpus.schema[ident].dataType.simpleString()
+    id_type = to_arrow_type(corpus.schema[ident].dataType)
+    schema = f"query_id {kind}, neighbour_id {kind}, similarity double"
+    centres, enough = fit_cells(corpus, vector, k, cells, aim, sample)
+    shared, probes = spark.sparkContext.broadcast(centres), min(probes or enough, max(1, len(centres)))
+    if not len(centres):
+        return spark.createDataFrame([], schema + ", rank int")
+
+    def placed(df: DataFrame, n: int, most: int, part: str) -> DataFrame:
+        """``id, v, cell, part, parts``: rows in their n nearest cells, and their part of the cell."""
+
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            centres = shared.value
+            for b in batches:
+                if b.num_rows:
+                    score = _unit(np.array(b.column("v").to_pylist(), np.float64)) @ centres.T
+                    best = np.argsort(-score, axis=1, kind="stable")[:, :n]
+                    at = pa.array(np.repeat(np.arange(b.num_rows), best.shape[1]))
+                    yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("v").take(at), pa.array(best.ravel().astype(np.int32))], ["id", "v", "cell"])
+
+        rows = df.select(F.col(ident).alias("id"), F.col(vector).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
+        rows = cut(rows.mapInArrow(look, f"id {kind}, v array<double>, cell int"))
+        sizes = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(f"{part}s"))
+        return rows.join(F.broadcast(sizes), "cell").withColumn(part, F.pmod(F.xxhash64("id"), F.col(f"{part}s")).cast("int"))
+
+    there, asked = placed(corpus, 1, together, "part"), placed(queries, probes, asked_together, "lot")
+    sides = there.select("cell", "parts").distinct().join(asked.select("cell", "lots").distinct(), "cell")
+    deal = lambda n, name: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(name)
+    left = asked.drop("lots").join(F.broadcast(sides), "cell").select("id", "v", "cell", "lot", deal("parts", "part"))
+    right = there.drop("parts").join(F.broadcast(sides), "cell").select("id", "v", "cell", "part", deal("lots", "lot"))
+    keys = ["cell", "lot", "part"]
+
+    def best(q: pa.Table, c: pa.Table) -> pa.Table:
+        flat: list[tuple] = []
+        if q.num_rows and c.num_rows:
+            qids, own = q.column("id").to_pylist(), c.column("id").to_pylist()
+            score = _unit(np.array(q.column("v").to_pylist(), np.float64)) @ _unit(np.array(c.column("v").to_pylist(), np.float64)).T
+            take = min(len(own), k + 1)
+            least = np.partition(score, len(own) - take, axis=1)[:, len(own) - take]
+            for i, qid in enumerate(qids):
+                near = sorted((-round(score[i, j], 12), own[j]) for j in np.flatnonzero(score[i] >= least[i]) if own[j] != qid)[:k]
+                flat += [(qid, n, -s) for s, n in near]
+        a, n, s = zip(*flat, strict=True) if flat else ((), (), ())
+        return pa.Table.from_arrays([pa.array(a, id_type), pa.array(n, id_type), pa.array(s, pa.float64())], ["query_id", "neighbour_id", "similarity"])
+
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, schema)
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("similarity", 12)), "neighbour_id")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: pairs of the exact search, how many of them were found, and the share."""
+    f = found.select("query_id", "neighbour_id").distinct().withColumn("hit", F.lit(1))
+    met = exact.select("query_id", "neighbour_id").distinct().join(f, ["query_id", "neighbour_id"], "left")
+    return met.agg(F.count(F.lit(1)).alias("n_exact"), F.count("hit").alias("n_found"), F.try_divide(F.count("hit").cast("double"), F.count(F.lit(1))).alias("recall"))
+
+
 def neighbour_vote(neighbours: DataFrame, labels: DataFrame, ident: str, label: str) -> DataFrame:
     """``query_id, predicted, share, n_neighbours``: the label with the largest sum of similarities
     (none below zero) among the neighbours of a query; ties go to the smaller label."""

@@ -55,6 +55,15 @@ def v_group_neighbours(spark, d):
     return similarity.nearest(e, e.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding", 3, group="label").withColumn("similarity", F.round("similarity", 6))
 
 
+@query("""select 5 * count(*) as n_exact, true as recalled from embeddings where vec_id % 20 = 0""")
+def v_index_recall(spark, d):
+    """Whether the index finds at least nine tenths of the exact neighbours of every 20th row."""
+    e = table(spark, d, "embeddings")
+    asked = e.where(F.col("vec_id") % 20 == 0)
+    measured = similarity.recall(similarity.nearest_indexed(e, asked, "vec_id", "embedding", 5), similarity.nearest(e, asked, "vec_id", "embedding", 5))
+    return measured.select("n_exact", (F.col("recall") >= 0.9).alias("recalled"))
+
+
 @query(f"""with s as (select q.vec_id as query_id, c.label, {_COS.format('q.embedding', 'c.embedding')} as similarity, c.vec_id as n from embeddings q, embeddings c where q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
 near as (select * from (select *, row_number() over (partition by query_id order by round(similarity, 12) desc, n) as rn from s) where rn <= 7),
 v as (select query_id, label, sum(greatest(similarity, 0)) as s, count(*) as n from near where label is not null group by 1, 2),

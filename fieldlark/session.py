@@ -11,6 +11,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+# Inputs of more partitions are never dealt anew before work in Python.
+FEW = 64
+
+
 def local_session(cores: str = "8", app: str = "fieldlark", **extra: str) -> SparkSession:
     """A session for tests and the bench; on a cluster the session comes from outside."""
     builder = (
@@ -68,21 +72,15 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> D
     return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), schema)
 
 
-def fresh(df: DataFrame, stem: str) -> str:
-    """A column name that ``df`` does not have yet (names compare without case)."""
-    have = {c.lower() for c in df.columns}
-    name, k = stem, 0
-    while name.lower() in have:
-        k += 1
-        name = f"{stem}_{k}"
-    return name
-
-
 def spread(df: DataFrame, ident: str) -> DataFrame:
-    """``df`` dealt over all cores by an id, if it comes in at most half as many partitions.
-
-    Work in Python that follows a scan of a few small files would otherwise leave most
-    cores idle. Larger inputs have more splits than cores and are not shuffled."""
-    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    """``df`` dealt over all cores by an id, if it is a scan of at most ``FEW`` partitions that would
+    leave half of the cores idle.
+
+    Work in Python that follows a scan of a few small files would otherwise run on a few
+    cores. Larger inputs, and plans that shuffle anyway, are left as they are."""
+    plan = df._jdf.queryExecution()
+    if "Exchange" in plan.sparkPlan().toString() or "Join" in plan.sparkPlan().toString() or "Aggregate" in plan.sparkPlan().toString():
+        return df
+    have = plan.toRdd().getNumPartitions()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, ident) if 2 * have <= cores else df
+    return df.repartition(cores, ident) if have <= FEW and 2 * have <= cores else df

@@ -75,3 +75,33 @@ def test_leakage_groups_and_duplicate_statuses(spark):
     media = spark.createDataFrame([(1, "http://a/b", "t", "l"), (2, "http://A/b", "u", "l"), (3, None, "t", "m"), (4, "http://a/c", "t", "l")], "i int, u string, t string, l string")
     got = {r["i"]: (r["across_taxa"], r["across_licences"]) for r in aggregates.duplicate_membership(media, "i", "u", ["i"], F.col("t"), F.col("l")).collect()}
     assert got == {1: ("CONFLICT", "PASS"), 2: ("CONFLICT", "PASS"), 3: ("NOT_APPLICABLE", "NOT_APPLICABLE"), 4: ("PASS", "PASS")}
+
+
+def test_an_index_finds_what_the_exact_search_finds(spark):
+    """With all cells looked at nothing is missed, in one task a cell or in many; with some, most."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(600, 5)))] + [(700, None), (None, [1.0] * 5), (701, [0.0] * 5)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    asked = df.where("id % 20 = 0")
+    exact = similarity.nearest(df, asked, "id", "v", 4)
+    for together, lot in ((100_000, 2_000), (30, 3)):
+        all_ = similarity.nearest_indexed(df, asked, "id", "v", 4, cells=9, probes=9, together=together, asked_together=lot)
+        assert sorted((r["query_id"], r["neighbour_id"], r["rank"]) for r in all_.collect()) == sorted((r["query_id"], r["neighbour_id"], r["rank"]) for r in exact.collect())
+    some = similarity.recall(similarity.nearest_indexed(df, asked, "id", "v", 4, cells=16), exact).first()
+    assert some["recall"] >= 0.9
+    assert similarity.nearest_indexed(df.limit(0), asked, "id", "v", 4).count() == 0 == similarity.nearest_indexed(df, asked.limit(0), "id", "v", 4).count()
+
+
+def test_lookup_table_and_page_images(spark, tmp_path):
+    from fieldlark.sources import readers
+
+    sinks.write_table(spark.range(100).withColumn("x", F.col("id") * 2), "looked_up", "id", 4)
+    try:
+        about = {r["col_name"]: r["data_type"] for r in spark.sql("describe extended looked_up").collect()}
+        assert about["Num Buckets"] == "4" and spark.table("looked_up").where("id = 7").first()["x"] == 14
+    finally:
+        spark.sql("drop table looked_up")
+    pages = spark.createDataFrame([('<img src="a.png">', "http://h/p/"), (None, "http://h/")], "html string, base string")
+    assert [r[0] for r in pages.select(readers.page_images("html", "base")).collect()] == [["http://h/p/a.png"], []]
