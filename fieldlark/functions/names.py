@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldlark.functions.scalars import let
+
 # Marks that are written in several ways, and marks that blanks may surround.
 HYPHENS, SINGLE_QUOTES, DOUBLE_QUOTES = "‐‑‒–—−", "‘’‚‛", "“”„"
 CLOSE_MARKS = ",;:/()-"
@@ -118,27 +120,36 @@ def licence(c: Column) -> Column:
     ``mark`` are the two tools for the public domain. What has words that are no part of a
     licence's name is not recognised."""
     words = F.filter(F.split(F.lower(F.regexp_replace(c, r"[^A-Za-z0-9.]+", " ")), " "), lambda w: w != "")
+    return let(F.struct(c.alias("text"), words.alias("words")), _licence_of)
+
+
+# What may stand beside the elements: the scheme, the site and its folders, the suite, the document.
+_SITE = ("creativecommons.org", "www.creativecommons.org")
+_BESIDE = ("http", "https", *_SITE, "licenses", "publicdomain", "legalcode", "deed", "deed.en", "cc", "creative", "commons", "attribution", "license", "licence", "international")
+
+
+def _licence_of(x: Column) -> Column:
+    c, words = x["text"], x["words"]
     has = lambda *ws: F.arrays_overlap(words, F.array(*map(F.lit, ws)))
-    # What may stand beside the elements: the scheme, the site and its folders, the suite, the document.
-    beside = ["http", "https", "creativecommons.org", "www.creativecommons.org", "licenses", "publicdomain", "legalcode", "deed", "deed.en", "cc", "creative", "commons", "attribution", "license", "licence", "international"]
-    known = F.forall(words, lambda w: w.isin(*beside, *CC_ELEMENTS, *CC_VERSIONS, "zero", "cc0", "mark", "pdm"))
-    version = F.get(F.filter(words, lambda w: w.isin(*CC_VERSIONS)), F.lit(0))
+    known = F.forall(words, lambda w: w.isin(*_BESIDE, *CC_ELEMENTS, *CC_VERSIONS, "zero", "cc0", "mark", "pdm"))
     reserved = F.contains(F.lower(c), F.lit("all rights reserved")) | (F.lower(F.trim(c)) == "copyright")
     mark = (has("public") & has("domain")) | F.coalesce(has("pdm"), F.lit(False)) | (has("publicdomain") & has("mark"))
     zero = known & (has("cc0") | (has("zero") & has("cc", "publicdomain")) | ((F.size(words) == 1) & has("zero")))
-    named = known & has("by") & ~(has("nd") & has("sa")) & (has("cc", "creativecommons.org", "www.creativecommons.org", "creative") | F.get(words, F.lit(0)).isin("by"))
+    named = known & has("by") & ~(has("nd") & has("sa")) & (has("cc", "creative", *_SITE) | F.get(words, F.lit(0)).isin("by"))
     cc = F.concat_ws("-", F.lit("cc"), *[F.when(has(e), F.lit(e)) for e in CC_ELEMENTS])
     family = F.when(reserved, "copyright").when(mark, "pdm").when(zero, "cc0").when(named, cc)
-    free, plain = family.isin("cc0", "pdm"), family.isNotNull()
+    version = F.when(mark & ~reserved, "1.0").when(~reserved, F.when(family.isNotNull(), F.get(F.filter(words, lambda w: w.isin(*CC_VERSIONS)), F.lit(0))))
+    return let(F.struct(family.alias("family"), version.alias("version"), F.coalesce(reserved | has("nd"), F.lit(False)).alias("fixed"), has("sa").alias("alike"), F.coalesce(reserved | has("nc"), F.lit(False)).alias("closed")), _terms_of)
+
+
+def _terms_of(x: Column) -> Column:
+    unknown, free = x["family"].isNull(), x["family"].isin("cc0", "pdm")
     # The names of permissions and of what a policy makes of them.
-    may = lambda no, other="YES": F.when(~F.coalesce(plain, F.lit(False)), "UNKNOWN").when(reserved | has(no), "NO").otherwise(other)
-    changes = may("nd", F.when(has("sa"), "SHARE_ALIKE").otherwise("YES"))
-    commercial = may("nc")
     return F.struct(
-        family.alias("family"),
-        F.when(mark & ~reserved, "1.0").when(~reserved, F.when(family.isNotNull(), version)).alias("version"),
-        commercial.alias("commercial"),
-        changes.alias("derivatives"),
-        F.when(family.isNull(), "UNKNOWN").when(free, "NOT_REQUIRED").otherwise("REQUIRED").alias("attribution"),
-        F.when(family.isNull(), "QUARANTINED").when(changes == "NO", "DENIED").when(commercial == "NO", "RESEARCH_ONLY").otherwise("ALLOWED").alias("policy"),
+        x["family"].alias("family"),
+        x["version"].alias("version"),
+        F.when(unknown, "UNKNOWN").when(x["closed"], "NO").otherwise("YES").alias("commercial"),
+        F.when(unknown, "UNKNOWN").when(x["fixed"], "NO").when(x["alike"], "SHARE_ALIKE").otherwise("YES").alias("derivatives"),
+        F.when(unknown, "UNKNOWN").when(free, "NOT_REQUIRED").otherwise("REQUIRED").alias("attribution"),
+        F.when(unknown, "QUARANTINED").when(x["fixed"], "DENIED").when(x["closed"], "RESEARCH_ONLY").otherwise("ALLOWED").alias("policy"),
     )

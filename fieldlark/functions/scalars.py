@@ -164,7 +164,7 @@ def _shape(c: Column) -> Column:
     return F.translate(c, "012345678", "999999999")
 
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
     """``then`` of a value that is computed once, however often ``then`` names it."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
@@ -174,7 +174,7 @@ def _clock(day_text: Column, clock: Column) -> Column:
 
     def read(shape: Column) -> Column:
         zone = F.when(clock.endswith("Z"), 1).when(F.right(shape, F.lit(6)).isin("+99:99", "-99:99"), 6).otherwise(0)
-        return _let(F.struct(F.left(clock, F.length(clock) - zone).alias("plain"), F.left(shape, F.length(shape) - zone).alias("shape"), F.right(clock, zone).alias("zone")), judge)
+        return let(F.struct(F.left(clock, F.length(clock) - zone).alias("plain"), F.left(shape, F.length(shape) - zone).alias("shape"), F.right(clock, zone).alias("zone")), judge)
 
     def judge(x: Column) -> Column:
         whole, part = F.left(x["shape"], F.lit(8)), F.substring(x["shape"], 9, 99)
@@ -182,7 +182,7 @@ def _clock(day_text: Column, clock: Column) -> Column:
         seconds = F.when(F.length(x["plain"]) == 5, ":00").otherwise("")
         return F.struct(formed.alias("formed"), (x["zone"] != "").alias("zoned"), F.concat(day_text, F.lit(" "), x["plain"], seconds, x["zone"]).try_cast("timestamp").alias("instant"))
 
-    return _let(_shape(clock), read)
+    return let(_shape(clock), read)
 
 
 def _boundary(c: Column) -> Column:
@@ -197,12 +197,12 @@ def _boundary(c: Column) -> Column:
         formed = (_shape(day_text) == "9999-99-99") & (~timed | k["formed"])
         return F.struct(F.coalesce(formed, no).alias("formed"), F.coalesce(timed, no).alias("timed"), F.coalesce(k["zoned"], no).alias("zoned"), F.when(~timed | k["instant"].isNotNull(), day).alias("day"), k["instant"].alias("instant"))
 
-    return _let(_clock(day_text, F.when(timed, F.substring(c, F.instr(c, "T") + 1, F.length(c)))), put)
+    return let(_clock(day_text, F.when(timed, F.substring(c, F.instr(c, "T") + 1, F.length(c)))), put)
 
 
 def day_of(c: Column) -> Column:
     """The calendar day of a full date or moment, NULL for partial dates and all else."""
-    return _let(_boundary(c), lambda x: F.when(x["formed"], x["day"]))
+    return let(_boundary(c), lambda x: F.when(x["formed"], x["day"]))
 
 
 def _partial(c: Column) -> Column:
@@ -220,10 +220,10 @@ def event_date_status(c: Column) -> Column:
 
     def judge(ends: Column) -> Column:
         # One struct an end: whether it is sound, and its day if it is a full one.
-        read = F.transform(ends, lambda e: _let(day_of(e), lambda d: F.struct(F.when(_partial(e), _partial_exists(e)).otherwise(d.isNotNull()).alias("sound"), d.alias("day"))))
-        return _let(read, lambda r: (F.size(r) <= 2) & F.forall(r, lambda x: x["sound"]) & ~F.coalesce(F.get(r, F.lit(0))["day"] > F.get(r, F.lit(1))["day"], F.lit(False)))
+        read = F.transform(ends, lambda e: let(day_of(e), lambda d: F.struct(F.when(_partial(e), _partial_exists(e)).otherwise(d.isNotNull()).alias("sound"), d.alias("day"))))
+        return let(read, lambda r: (F.size(r) <= 2) & F.forall(r, lambda x: x["sound"]) & ~F.coalesce(F.get(r, F.lit(0))["day"] > F.get(r, F.lit(1))["day"], F.lit(False)))
 
-    return ladder((t.isNull(), "UNKNOWN"), (_let(F.split(t, "/", -1), judge), "PASS"), otherwise="FAIL")
+    return ladder((t.isNull(), "UNKNOWN"), (let(F.split(t, "/", -1), judge), "PASS"), otherwise="FAIL")
 
 
 def derived_components(event_date: Column, year: Column, month: Column, day: Column) -> Column:
@@ -259,13 +259,13 @@ def derived_components(event_date: Column, year: Column, month: Column, day: Col
             used = s["status"].isin("derived", "excluded_pre_1960")
             return F.struct(*[F.when(used, s["found"][k]).alias(f"derived_{k}") for k in names], F.when(used, s["found"]["method"]).alias("method"), s["status"].alias("status"))
 
-        return _let(F.struct(status.alias("status"), found.alias("found")), give)
+        return let(F.struct(status.alias("status"), found.alias("found")), give)
 
     def read(ends: Column) -> Column:
         end = lambda i: _boundary(F.trim(F.get(ends, F.lit(i))))
-        return _let(F.struct(raw.alias("raw"), F.size(ends).alias("n"), end(0).alias("start"), end(1).alias("stop"), *[have[k].alias(k) for k in names]), judge)
+        return let(F.struct(raw.alias("raw"), F.size(ends).alias("n"), end(0).alias("start"), end(1).alias("stop"), *[have[k].alias(k) for k in names]), judge)
 
-    return _let(F.split(raw, "/", -1), read)
+    return let(F.split(raw, "/", -1), read)
 
 
 # ---- numbers
