@@ -194,6 +194,36 @@ def _bridge(outer: Ring, holes: list[Ring]) -> Ring:
     return ring
 
 
+class _Corners:
+    """The corners of a ring by the cells of a square grid, so that those in a small box are found
+    without looking at all; boxes over many rows of cells are looked for in all that are alive."""
+
+    FEW, ROWS = 1_000, 48
+
+    def __init__(self, xs: np.ndarray, ys: np.ndarray) -> None:
+        self.xs, self.ys, self.alive = xs, ys, np.ones(len(xs), bool)
+        self.n = 1 if len(xs) < self.FEW else min(1_024, math.isqrt(len(xs)))
+        self.low = float(xs.min()), float(ys.min())
+        self.step = [max(float(np.ptp(v)), 1e-300) / self.n for v in (xs, ys)]
+        cell = self._at(ys, 1) * self.n + self._at(xs, 0)
+        self.order = np.argsort(cell, kind="stable")
+        self.starts = np.searchsorted(cell[self.order], np.arange(self.n * self.n + 1))
+
+    def _at(self, v: np.ndarray | float, axis: int) -> np.ndarray:
+        return np.clip(np.floor((np.asarray(v) - self.low[axis]) / self.step[axis]), 0, self.n - 1).astype(np.int64)
+
+    def within(self, low_x: float, high_x: float, low_y: float, high_y: float) -> np.ndarray:
+        """The corners that are still there, inside a box or on its edge."""
+        if self.n > 1:
+            c0, c1, r0, r1 = int(self._at(low_x, 0)), int(self._at(high_x, 0)), int(self._at(low_y, 1)), int(self._at(high_y, 1))
+            if r1 - r0 < self.ROWS:
+                near = np.concatenate([self.order[self.starts[r * self.n + c0] : self.starts[r * self.n + c1 + 1]] for r in range(r0, r1 + 1)])
+                near = np.sort(near)
+                x, y = self.xs[near], self.ys[near]
+                return near[self.alive[near] & (x >= low_x) & (x <= high_x) & (y >= low_y) & (y <= high_y)]
+        return np.flatnonzero(self.alive & (self.xs >= low_x) & (self.xs <= high_x) & (self.ys >= low_y) & (self.ys <= high_y))
+
+
 def ear_clip(rings: list[Ring]) -> np.ndarray:
     """Triangles (n, 6) that tile an outer ring less its holes. ValueError if the rings can't be clipped."""
     shells = [r for r in map(_clean, rings) if len(r) >= 3]
@@ -207,7 +237,7 @@ def ear_clip(rings: list[Ring]) -> np.ndarray:
     xs, ys = np.array([p[0] for p in ring]), np.array([p[1] for p in ring])
     before, after = list(range(-1, n - 1)), [*range(1, n), 0]
     before[0] = n - 1
-    alive = np.ones(n, bool)
+    corners_of = _Corners(xs, ys)
     out = []
     left, i, idle = n, 0, 0
     while left > 3:
@@ -217,7 +247,7 @@ def ear_clip(rings: list[Ring]) -> np.ndarray:
         if turn > 0:
             lo_x, hi_x = sorted((xs[a], xs[i], xs[c]))[::2]
             lo_y, hi_y = sorted((ys[a], ys[i], ys[c]))[::2]
-            near = np.flatnonzero(alive & (xs >= lo_x) & (xs <= hi_x) & (ys >= lo_y) & (ys <= hi_y))
+            near = corners_of.within(lo_x, hi_x, lo_y, hi_y)
             corners = (ring[a], ring[i], ring[c])
             ear = not any(
                 side(corners[0], corners[1], ring[j]) >= 0 and side(corners[1], corners[2], ring[j]) >= 0 and side(corners[2], corners[0], ring[j]) >= 0
@@ -227,7 +257,7 @@ def ear_clip(rings: list[Ring]) -> np.ndarray:
         if ear:
             if turn > 0:
                 out.append((*ring[a], *ring[i], *ring[c]))
-            after[a], before[c], alive[i] = c, a, False
+            after[a], before[c], corners_of.alive[i] = c, a, False
             left, idle, i = left - 1, 0, after[c]
         else:
             i, idle = c, idle + 1

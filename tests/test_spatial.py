@@ -37,6 +37,15 @@ def test_triangles_tile_polygons_with_holes(seed):
     assert got == want
 
 
+def test_large_rings_are_clipped_by_cells(monkeypatch):
+    """Corners found through the grid are those found by looking at all."""
+    rng = np.random.default_rng(3)
+    ring = star(rng, 0, 0, 50, 3000)
+    fast = ear_clip([ring])
+    monkeypatch.setattr(spatial._Corners, "FEW", 10**9)
+    assert np.array_equal(fast, ear_clip([ring]))
+
+
 def test_reading_and_refusing():
     assert parse_wkt("SRID=4326;multipolygon (((0 0,1 0,1 1,0 0)),((2 2, 3 2, 3 3, 2 2)))")[1][0][0] == (2.0, 2.0)
     assert parse_wkt("POLYGON Z ((0 0 5, 1 0 5, 1 1 5, 0 0 5))")[0][0][1] == (1.0, 0.0)
