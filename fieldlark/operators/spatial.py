@@ -153,16 +153,20 @@ def _clean(ring: Ring) -> Ring:
     return out
 
 
-def _blocks(p: Point, q: Point, a: Point, b: Point) -> bool:
-    """Whether edge a-b keeps p from seeing q (touching counts, except at p and q themselves)."""
-    s1, s2, s3, s4 = side(p, q, a), side(p, q, b), side(a, b, p), side(a, b, q)
-    if s1 * s2 < 0 and s3 * s4 < 0:
-        return True
+def _blocked(p: Point, q: Point, ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray) -> bool:
+    """Whether some edge a-b keeps p from seeing q (touching counts, except at p and q themselves)."""
+    low_x, high_x, low_y, high_y = min(p[0], q[0]), max(p[0], q[0]), min(p[1], q[1]), max(p[1], q[1])
+    near = np.flatnonzero((np.minimum(ax, bx) <= high_x) & (np.maximum(ax, bx) >= low_x) & (np.minimum(ay, by) <= high_y) & (np.maximum(ay, by) >= low_y))
+    ax, ay, bx, by = ax[near], ay[near], bx[near], by[near]
+    one = lambda v: np.full(len(near), v, float)
+    px, py, qx, qy = map(one, (*p, *q))
+    s1, s2, s3, s4 = sides(px, py, qx, qy, ax, ay), sides(px, py, qx, qy, bx, by), sides(ax, ay, bx, by, px, py), sides(ax, ay, bx, by, qx, qy)
 
-    def within(x: Point) -> bool:
-        return x not in (p, q) and min(p[0], q[0]) <= x[0] <= max(p[0], q[0]) and min(p[1], q[1]) <= x[1] <= max(p[1], q[1])
+    def within(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        ends = ((x == p[0]) & (y == p[1])) | ((x == q[0]) & (y == q[1]))
+        return ~ends & (x >= low_x) & (x <= high_x) & (y >= low_y) & (y <= high_y)
 
-    return (s1 == 0 and within(a)) or (s2 == 0 and within(b))
+    return bool((((s1 * s2 < 0) & (s3 * s4 < 0)) | ((s1 == 0) & within(ax, ay)) | ((s2 == 0) & within(bx, by))).any())
 
 
 def _opens_to(prev: Point, at: Point, nxt: Point, to: Point) -> bool:
@@ -180,13 +184,15 @@ def _bridge(outer: Ring, holes: list[Ring]) -> Ring:
         hole = waiting.pop(0)
         k = max(range(len(hole)), key=lambda i: hole[i])
         start = hole[k]
-        edges = [e for r in (ring, hole, *waiting) for e in zip(r, r[1:] + r[:1], strict=True)]
-        order = sorted(range(len(ring)), key=lambda i: (ring[i][0] - start[0]) ** 2 + (ring[i][1] - start[1]) ** 2)
-        for i in order:
+        rings = [np.array(r, float) for r in (ring, hole, *waiting)]
+        a, b = np.concatenate(rings), np.concatenate([np.roll(r, -1, axis=0) for r in rings])
+        edges = a[:, 0], a[:, 1], b[:, 0], b[:, 1]
+        order = np.argsort(((rings[0] - np.array(start)) ** 2).sum(1), kind="stable")
+        for i in map(int, order):
             v = ring[i]
             if v != start and not _opens_to(ring[i - 1], v, ring[(i + 1) % len(ring)], start):
                 continue
-            if v == start or not any(_blocks(start, v, a, b) for a, b in edges):
+            if v == start or not _blocked(start, v, *edges):
                 ring = ring[: i + 1] + hole[k:] + hole[: k + 1] + ring[i:]
                 break
         else:
