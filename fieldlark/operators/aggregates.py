@@ -18,12 +18,6 @@ from fieldlark.operators.hot_keys import nearest_rank
 from fieldlark.session import cut
 
 
-def group_sizes(df: DataFrame, key: str, counted: Mapping[str, str], least: int = 2) -> DataFrame:
-    """Groups of ``key`` with at least ``least`` rows and distinct counts of other columns."""
-    aggs = [F.count_distinct(c).alias(n) for n, c in counted.items()]
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"), *aggs).where(F.col("n") >= least)
-
-
 def duplicate_membership(df: DataFrame, ident: str, url: str, row_columns: Sequence[str], taxon: Column, licence: Column) -> DataFrame:
     """Each row with its exact-row, URL and canonical-URL group sizes and its status:
     CONFLICT where one URL serves several taxa or licences (told apart by ``across_taxa`` and

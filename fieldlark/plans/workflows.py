@@ -159,7 +159,21 @@ def w_split_contact(spark, d):
     return pairs.groupBy("p.split_a", "p.split_b").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("""with recursive x as (select decision_scores[1] as s, true_class_label = 'target' as t, sample_weight as w, coalesce('c:' || leakage_component_id, 'p:' || prediction_id) as c from calibration_prediction
+    where lower(trim(dataset_split)) = 'model_selection' and decision_scores[1] is not null and true_class_label is not null and sample_weight is not null),
+th as (select distinct s as threshold from x),
+r as (select threshold, count(*) filter (t) as hits, count(*) as n, sum(w) as weight, coalesce(sum(w) filter (t), 0) as hit_w, sum(w * w) as ww from th join x on s >= threshold group by 1),
+k as (select c, max(s) as top, max(s) filter (not t) as miss from x group by 1),
+cc as (select threshold, count(*) as trials, count(*) filter (miss is null or miss < threshold) as succ from th join k on top >= threshold group by 1),
+b as (select distinct succ, trials, 0::double as lo, 1 - 1e-15::double as hi, 0 as step from cc union all
+  select succ, trials, case when tail < 0.05 then mid else lo end, case when tail < 0.05 then hi else mid end, step + 1 from (
+    select *, (lo + hi) / 2 as mid, list_sum(list_transform(range(succ, trials + 1), lambda i: exp(lgamma(trials + 1) - lgamma(i + 1) - lgamma(trials - i + 1) + i * ln((lo + hi) / 2) + (trials - i) * ln(1 - (lo + hi) / 2)))) as tail from b where step < 45)),
+m as (select threshold, hits, n, weight, least(hit_w / weight, 1) as p, weight * weight / ww as en, succ, trials, round(case when succ = 0 then 0.0 else (lo + hi) / 2 end, 9) as component_low, weight / (select sum(w) from x) as coverage, 1.6448536269514722 as z
+  from r join cc using (threshold) join b using (succ, trials) where step = 45),
+g as (select *, round(greatest(0, (p + z * z / 2 / en) / (1 + z * z / en) - z * sqrt(p * (1 - p) / en + z * z / 4 / (en * en)) / (1 + z * z / en)), 9) as weighted_low from m),
+a as (select *, least(weighted_low, component_low) as low, n >= 30 and trials >= 30 and least(weighted_low, component_low) >= 0.3 as accepted from g)
+select threshold, hits, n, round(weight, 6) as weight, round(p, 9) as "precision", round(en, 4) as effective_n, weighted_low, succ as component_hits, trials as components, component_low, low, round(coverage, 9) as coverage, accepted,
+  accepted and row_number() over (order by accepted desc, coverage desc, low desc, threshold) = 1 as selected from a""")
 def w_audited_threshold(spark, d):
     """Every distinct score of the validation rows as a cut-off with its bounds; the gate is a bound
     of at least 0.3. Model selection is the split for validation; a row without a leakage
